@@ -149,9 +149,9 @@ def metadata_context(retrieved: DataFrame, topics: DataFrame, max_chars: int = 1
     if max_chars <= 0:
         return context_lines(retrieved).withColumn("used_chars", F.lit(0)).limit(0)
     ordered = context_lines(lookup(retrieved, topics.select("report_date", "topic_key", "first_pos"), ["report_date", "topic_key"], "inner"))
-    first_topic = F.min(F.struct("first_pos", "topic_key")).over(Window.partitionBy("report_date"))
     # Every later topic pays two line breaks; an entry pays its line and a line break.
-    ordered = ordered.withColumn("_first", first_topic["topic_key"] == F.col("topic_key"))
+    lead = ordered.groupBy("report_date").agg(F.min(F.struct("first_pos", "topic_key")).alias("_lead"))
+    ordered = lookup(ordered, lead, ["report_date"], "inner").withColumn("_first", F.col("_lead.topic_key") == F.col("topic_key")).drop("_lead")
     cost = F.when(
         F.col("rank") == 1, F.when(F.col("_first"), 0).otherwise(2) + F.length("header") + 1 + F.length("line")
     ).otherwise(1 + F.length("line"))
