@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayline.functions.arrow import match_text
-from dayline.operators.groups import HOT_ROWS, lookup
+from dayline.operators.groups import lookup
 
 FIELDS = ("title", "summary", "content")
 SUPPORTED, MISSING_SOURCE, MISSING_QUOTE, INVALID_FIELD = "supported", "missing_source", "missing_quote", "invalid_field"
@@ -32,17 +32,17 @@ def claims_of(items: DataFrame) -> DataFrame:
     return explicit.unionByName(legacy)
 
 
-def audit_claims(claims: DataFrame, sources: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def audit_claims(claims: DataFrame, sources: DataFrame) -> DataFrame:
     """Status of each claim: is the quote in the named field of its source?
 
     Each source is normalised once, before the join, however many claims cite it.
     """
     normal = claims.withColumns({"m_quote": match_text(F.coalesce("evidence_quote", F.lit(""))), "cited_id": F.col("source_item_id")})
     texts = quotable(sources).withColumnRenamed("source_item_id", "cited_id").withColumn("found", F.lit(True))
-    direct = lookup(normal, texts, ["cited_id"], "left", hot_rows)
+    direct = lookup(normal, texts, ["cited_id"], "left")
     # A structured id that is no source id itself stands for its raw item.
     retry = direct.where(F.col("found").isNull() & F.col("source_item_id").startswith("structured-")).select(*normal.columns)
-    again = lookup(retry.withColumn("cited_id", raw_id(F.col("source_item_id"))), texts, ["cited_id"], "left", hot_rows)
+    again = lookup(retry.withColumn("cited_id", raw_id(F.col("source_item_id"))), texts, ["cited_id"], "left")
     settled = direct.where(F.col("found").isNotNull() | ~F.col("source_item_id").startswith("structured-")).unionByName(again)
     has = lambda f: (F.col("m_quote") != "") & F.contains(F.col(f"m_{f}"), F.col("m_quote"))
     field = F.trim("evidence_field")

@@ -9,7 +9,8 @@ from dayline import lexicon
 from dayline.functions import text, urls
 from dayline.functions.values import report_day
 from dayline.operators.components import connected_components
-from dayline.operators.groups import HOT_ROWS, lookup
+from dayline.operators.groups import lookup
+from dayline.session import durable
 
 
 def normalise(items: DataFrame) -> DataFrame:
@@ -49,16 +50,14 @@ def identity(items: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_groups(
-    items: DataFrame, scope: tuple[str, ...] = ("report_date",), merge_empty_titles: bool = False, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add ``group_key``: items are one group when linked by canonical URL or title, transitively.
+def duplicate_groups(items: DataFrame, scope: tuple[str, ...] = ("report_date",), merge_empty_titles: bool = False) -> DataFrame:
+    """Group of each item, without its texts: items are one group when linked by canonical
+    URL or title fingerprint, transitively, inside their ``scope``.
 
     The graph is over keys, not items: a URL and a title are linked when an item carries
     both.  Copies therefore collapse before anything iterates, and a pair whose URL and
     title occur in no other pair never enters the iteration at all.
     """
-    scope = list(scope)
     # 128-bit key nodes keep the iteration narrow; scope separates report dates.
     node = lambda kind, c: F.md5(F.concat_ws("\x1f", F.lit(kind), *[F.col(s).cast("string") for s in scope], c))
     title = F.col("title_fingerprint")
@@ -66,15 +65,19 @@ def duplicate_groups(
     if not merge_empty_titles:
         # Punctuation-only titles say nothing; by default they do not link items.
         title_node = F.when(title == "", node("u", F.col("canonical_url"))).otherwise(title_node)
-    keyed = items.withColumns({"_u": node("u", F.col("canonical_url")), "_t": title_node})
-    pairs = keyed.select("_u", "_t").distinct()
+    # Everything later needs is written once, so long texts are read once.
+    keyed = durable(
+        items.select(
+            *scope, "pos", "id", "url", "source", "canonical_url", "title_fingerprint", "content_hash", quality_key().alias("quality"),
+            node("u", F.col("canonical_url")).alias("_u"), title_node.alias("_t"),
+        )
+    )
+    pairs = durable(keyed.select("_u", "_t").distinct())
     per_u = pairs.groupBy("_u").agg(F.count(F.lit(1)).alias("_nu"))
     per_t = pairs.groupBy("_t").agg(F.count(F.lit(1)).alias("_nt"))
-    linked = lookup(lookup(pairs, per_u, ["_u"], "inner", hot_rows), per_t, ["_t"], "inner", hot_rows).where(
-        "_nu > 1 OR _nt > 1"
-    )
-    components = connected_components(linked.select(F.col("_u").alias("a"), F.col("_t").alias("b")), hot_rows)
-    grouped = lookup(keyed, components.select(F.col("node").alias("_u"), "component"), ["_u"], "left", hot_rows)
+    linked = lookup(lookup(pairs, per_u, ["_u"], "inner"), per_t, ["_t"], "inner").where("_nu > 1 OR _nt > 1")
+    components = connected_components(linked.select(F.col("_u").alias("a"), F.col("_t").alias("b")))
+    grouped = lookup(keyed, components.select(F.col("node").alias("_u"), "component"), ["_u"], "left")
     return grouped.withColumn("group_key", F.coalesce("component", "_u")).drop("component", "_u", "_t")
 
 
@@ -102,18 +105,14 @@ def quality_key() -> Column:
 
 
 def survivors(grouped: DataFrame) -> DataFrame:
-    """One item per group, by quality.
-
-    The aggregate carries only the ordering key and the position, so hot groups are
-    reduced map-side and texts are never shuffled through it.
-    """
-    best = grouped.groupBy("group_key").agg(F.max(quality_key()).alias("_best"))
-    keep = best.select((-F.col("_best.early")).alias("pos"))
-    return grouped.join(keep, "pos", "left_semi")
+    """Position of the kept item of each group; hot groups are reduced map-side."""
+    best = grouped.groupBy("group_key").agg(F.max("quality").alias("_best"))
+    return best.select((-F.col("_best.early")).alias("pos"))
 
 
-def dedupe(items: DataFrame, scope: tuple[str, ...] = ("report_date",), hot_rows: int = HOT_ROWS) -> DataFrame:
-    return survivors(duplicate_groups(items, scope, hot_rows=hot_rows))
+def dedupe(items: DataFrame, scope: tuple[str, ...] = ("report_date",)) -> DataFrame:
+    """Items that survive; their texts are only joined by the (unique) position."""
+    return items.join(survivors(duplicate_groups(items, scope)), "pos", "left_semi")
 
 
 def duplicate_summary(grouped: DataFrame) -> DataFrame:
@@ -123,7 +122,7 @@ def duplicate_summary(grouped: DataFrame) -> DataFrame:
     third of the rows is reduced before it meets one task.
     """
     keys = grouped.groupBy("group_key", "canonical_url", "title_fingerprint", "content_hash").agg(
-        F.count(F.lit(1)).alias("n"), F.max(quality_key()).alias("best")
+        F.count(F.lit(1)).alias("n"), F.max("quality").alias("best")
     )
     by_key = keys.unpivot(
         ["group_key", "n", "best"],
@@ -153,7 +152,7 @@ def duplicate_summary(grouped: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_audit(grouped: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def duplicate_audit(grouped: DataFrame) -> DataFrame:
     """Every discarded item next to the item kept in its place (one row each, no lists)."""
     summary = duplicate_summary(grouped)
     kept = lookup(
@@ -164,7 +163,7 @@ def duplicate_audit(grouped: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     ).withColumnRenamed("pos", "kept_pos")
     members = grouped.select("group_key", "pos", "id", "url", "source")
     return (
-        lookup(members, kept, ["group_key"], "inner", hot_rows)
+        lookup(members, kept, ["group_key"], "inner")
         .where("pos <> kept_pos")
         .select(
             "kept_id", "kept_url", "reasons", F.col("id").alias("discarded_id"), F.col("url").alias("discarded_url"), F.col("source").alias("discarded_source")

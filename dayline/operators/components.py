@@ -5,33 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayline.operators.groups import HOT_ROWS, lookup
+from dayline.operators.groups import lookup
 from dayline.session import durable
 
 
-def connected_components(edges: DataFrame, hot_rows: int = HOT_ROWS, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest reachable node per node: ``edges(a, b)`` -> ``(node, component)``.
 
     Alternates the large-star and small-star steps (Kiveris et al., "Connected
     Components in MapReduce and Beyond"), which needs about log(n) rounds whatever
-    the diameter.  Stars are the normal shape here, so the join back to a node's
-    minimum splits hot centres; the minimum itself is a partial aggregate.
+    the diameter.  Stars are the normal shape here: a node's minimum is a partial
+    aggregate and the join back to it can split a hot centre.
     """
     links = durable(edges.where("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct())
     state = None
     for _ in range(max_rounds):
         both = links.unionByName(links.selectExpr("b AS a", "a AS b"))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = lookup(both, low, ["a"], "inner", hot_rows).where("b > a").selectExpr("b AS a", "m AS b")
-        large = large.where("a <> b").distinct()
+        # Large star: every larger neighbour moves to the smallest one.
+        large = lookup(both, low, ["a"], "inner").where("b > a").selectExpr("b AS a", "m AS b").distinct()
+        # Small star: every smaller neighbour moves to the smallest one, as does the node.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = lookup(large, least, ["a"], "inner", hot_rows)
-        links = durable(
-            small.select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(least.select("a", F.col("m").alias("b")))
-            .where("a <> b")
-            .distinct()
-        )
+        small = lookup(large, least, ["a"], "inner").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+        links = durable(small.where("a <> b").distinct())
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -44,7 +40,7 @@ def connected_components(edges: DataFrame, hot_rows: int = HOT_ROWS, max_rounds:
     )
 
 
-def first_fit(claims: DataFrame, hot_rows: int = HOT_ROWS, max_rounds: int = 1000) -> DataFrame:
+def first_fit(claims: DataFrame, max_rounds: int = 1000) -> DataFrame:
     """Positions kept when rows arrive in order and a row sharing a key with a kept row is dropped.
 
     ``claims(pos, value)`` holds the keys of each row.  A row is decided once it is the
@@ -56,15 +52,14 @@ def first_fit(claims: DataFrame, hot_rows: int = HOT_ROWS, max_rounds: int = 100
     open_claims = durable(claims)
     for _ in range(max_rounds):
         first = open_claims.groupBy("value").agg(F.min("pos").alias("first_pos"))
-        marked = lookup(open_claims, first, ["value"], "inner", hot_rows)
+        marked = lookup(open_claims, first, ["value"], "inner")
         winners = durable(
             marked.groupBy("pos").agg(F.bool_and(F.col("pos") == F.col("first_pos")).alias("wins")).where("wins").select("pos")
         )
         kept = winners if kept is None else kept.unionByName(winners)
         # Each value is claimed by at most one winner, so this has one row per value.
-        taken = open_claims.join(winners, "pos", "left_semi").select("value").withColumn("taken", F.lit(True))
-        touched = lookup(open_claims, taken, ["value"], "left", hot_rows)
-        gone = touched.where("taken").select("pos").distinct()
+        taken = open_claims.join(winners, "pos", "left_semi").select("value")
+        gone = lookup(open_claims, taken, ["value"], "left_semi").select("pos").distinct()
         open_claims = durable(open_claims.join(gone, "pos", "left_anti"))
         if open_claims.isEmpty():
             return kept

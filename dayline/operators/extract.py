@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayline import lexicon
+from dayline.functions.once import once
 from dayline.functions.text import contains_any, first_filled, first_sentence
 
 
@@ -157,34 +158,34 @@ def rationales(items: DataFrame) -> DataFrame:
 
 
 def structure(items: DataFrame) -> DataFrame:
-    """Clean items to structured items; a chain of projections without any shuffle."""
+    """Clean items to structured items; projections only, no shuffle."""
     body, kind = F.col("_body"), F.col("source_type")
     out = items.withColumn("_body", lowered_body())
-    out = out.withColumns(
+    out = once(
+        out,
         {
+            "_body": body,
             "event_type": event_type_of(body, kind),
             "topic": topic_of(body),
             "entities": entities_of(F.concat_ws(" ", "title", "summary", "content")),
             "key_points": key_points(),
             "evidence": F.array(first_filled(first_sentence(F.col("content")), F.col("summary"), F.col("title"))),
             "evidence_sources": evidence_source(),
-        }
+        },
     )
-    out = out.withColumns(
+    event = F.col("event_type")
+    out = once(
+        out,
         {
-            "impact_scope": impact_scope_of(body, F.col("event_type")),
-            "risk_level": risk_level_of(body, F.col("event_type")),
-            "opportunity_level": opportunity_level_of(body, F.col("event_type")),
-        }
+            "_body": body,
+            "impact_scope": impact_scope_of(body, event),
+            "risk_level": risk_level_of(body, event),
+            "opportunity_level": opportunity_level_of(body, event),
+        },
     )
-    out = out.withColumns(
-        {
-            "sentiment": sentiment_of(body, F.col("risk_level"), F.col("opportunity_level")),
-            "importance_score": importance_of(body, kind, F.col("event_type"), F.col("risk_level")),
-        }
-    ).drop("_body")
-    out = rationales(out)
-    return out.withColumns(
+    risk, chance = F.col("risk_level"), F.col("opportunity_level")
+    out = once(out, {"sentiment": sentiment_of(body, risk, chance), "importance_score": importance_of(body, kind, event, risk)}).drop("_body")
+    return rationales(out).withColumns(
         {
             "summary": first_filled(F.col("summary"), first_sentence(F.col("content")), F.col("title")),
             "id": F.replace(F.col("id"), F.lit("raw-"), F.lit("structured-")),

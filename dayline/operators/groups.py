@@ -4,8 +4,8 @@
   the shuffle, so a hot group ships at most k rows per partition.
 * ``number_rows`` numbers *all* rows of a group without putting the group into one
   task: rows are numbered inside small slices and shifted by the slice offsets.
-* ``lookup`` joins many rows to one row per key; keys above ``hot_rows`` are joined
-  by broadcast, and at most ``rows / hot_rows`` keys can be that hot.
+* ``lookup`` joins many rows to one row per key in a form whose hot keys adaptive
+  execution can split.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000
 SLICE_ROWS = 200_000
 
 
@@ -51,16 +50,18 @@ def number_rows(
     )
 
 
-def lookup(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Join to a right side with one row per key, safe for hot keys on the left."""
-    on = list(on)
-    # At most rows / hot_rows keys qualify, so this side stays small at any scale.
-    hot = F.broadcast(left.groupBy(*on).count().where(F.col("count") >= hot_rows).select(*on))
-    cold_rows = left.join(hot, on, "left_anti").join(right, on, how)
-    hot_right = F.broadcast(right.join(hot, on, "left_semi"))
-    return cold_rows.unionByName(left.join(hot, on, "left_semi").join(hot_right, on, how))
+def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join many left rows to a right side with one row per key (or a semi or anti join).
+
+    The key hash is a join key of its own.  It is always equal when the keys are, and it
+    makes both inputs of the join plain shuffles: an aggregated right side would bring its
+    own partitioning, and adaptive execution only splits hot partitions between two
+    shuffles.  So a key that owns a third of the left rows is spread over many tasks.
+    """
+    shard = F.xxhash64(*[F.col(k).cast("string") for k in on])
+    return (
+        left.withColumn("_shard", shard).join(right.withColumn("_shard", shard), [*on, "_shard"], how).drop("_shard")
+    )
 
 
 def explode_keys(df: DataFrame, carry: Sequence[str], fields: Sequence[str], values: Sequence[Column]) -> DataFrame:

@@ -9,7 +9,7 @@ from dayline import schemas
 from dayline.functions.text import safe_record_id, strip, truncate_marked
 from dayline.functions.topics import topic_key, topic_label
 from dayline.operators.components import first_fit
-from dayline.operators.groups import HOT_ROWS, explode_keys, lookup, top_per_group
+from dayline.operators.groups import explode_keys, lookup, top_per_group
 
 ENTRY_KEYS = ("id", "memory_item_id", "validated_item_id", "source_item_id", "url", "content_hash")
 
@@ -48,7 +48,7 @@ def item_keys(items: DataFrame, carry: tuple[str, ...] = ("id",)) -> DataFrame:
 
 
 # --- strong duplicates -----------------------------------------------------------
-def strong_matches(items: DataFrame, history: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def strong_matches(items: DataFrame, history: DataFrame) -> DataFrame:
     """Matched keys per item with the number of history entries behind each key.
 
     Item-by-entry pairs are not written out: a key shared by many items and many entries
@@ -57,7 +57,7 @@ def strong_matches(items: DataFrame, history: DataFrame, hot_rows: int = HOT_ROW
     known = entry_keys(history).groupBy("field", "value").agg(
         F.count_distinct("memory_item_id").alias("entry_count"), F.min("memory_item_id").alias("first_entry")
     )
-    return lookup(item_keys(items), known, ["field", "value"], "inner", hot_rows).select(
+    return lookup(item_keys(items), known, ["field", "value"], "inner").select(
         F.col("id").alias("item_id"), "field", "value", "entry_count", "first_entry"
     )
 
@@ -75,12 +75,12 @@ def drop_known(items: DataFrame, history: DataFrame) -> DataFrame:
 
 
 # --- retrieval -------------------------------------------------------------------
-def exclude_current(history: DataFrame, current: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def exclude_current(history: DataFrame, current: DataFrame) -> DataFrame:
     """Drop history entries that carry a key of a current item of the same report date."""
     keys = F.array_distinct(F.array(*[F.col(c).cast("string") for c in ENTRY_KEYS]))
     mine = history.select("report_date", "memory_item_id", F.explode(keys).alias("value")).where("value <> ''")
     taken = item_keys(current, ("report_date",)).select("report_date", "value").distinct()
-    gone = lookup(mine, taken, ["report_date", "value"], "left_semi", hot_rows).select("report_date", "memory_item_id").distinct()
+    gone = lookup(mine, taken, ["report_date", "value"], "left_semi").select("report_date", "memory_item_id").distinct()
     return history.join(gone, ["report_date", "memory_item_id"], "left_anti")
 
 
@@ -275,14 +275,14 @@ def structured_keys(items: DataFrame) -> DataFrame:
     return items.select("id", F.posexplode(keys).alias("place", "value")).where("value <> ''")
 
 
-def source_of(items: DataFrame, sources: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def source_of(items: DataFrame, sources: DataFrame) -> DataFrame:
     """Source item each structured item came from, by its first matching key.
 
     The two key tables are joined on hashed values and reduced to one id per item
     before any text column is touched.
     """
     first = item_keys(sources, ("id", "pos")).groupBy("value").agg(F.min(F.struct("pos", "id")).alias("s"))
-    found = lookup(structured_keys(items), first, ["value"], "inner", hot_rows)
+    found = lookup(structured_keys(items), first, ["value"], "inner")
     return found.groupBy("id").agg(F.min(F.struct("place", F.col("s.id").alias("source_id"))).alias("m")).select(
         F.col("id").alias("item_id"), F.col("m.source_id").alias("source_item_id"), F.col("m.place").alias("key_place")
     )
@@ -335,7 +335,7 @@ def to_payloads(items: DataFrame, sources: DataFrame, run_id: str | None = None,
     return wide.select(safe_record_id(F.col("id")).alias("memory_item_id"), F.to_json(record).alias("payload"))
 
 
-def appendable(entries: DataFrame, history: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def appendable(entries: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """Entries to add: no key shared, within the topic, with history or a kept earlier entry."""
     keys = F.array_distinct(F.array(*[F.col(c).cast("string") for c in ENTRY_KEYS]))
     claim = lambda df, *carry: df.select(*carry, F.explode(keys).alias("_v"), "topic_key").where("_v <> ''").select(
@@ -344,9 +344,9 @@ def appendable(entries: DataFrame, history: DataFrame | None = None, hot_rows: i
     claims = claim(entries, "pos")
     if history is not None:
         known = claim(history).distinct()
-        clash = lookup(claims, known, ["value"], "left_semi", hot_rows).select("pos").distinct()
+        clash = lookup(claims, known, ["value"], "left_semi").select("pos").distinct()
         claims = claims.join(clash, "pos", "left_anti")
-    return entries.join(first_fit(claims, hot_rows), "pos", "left_semi")
+    return entries.join(first_fit(claims), "pos", "left_semi")
 
 
 def history_before(history: DataFrame, started_at: Column) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayline import lexicon
+from dayline.functions.once import once
 from dayline.functions.text import ellipsis, strip
 
 _WORD = r"^[a-z0-9]+$"
@@ -44,14 +45,14 @@ def relevance(
     """Assess each item: category, score, matched terms and evidence of its best signal."""
     body = F.lower(F.concat_ws(" ", "title", "summary", "content"))
     tokenised = items.withColumn("_body", body).withColumn(
-        "_tokens", F.array_distinct(F.regexp_extract_all("_body", F.lit("([a-z0-9]+)"), 1))
+        "_tokens", F.array_distinct(F.regexp_extract_all(F.col("_body"), F.lit("([a-z0-9]+)"), 1))
     )
     everything = [t for terms in families.values() for t in terms]
     negated = F.lit(False)
     for pattern in negated_patterns:
         negated = negated | F.col("_body").rlike(f"(?i){pattern}")
-    hits = tokenised.withColumns(
-        {"_hits": matched_terms(F.col("_body"), F.col("_tokens"), everything), "_negated": negated}
+    hits = once(
+        tokenised, {"_hits": matched_terms(F.col("_body"), F.col("_tokens"), everything), "_negated": negated}
     ).drop("_tokens", "_body")
     # Families are small intersections with the few terms that hit at all.
     for family, terms in families.items():
@@ -113,7 +114,7 @@ def relevance(
         lambda acc, s: F.when(acc.isNull() | (s["score"] > acc["score"]), s).otherwise(acc),
     )
     carry = [c for c in items.columns]
-    scored = hits.select(*carry, F.coalesce(best, fallback).alias("_best"))
+    scored = once(hits, {"_best": F.coalesce(best, fallback)})
     return scored.select(
         *carry,
         F.col("_best.score").alias("relevance_score"),

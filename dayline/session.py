@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,20 +23,30 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """Shared folder of ``spark.checkpoint.dir``; only a local session may go without one.
 
-    The folder comes from ``spark.checkpoint.dir``.  Only a local session may go
-    without one; a cluster session without a shared folder is an error, because a
-    machine-local folder would lose data with its executor.
+    A machine-local folder would lose data with its executor, so a cluster session that
+    names no folder is an error.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        sc = spark.sparkContext
+        folder = sc.getCheckpointDir()
         if folder is None:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="dayline-checkpoint-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+            sc.setCheckpointDir(folder)
+    return folder
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut lineage: write a table to the shared checkpoint folder and read it back.
+
+    Unlike an RDD checkpoint the table is columnar and has a known size, so the joins
+    that follow can be planned by it.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/dayline-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
