@@ -136,6 +136,8 @@ NEGATED_CONTEXT_PATTERNS = (
     r"(ai|人工智能|大模型).{0,12}(只是|仅是|仅作为|顺带|附带|下游用途|小功能)",
     r"(不是|并非).{0,12}(监管对象|核心产品能力|主要事件|核心能力)",
 )
+# Every pattern needs a word of this class, so texts without one skip them.
+NEGATED_CONTEXT_GUARD = "[㐀-鿿]"
 RELEVANCE_FAMILIES = {
     "direct": DIRECT_TERMS,
     "weak": WEAK_TERMS,

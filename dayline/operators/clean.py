@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dayline import lexicon
 from dayline.functions import text, urls
+from dayline.functions.once import once
 from dayline.functions.values import report_day
 from dayline.operators.components import connected_components
 from dayline.operators.groups import lookup
@@ -15,8 +16,8 @@ from dayline.session import durable
 
 def normalise(items: DataFrame) -> DataFrame:
     """White space normalised text fields plus a completeness flag."""
-    out = items.withColumns(
-        {c: text.squeeze(F.col(c)) for c in ("title", "source", "summary", "content")} | {"url": text.strip(F.col("url"))}
+    out = once(
+        items, {c: text.squeeze(F.col(c)) for c in ("title", "source", "summary", "content")} | {"url": text.strip(F.col("url"))}
     )
     complete = (
         (F.col("title") != "")
@@ -40,14 +41,10 @@ def on_report_date(items: DataFrame, timezone: str = "UTC", report_date: Column
 
 def identity(items: DataFrame) -> DataFrame:
     """Add canonical URL, title fingerprint and content hash."""
-    fingerprint = text.title_fingerprint(F.col("title"))
-    return items.withColumns(
-        {
-            "canonical_url": urls.canonical_url(F.col("url")),
-            "title_fingerprint": fingerprint,
-            "content_hash": F.sha2(fingerprint, 256),
-        }
+    keyed = once(
+        items, {"canonical_url": urls.canonical_url(F.col("url")), "title_fingerprint": text.title_fingerprint(F.col("title"))}
     )
+    return keyed.withColumn("content_hash", F.sha2("title_fingerprint", 256))
 
 
 def duplicate_groups(items: DataFrame, scope: tuple[str, ...] = ("report_date",), merge_empty_titles: bool = False) -> DataFrame:

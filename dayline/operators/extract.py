@@ -88,21 +88,32 @@ def importance_of(body: Column, source_type: Column, event: Column, risk: Column
 
 
 def entities_of(raw: Column, names=lexicon.ENTITY_NAMES) -> Column:
-    """Known names standing as whole words, case-sensitive, in list order."""
-    found = F.array_compact(F.array(*[F.when(raw.rlike(rf"(?U)\b{re.escape(n)}\b"), n) for n in names]))
+    """Known names standing as whole words, case-sensitive, in list order.
+
+    Only a text that contains the name pays for the boundary check.
+    """
+    found = F.array_compact(F.array(*[F.when(F.contains(raw, F.lit(n)) & raw.rlike(rf"(?U)\b{re.escape(n)}\b"), n) for n in names]))
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(lexicon.DEFAULT_ENTITY)))
 
 
+# The first sentences of an item's texts, computed once and used by several fields.
+SENTENCES = {"title": "_s_title", "summary": "_s_summary", "content": "_s_content"}
+
+
+def with_sentences(items: DataFrame) -> DataFrame:
+    return items.withColumns({name: first_sentence(F.col(field)) for field, name in SENTENCES.items()})
+
+
 def key_points() -> Column:
-    points = F.array(first_sentence(F.col("summary")), first_sentence(F.col("content")), F.col("title"))
+    points = F.array(F.col("_s_summary"), F.col("_s_content"), F.col("title"))
     return F.slice(F.array_distinct(F.filter(points, lambda p: p != "")), 1, 3)
 
 
 def evidence_source() -> Column:
     """Quote of the first filled field of content, summary, title as a one-element list."""
-    quotes = [(f, first_sentence(F.col(f))) for f in ("content", "summary", "title")]
+    quotes = [(f, F.col(SENTENCES[f])) for f in ("content", "summary", "title")]
     source = F.when(F.lit(False), F.struct(F.lit("").alias("source_item_id"), F.lit("").alias("evidence_field"), F.lit("").alias("evidence_quote"), F.lit("").alias("claim")))
-    claim = first_filled(F.col("summary"), first_sentence(F.col("content")), F.col("title"))
+    claim = first_filled(F.col("summary"), F.col("_s_content"), F.col("title"))
     for field, quote in quotes:
         source = source.when(
             quote != "",
@@ -160,7 +171,7 @@ def rationales(items: DataFrame) -> DataFrame:
 def structure(items: DataFrame) -> DataFrame:
     """Clean items to structured items; projections only, no shuffle."""
     body, kind = F.col("_body"), F.col("source_type")
-    out = items.withColumn("_body", lowered_body())
+    out = with_sentences(items).withColumn("_body", lowered_body())
     out = once(
         out,
         {
@@ -169,7 +180,7 @@ def structure(items: DataFrame) -> DataFrame:
             "topic": topic_of(body),
             "entities": entities_of(F.concat_ws(" ", "title", "summary", "content")),
             "key_points": key_points(),
-            "evidence": F.array(first_filled(first_sentence(F.col("content")), F.col("summary"), F.col("title"))),
+            "evidence": F.array(first_filled(F.col("_s_content"), F.col("summary"), F.col("title"))),
             "evidence_sources": evidence_source(),
         },
     )
@@ -187,7 +198,7 @@ def structure(items: DataFrame) -> DataFrame:
     out = once(out, {"sentiment": sentiment_of(body, risk, chance), "importance_score": importance_of(body, kind, event, risk)}).drop("_body")
     return rationales(out).withColumns(
         {
-            "summary": first_filled(F.col("summary"), first_sentence(F.col("content")), F.col("title")),
+            "summary": first_filled(F.col("summary"), F.col("_s_content"), F.col("title")),
             "id": F.replace(F.col("id"), F.lit("raw-"), F.lit("structured-")),
         }
-    )
+    ).drop(*SENTENCES.values())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,31 +11,49 @@ from dayline import lexicon
 from dayline.functions.once import once
 from dayline.functions.text import ellipsis, strip
 
-_WORD = r"^[a-z0-9]+$"
-
-
 def _literals(values) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
 
-def matched_terms(body: Column, tokens: Column, terms) -> Column:
+def _split_terms(terms) -> tuple[list[str], list[str], list[str]]:
+    """Single ASCII words, ASCII phrases and terms in other scripts."""
+    terms = list(dict.fromkeys(t.lower() for t in terms))
+    words = [t for t in terms if t.isascii() and t.isalnum()]
+    phrases = [t for t in terms if t.isascii() and not t.isalnum()]
+    return words, phrases, [t for t in terms if not t.isascii()]
+
+
+def _leading_word(phrase: str) -> str:
+    return re.match(r"[^a-z0-9]*([a-z0-9]*)", phrase).group(1)
+
+
+def vocabulary_words(body: Column, terms) -> Column:
+    """Words of the vocabulary, or leading words of its phrases, that are tokens of ``body``."""
+    words, phrases, _ = _split_terms(terms)
+    return F.array_intersect(
+        _literals(dict.fromkeys(words + [_leading_word(p) for p in phrases])), F.regexp_extract_all(body, F.lit("([a-z0-9]+)"), 1)
+    )
+
+
+def matched_terms(body: Column, found_words: Column, terms) -> Column:
     """All vocabulary terms standing alone in ``body`` (no letter or digit of a-z0-9 next to them).
 
-    A single-word term stands alone exactly when it is a token, so those are one hashed
-    intersection.  Longer and CJK terms are found by substring search, and only a hit
-    pays for the boundary check.
+    A single word stands alone exactly when it is a token, so words come from one hashed
+    intersection (``vocabulary_words``).  A phrase is searched only when its leading word is
+    a token, and only a substring hit pays for the boundary check.
     """
-    terms = list(dict.fromkeys(t.lower() for t in terms))
-    words = [t for t in terms if t.isascii() and t.isalnum()]
-    phrases = [t for t in terms if t not in set(words) and t.isascii()]
-    wide = [t for t in terms if not t.isascii()]
+    words, phrases, wide = _split_terms(terms)
     alone = lambda t: F.contains(body, t) & F.regexp_like(
         body, F.concat(F.lit(r"(?<![a-z0-9])\Q"), t, F.lit(r"\E(?![a-z0-9])"))
     )
-    found = [F.array_intersect(_literals(words), tokens), F.filter(_literals(phrases), alone)]
-    has_wide = body.rlike("[㐀-鿿]")
-    found.append(F.when(has_wide, F.filter(_literals(wide), alone)).otherwise(_literals([])))
-    return F.concat(*found)
+    pairs = F.array(*[F.struct(F.lit(_leading_word(p)).alias("lead"), F.lit(p).alias("term")) for p in phrases])
+    possible = F.filter(pairs, lambda p: ((p["lead"] == "") | F.array_contains(found_words, p["lead"])) & alone(p["term"]))
+    parts = [F.array_intersect(_literals(words), found_words)]
+    if phrases:
+        parts.append(F.transform(possible, lambda p: p["term"]))
+    if wide:
+        parts.append(F.when(body.rlike("[㐀-鿿]"), F.filter(_literals(wide), alone)).otherwise(_literals([])))
+    return F.concat(*parts)
 
 
 def relevance(
@@ -41,19 +61,18 @@ def relevance(
     families: dict[str, tuple[str, ...]] = lexicon.RELEVANCE_FAMILIES,
     negated_patterns: tuple[str, ...] = lexicon.NEGATED_CONTEXT_PATTERNS,
     threshold: int = lexicon.RELEVANCE_THRESHOLD,
+    negated_guard: str | None = lexicon.NEGATED_CONTEXT_GUARD,
 ) -> DataFrame:
     """Assess each item: category, score, matched terms and evidence of its best signal."""
     body = F.lower(F.concat_ws(" ", "title", "summary", "content"))
-    tokenised = items.withColumn("_body", body).withColumn(
-        "_tokens", F.array_distinct(F.regexp_extract_all(F.col("_body"), F.lit("([a-z0-9]+)"), 1))
-    )
     everything = [t for terms in families.values() for t in terms]
+    words = once(items.withColumn("_body", body), {"_words": vocabulary_words(F.col("_body"), everything)})
     negated = F.lit(False)
     for pattern in negated_patterns:
-        negated = negated | F.col("_body").rlike(f"(?i){pattern}")
-    hits = once(
-        tokenised, {"_hits": matched_terms(F.col("_body"), F.col("_tokens"), everything), "_negated": negated}
-    ).drop("_tokens", "_body")
+        negated = negated | F.col("_body").rlike(pattern)
+    if negated_guard:
+        negated = F.col("_body").rlike(negated_guard) & negated
+    hits = once(words, {"_hits": matched_terms(F.col("_body"), F.col("_words"), everything), "_negated": negated}).drop("_words", "_body")
     # Families are small intersections with the few terms that hit at all.
     for family, terms in families.items():
         hits = hits.withColumn(f"_{family}", F.array_intersect(_literals(terms), F.col("_hits")))

@@ -181,7 +181,7 @@ def gate(spark, sf):
 # --- extraction --------------------------------------------------------------------
 def _fields(*names):
     def plan(spark, sf):
-        return inputs.structured(spark, sf).select("id", *names)
+        return inputs.structured_items(spark, sf).select("id", *names)
 
     return plan
 
@@ -191,11 +191,11 @@ def _fields_sql(*names) -> str:
 
 
 def entities(spark, sf):
-    return inputs.structured(spark, sf).select("id", F.array_join("entities", "|").alias("entities"))
+    return inputs.structured_items(spark, sf).select("id", F.array_join("entities", "|").alias("entities"))
 
 
 def key_points(spark, sf):
-    s = inputs.structured(spark, sf)
+    s = inputs.structured_items(spark, sf)
     e = F.col("evidence_sources")[0]
     return s.select("id", F.md5(F.array_join("key_points", "|")).alias("points_md5"), F.md5(F.array_join("evidence", "|")).alias("evidence_md5"), e["source_item_id"].alias("source_item_id"), e["evidence_field"].alias("evidence_field"), F.md5(e["evidence_quote"]).alias("quote_md5"))
 
@@ -206,7 +206,7 @@ SELECT id, md5(array_to_string(list_filter(l, lambda v, i: list_position(l, v) =
 
 
 def structured(spark, sf):
-    s = inputs.structured(spark, sf)
+    s = inputs.structured_items(spark, sf)
     return s.select("id", "source", "url", "topic", F.array_join("entities", "|").alias("entities"), "event_type", F.md5("summary").alias("summary_md5"), "sentiment", "impact_scope", "importance_score", "risk_level", "opportunity_level", "content_hash")
 
 

@@ -5,14 +5,18 @@ Nothing here is sampled or cut: every frame has one row per row of its table.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayline import lexicon
+from dayline.functions.once import once
 from dayline.functions.text import first_sentence, squeeze
 from dayline.operators.clean import identity, on_report_date, require_fields
 from dayline.operators.extract import structure
-from dayline.operators.memory import to_entries
+from dayline.operators.memory import retrieve, to_entries
+from dayline.session import checkpoint_folder, spread
 
 # Summaries give every rule of the vocabularies something to match.
 PHRASES = (
@@ -35,15 +39,33 @@ PHRASES = (
 )
 
 
+TEXT_TABLES = ("documents", "pages")
+_stages: dict[tuple[str, str, str], str] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
+
+
+def stage(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """A stage table: written once per session and input, then read by every later step.
+
+    Steps hand each other tables, so a text is cleaned and classified once, however many
+    reports are made from it.
+    """
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _stages:
+        path = f"{checkpoint_folder(spark)}/stage-{name}-{uuid.uuid4().hex}"
+        build(spark, sf).write.parquet(path)
+        _stages[key] = path
+    return spark.read.parquet(_stages[key])
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as raw items of 30 report dates, with blanks, off-date items and URL variants."""
-    d = table(spark, sf, "documents")
+    d = once(table(spark, sf, "documents"), {"_title": first_sentence(squeeze(F.col("text")))})
     n = F.col("doc_id")
-    body = squeeze(F.col("text"))
     host, page = F.col("source"), F.col("n_chars").cast("string")
     mark = (n % 2).cast("string")
     url = (
@@ -56,7 +78,7 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
     hours = ((n % 29) - 2).cast("int")
     phrase = F.element_at(F.array(*[F.lit(p) for p in PHRASES]), (n % len(PHRASES)).cast("int") + 1)
     return d.select(
-        n.alias("pos"), F.concat(F.lit("raw-"), n.cast("string")).alias("id"), F.when(n % 37 == 0, F.lit("  ")).otherwise(first_sentence(body)).alias("title"), host.alias("source"), url.alias("url"),
+        n.alias("pos"), F.concat(F.lit("raw-"), n.cast("string")).alias("id"), F.when(n % 37 == 0, F.lit("  ")).otherwise(F.col("_title")).alias("title"), host.alias("source"), url.alias("url"),
         (day.cast("timestamp") + F.make_dt_interval(hours=hours)).alias("published_at"),
         F.when(F.col("lang") == "en", "blog").when(F.col("lang") == "de", "news").when(F.col("lang") == "fr", "research").otherwise("release").alias("source_type"),
         F.when(F.col("lang") == "en", "en").otherwise("other").alias("language"), F.when(n % 5 == 4, F.lit("")).otherwise(phrase).alias("summary"), F.col("text").alias("content"),
@@ -68,20 +90,36 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def clean(spark: SparkSession, sf: str) -> DataFrame:
+def clean_items(spark: SparkSession, sf: str) -> DataFrame:
     """Complete items on their report date, with identity keys."""
     return identity(on_report_date(require_fields(raw(spark, sf))))
 
 
-def structured(spark: SparkSession, sf: str) -> DataFrame:
+def structured_items(spark: SparkSession, sf: str) -> DataFrame:
     return structure(clean(spark, sf))
 
 
+def retrieved_history(spark: SparkSession, sf: str) -> DataFrame:
+    return retrieve(history(spark, sf), structured(spark, sf))
+
+
+def clean(spark: SparkSession, sf: str) -> DataFrame:
+    return stage(spark, sf, "clean", clean_items)
+
+
+def structured(spark: SparkSession, sf: str) -> DataFrame:
+    return stage(spark, sf, "structured", structured_items)
+
+
 def history(spark: SparkSession, sf: str) -> DataFrame:
     """Every structured item as a history entry (report dates read the days before them)."""
     return to_entries(structured(spark, sf)).drop("report_date")
 
 
+def retrieved(spark: SparkSession, sf: str) -> DataFrame:
+    return stage(spark, sf, "retrieved", retrieved_history)
+
+
 # --- the same frames in SQL --------------------------------------------------------
 def quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"

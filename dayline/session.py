@@ -50,3 +50,13 @@ def durable(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_folder(df.sparkSession)}/dayline-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition a scan only when it has fewer partitions than the session has cores.
+
+    Small inputs, such as a file with one row group, otherwise run in one task.  A scan
+    of many files has more partitions than cores and stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
