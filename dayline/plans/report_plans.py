@@ -121,8 +121,8 @@ def opportunities(spark, sf):
     return report.opportunity_insights(_s(spark, sf)).select(DAY(), "id", "opportunity_level", "rank")
 
 
-_RISKS = f"""WITH {STRUCTURED_SQL}, r AS (SELECT *, risk_level IN ('medium', 'high') AS ok, row_number() OVER (PARTITION BY report_date, risk_level IN ('medium', 'high') ORDER BY importance_score DESC, pos) AS rank, max((risk_level IN ('medium', 'high'))::INT) OVER (PARTITION BY report_date) AS some FROM structured)
-SELECT {DAY_SQL}, id, risk_level, rank FROM r WHERE (ok AND rank <= 3) OR (some = 0 AND rank = 1)"""
+_RISKS = f"""WITH {STRUCTURED_SQL}, r AS (SELECT *, risk_level IN ('medium', 'high') AS ok, row_number() OVER (PARTITION BY report_date, risk_level IN ('medium', 'high') ORDER BY importance_score DESC, pos) AS rank, max((risk_level IN ('medium', 'high'))::INT) OVER (PARTITION BY report_date) AS has_some FROM structured)
+SELECT {DAY_SQL}, id, risk_level, rank FROM r WHERE (ok AND rank <= 3) OR (has_some = 0 AND rank = 1)"""
 
 
 def labelled_risks(spark, sf):
@@ -133,8 +133,8 @@ def labelled_risks(spark, sf):
 
 
 _LABELLED = """WITH d AS (SELECT lang AS report_date, l.doc_id AS id, quality, CASE WHEN toxic = 1 THEN 'high' ELSE 'low' END AS risk_level FROM labels l JOIN documents USING (doc_id)),
-r AS (SELECT *, row_number() OVER (PARTITION BY report_date, risk_level ORDER BY quality DESC, id) AS rank, max((risk_level = 'high')::INT) OVER (PARTITION BY report_date) AS some FROM d)
-SELECT report_date, id, risk_level, rank FROM r WHERE (risk_level = 'high' AND rank <= 3) OR (some = 0 AND rank = 1)"""
+r AS (SELECT *, row_number() OVER (PARTITION BY report_date, risk_level ORDER BY quality DESC, id) AS rank, max((risk_level = 'high')::INT) OVER (PARTITION BY report_date) AS has_some FROM d)
+SELECT report_date, id, risk_level, rank FROM r WHERE (risk_level = 'high' AND rank <= 3) OR (has_some = 0 AND rank = 1)"""
 
 
 def references(spark, sf):
