@@ -50,12 +50,11 @@ priced AS (SELECT *, CASE WHEN model = 'alpha' AND provider = 'other' THEN round
 
 
 def call_rollup(spark, sf):
-    r = runlog.call_rollup(priced(spark, sf))
-    return r.withColumn("cost_usd", F.round("cost_usd", 6))
+    return runlog.call_rollup(priced(spark, sf))
 
 
 _ROLLUP = f"""WITH {CALLS_SQL} SELECT run_id, coalesce(step_name, 'all') AS step_name, count(*) AS call_count, bool_and(success) AS success, sum(pt) AS prompt_tokens, sum(ct) AS completion_tokens, sum(pt + ct) AS total_tokens,
- round(sum(cost_usd), 6) AS cost_usd, sum(elapsed_ms) AS elapsed_ms, count_if(NOT success) AS error_count FROM priced GROUP BY GROUPING SETS ((run_id, step_name), (run_id))"""
+ sum(cost_usd::DECIMAL(20, 10))::DOUBLE AS cost_usd, sum(elapsed_ms) AS elapsed_ms, count_if(NOT success) AS error_count FROM priced GROUP BY GROUPING SETS ((run_id, step_name), (run_id))"""
 
 
 def _trace(spark, sf):
