@@ -62,7 +62,7 @@ def _clean(col: str) -> str:
     return f"regexp_replace({squeeze_sql(col)}, '\\s+([.,;:!?])', '\\1', 'g')"
 
 
-FEED_SQL = f"""d AS (SELECT doc_id, source, text, {squeeze_sql('text')} AS body, TIMESTAMP '2024-01-01' + to_hours(doc_id) AS at, 'https://' || source || '.example.com/' || doc_id AS link, row_number() OVER (PARTITION BY source, doc_id // {PER_PAYLOAD} ORDER BY doc_id) - 1 AS pos FROM documents),
+FEED_SQL = f"""d AS (SELECT doc_id, source, text, {squeeze_sql('text')} AS body, TIMESTAMP '2024-01-01' + to_hours(doc_id) AS moment, 'https://' || source || '.example.com/' || doc_id AS link, row_number() OVER (PARTITION BY source, doc_id // {PER_PAYLOAD} ORDER BY doc_id) - 1 AS pos FROM documents),
 f AS (SELECT *, {sentence_sql('body')} AS title, {_clean('text')} AS plain FROM d)"""
 
 
@@ -70,7 +70,7 @@ def rss(spark, sf):
     return payloads.rss_entries(rss_payloads(spark, sf)).select("source_name", "pos", F.md5("title").alias("title_md5"), "url", F.unix_seconds("published_at").alias("published"), F.md5("summary").alias("summary_md5"), "external_id")
 
 
-_RSS = f"WITH {FEED_SQL} SELECT source AS source_name, pos, md5(title) AS title_md5, link AS url, CASE WHEN doc_id % 5 = 0 THEN 1706745600 ELSE epoch(at)::BIGINT END AS published, md5({_clean(chr(39) + 'A &amp; B ' + chr(39) + ' || text')}) AS summary_md5, 'g' || doc_id AS external_id FROM f"
+_RSS = f"WITH {FEED_SQL} SELECT source AS source_name, pos, md5(title) AS title_md5, link AS url, CASE WHEN doc_id % 5 = 0 THEN 1706745600 ELSE epoch(moment)::BIGINT END AS published, md5({_clean(chr(39) + 'A &amp; B ' + chr(39) + ' || text')}) AS summary_md5, 'g' || doc_id AS external_id FROM f"
 
 
 def atom(spark, sf):
@@ -78,7 +78,7 @@ def atom(spark, sf):
     return both.where(F.col("external_id").startswith("urn:")).select("source_name", "pos", "url", F.unix_seconds("published_at").alias("published"), F.md5("summary").alias("summary_md5"), "external_id")
 
 
-_ATOM = f"WITH {FEED_SQL} SELECT source AS source_name, pos, link AS url, epoch(at)::BIGINT AS published, md5({_clean('text')}) AS summary_md5, 'urn:' || doc_id AS external_id FROM f"
+_ATOM = f"WITH {FEED_SQL} SELECT source AS source_name, pos, link AS url, epoch(moment)::BIGINT AS published, md5({_clean('text')}) AS summary_md5, 'urn:' || doc_id AS external_id FROM f"
 
 
 def papers(spark, sf):
@@ -113,25 +113,26 @@ _RELEASE_ERRORS = f"SELECT source AS source_name, CASE source WHEN 'src1' THEN '
 
 
 def story_inputs(spark, sf):
-    """Events as stories: ten ranked lists (one per user digit) and one record per event."""
+    """Events as stories: one ranked list per hour and one record per event."""
     e = table(spark, sf, "events")
     n = F.col("event_id")
     titles = F.when(n % 4 == 0, F.concat(F.lit("Ask HN: "), "event_type")).when(n % 4 == 1, F.concat(F.lit("Show HN: "), "event_type")).otherwise(F.concat(F.lit("On "), "event_type"))
     url = F.when(n % 4 == 2, F.concat(F.lit("https://x.example.com/"), n.cast("string")))
     story = F.to_json(F.struct(n.alias("id"), F.when(n % 10 == 9, "job").otherwise("story").alias("type"), titles.alias("title"), url.alias("url"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("time"), F.floor("value").alias("score"), F.get_json_object("props", "$.k").cast("bigint").alias("descendants")))
     stories = e.select(story.alias("body"))
-    lists = e.groupBy((n % 2).alias("list_order"), F.floor(n / 1000).alias("chunk")).agg(F.sort_array(F.collect_list("event_id")).alias("ids"))
-    lists = lists.where("chunk = 0").select("list_order", F.concat(F.lit("list"), F.col("list_order").cast("string")).alias("list_name"), F.to_json("ids").alias("body"))
+    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)
+    lists = e.groupBy(hour.alias("list_order")).agg(F.sort_array(F.collect_list("event_id")).alias("ids"))
+    lists = lists.select("list_order", F.concat(F.lit("list"), F.col("list_order").cast("string")).alias("list_name"), F.to_json("ids").alias("body"))
     return lists, stories
 
 
 def stories(spark, sf):
     lists, rows = story_inputs(spark, sf)
-    return payloads.story_entries(lists, rows, 60, ["click", "view", "error"]).select("source_name", "external_id", "title", "url", "kind", "is_external", "summary")
+    return payloads.story_entries(lists, rows, 600, ["click", "view", "error"]).select("source_name", "external_id", "title", "url", "kind", "is_external", "summary")
 
 
-_STORIES = """WITH s AS (SELECT *, event_id % 2 AS l, CASE event_id % 4 WHEN 0 THEN 'Ask HN: ' WHEN 1 THEN 'Show HN: ' ELSE 'On ' END || event_type AS title FROM events WHERE event_id < 1000),
-o AS (SELECT *, row_number() OVER (PARTITION BY l ORDER BY event_id) AS at FROM s), m AS (SELECT * FROM o WHERE at <= 300 AND event_id % 10 <> 9 AND event_type IN ('click', 'view', 'error') ORDER BY l, at LIMIT 60)
+_STORIES = """WITH s AS (SELECT *, floor(epoch(ts) / 3600)::BIGINT AS l, CASE event_id % 4 WHEN 0 THEN 'Ask HN: ' WHEN 1 THEN 'Show HN: ' ELSE 'On ' END || event_type AS title FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY l ORDER BY event_id) AS spot FROM s), m AS (SELECT * FROM o WHERE spot <= 3000 AND event_id % 10 <> 9 AND event_type IN ('click', 'view', 'error') ORDER BY l, spot LIMIT 600)
 SELECT 'list' || l AS source_name, event_id::VARCHAR AS external_id, title, CASE WHEN event_id % 4 = 2 THEN 'https://x.example.com/' || event_id ELSE 'https://news.ycombinator.com/item?id=' || event_id END AS url,
  CASE event_id % 4 WHEN 0 THEN 'ask_hn' WHEN 1 THEN 'show_hn' WHEN 2 THEN 'external_link' ELSE 'internal_discussion' END AS kind, event_id % 4 = 2 AS is_external,
  CASE event_id % 4 WHEN 0 THEN 'Ask HN discussion' WHEN 1 THEN 'Show HN submission' WHEN 2 THEN 'Hacker News linked story' ELSE 'Hacker News discussion' END || ' with score ' || floor(value)::BIGINT || ' and ' || json_extract_string(props, '$.k') || ' comments.' AS summary FROM m"""
@@ -153,9 +154,11 @@ UNION ALL SELECT category, count(*) FROM ({_RELEASE_ERRORS}) GROUP BY category""
 def json_scan(spark, sf):
     """Raw items written as a JSON array per file and read back with a fixed schema."""
     folder = f"{checkpoint_folder(spark)}/items-{uuid.uuid4().hex}"
-    rows = inputs.raw(spark, sf).drop("pos", "report_date")
-    text = rows.select(F.to_json(F.struct(*rows.columns)).alias("j"), F.pmod(F.xxhash64("id"), F.lit(16)).alias("part"))
-    text.groupBy("part").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value")).select("value").write.text(folder)
+    rows = inputs.raw(spark, sf)
+    fields = [c for c in rows.columns if c not in ("pos", "report_date")]
+    text = rows.select(F.to_json(F.struct(*fields)).alias("j"), F.floor(F.col("pos") / 500).alias("part"))
+    arrays = text.groupBy("part").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value"))
+    arrays.write.partitionBy("part").text(folder)
     return payloads.read_item_arrays(spark, folder).select("id", F.md5("title").alias("title_md5"), "url", "source_type", F.unix_seconds("published_at").alias("published"))
 
 
@@ -243,7 +246,7 @@ PLANS = {
     "set1_source_union": (union, _UNION),
     "src9_interleave": (interleave, _INTERLEAVE),
     "src10_window": (window, f"WITH {RAW_SQL} SELECT id FROM raw WHERE pos % 12 = 0 OR published_at >= TIMESTAMP '2024-01-13 12:00:00'"),
-    "src11_keywords": (keywords, f"WITH {RAW_SQL} SELECT id FROM raw WHERE {any_word(chr(108) + 'ower(trim(title) || chr(32) || summary)', [w.lower() for w in WORDS])}"),
+    "src11_keywords": (keywords, f"WITH {RAW_SQL} SELECT id FROM raw WHERE {any_word('lower(trim(title) || chr(32) || summary)', [w.lower() for w in WORDS])}"),
     "src12_item_ids": (ids, _IDS),
     "src13_article_blocks": (blocks, _BLOCKS),
     "src13_article_text": (article, None),
