@@ -19,8 +19,18 @@ from dayline import lexicon
 
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    """difflib ratio (autojunk on); pairs must be blocked before this runs."""
-    return pd.Series([SequenceMatcher(None, a or "", b or "").ratio() for a, b in zip(left, right)], dtype="float64")
+    """difflib ratio (autojunk on); pairs must be blocked before this runs.
+
+    The matcher indexes its second text, so one matcher per distinct right text of the
+    batch serves all left texts compared with it.
+    """
+    out = [0.0] * len(left)
+    for text, rows in right.fillna("").groupby(right.fillna("")).indices.items():
+        matcher = SequenceMatcher(None, "", text)
+        for i in rows:
+            matcher.set_seq1(left.iat[i] or "")
+            out[i] = matcher.ratio()
+    return pd.Series(out, dtype="float64")
 
 
 _QUOTES = str.maketrans({"“": '"', "”": '"', "‘": "'", "’": "'"})
@@ -96,7 +106,12 @@ def _blocks(html: str | None) -> list[dict]:
     return [{"pos": i, "in_container": c, "block": b} for i, (c, b) in enumerate(reader.blocks)]
 
 
-@F.pandas_udf("array<struct<pos:int,in_container:boolean,block:string>>")
+_BLOCK = T.StructType(
+    [T.StructField("pos", T.IntegerType()), T.StructField("in_container", T.BooleanType()), T.StructField("block", T.StringType())]
+)
+
+
+@F.pandas_udf(T.ArrayType(_BLOCK))
 def html_blocks(pages: pd.Series) -> pd.Series:
     """Text blocks of a page in document order."""
     return pages.map(_blocks)

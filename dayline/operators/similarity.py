@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayline.functions.arrow import sequence_ratio
+from dayline.functions.once import once
 from dayline.functions.similarity import entity_set, jaccard, normal, novelty, overlap, token_set
 from dayline.functions.topics import topic_key
 from dayline.operators.groups import top_per_group
@@ -20,24 +21,24 @@ def candidate_pairs(items: DataFrame, retrieved: DataFrame, salts: int = SALTS)
     ``limit`` times the items.  A topic may own a third of the items: rows are spread by
     a salt and the few history rows are repeated once per salt.
     """
-    left = items.select(
-        "report_date", F.col("id").alias("item_id"), "pos", topic_key(F.col("topic")).alias("topic_key"),
-        F.col("title").alias("l_title"), F.col("summary").alias("l_summary"), F.col("entities").alias("l_entities"), F.col("event_type").alias("l_event"),
-        F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("_salt"),
-    )
-    right = retrieved.select(
-        "report_date", "topic_key", "memory_item_id", F.col("rank").alias("history_rank"),
-        F.col("title").alias("r_title"), F.col("summary").alias("r_summary"), F.col("entities").alias("r_entities"), F.col("event_type").alias("r_event"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-    )
+    left = _features(items, "l").withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    left = left.withColumnsRenamed({"id": "item_id"})
+    right = _features(retrieved.withColumn("id", F.col("memory_item_id")), "r", "rank").withColumnsRenamed({"id": "memory_item_id", "rank": "history_rank"})
+    right = right.drop("pos").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, ["report_date", "topic_key", "_salt"]).drop("_salt")
 
 
-def _text_similarity(left: Column, right: Column, ratio: Column | None) -> Column:
-    words = jaccard(token_set(left), token_set(right))
-    if ratio is None:
-        return words
-    return F.when((F.size(token_set(left)) == 0) | (F.size(token_set(right)) == 0), 0.0).otherwise(F.greatest(words, ratio * 0.85))
+def _features(rows: DataFrame, side: str, *carry: str) -> DataFrame:
+    """Normalised texts, token sets and entity set of each row: computed once, not once per pair."""
+    both = F.concat_ws(" ", "title", "summary")
+    return once(
+        rows.select("report_date", topic_key(F.col("topic")).alias("topic_key"), "id", "pos", *carry, "title", "summary", "entities", "event_type"),
+        {
+            f"{side}_title": normal(F.col("title")), f"{side}_summary": normal(F.col("summary")), f"{side}_both": normal(both),
+            f"{side}_title_tokens": token_set(F.col("title")), f"{side}_summary_tokens": token_set(F.col("summary")), f"{side}_both_tokens": token_set(both),
+            f"{side}_entities": entity_set(F.col("entities")), f"{side}_event": F.coalesce("event_type", F.lit("")),
+        },
+    ).drop("title", "summary", "entities", "event_type")
 
 
 def score_pairs(pairs: DataFrame, with_sequence: bool = True) -> DataFrame:
@@ -46,28 +47,26 @@ def score_pairs(pairs: DataFrame, with_sequence: bool = True) -> DataFrame:
     The sequence ratio is the only step outside the JVM and runs once per pair and field;
     without it (``with_sequence=False``) the token similarity alone decides.
     """
-    cols = {
-        "l_both": F.concat_ws(" ", "l_title", "l_summary"),
-        "r_both": F.concat_ws(" ", "r_title", "r_summary"),
-    }
-    out = pairs.withColumns(cols)
+    out = pairs
     for name in ("title", "summary", "both"):
-        left, right = F.col(f"l_{name}"), F.col(f"r_{name}")
-        ratio = None
+        left, right = F.col(f"l_{name}_tokens"), F.col(f"r_{name}_tokens")
+        score = jaccard(left, right)
         if with_sequence:
-            out = out.withColumn(f"_ratio_{name}", sequence_ratio(normal(left), normal(right)))
-            ratio = F.col(f"_ratio_{name}")
-        out = out.withColumn(f"{name}_similarity", _text_similarity(left, right, ratio))
+            ratio = sequence_ratio(F.col(f"l_{name}"), F.col(f"r_{name}"))
+            score = F.when((F.size(left) == 0) | (F.size(right) == 0), 0.0).otherwise(F.greatest(score, ratio * 0.85))
+        out = out.withColumn(f"{name}_similarity", score)
+    out = once(out, {f"{n}_similarity": F.col(f"{n}_similarity") for n in ("title", "summary", "both")})
     out = out.withColumnRenamed("both_similarity", "combined_similarity")
     title, summary, combined = F.col("title_similarity"), F.col("summary_similarity"), F.col("combined_similarity")
     out = out.withColumns(
         {
-            "entity_overlap": overlap(entity_set(F.col("l_entities")), entity_set(F.col("r_entities"))),
-            "event_match": F.col("l_event") == F.coalesce("r_event", F.lit("")),
+            "entity_overlap": overlap(F.col("l_entities"), F.col("r_entities")),
+            "event_match": F.col("l_event") == F.col("r_event"),
             "text_similarity": F.greatest(title, summary, combined),
         }
     )
-    out = out.withColumn("novelty_signal", novelty(normal(F.col("l_both")), normal(F.col("r_both")), F.col("text_similarity")))
+    out = once(out, {c: F.col(c) for c in ("entity_overlap", "event_match", "text_similarity")})
+    out = out.withColumn("novelty_signal", novelty(F.col("l_both"), F.col("r_both"), F.col("text_similarity")))
     one = F.lit(1.0)
     # Pairs are blocked by topic, so the topic always agrees here.
     confidence = (
@@ -77,7 +76,7 @@ def score_pairs(pairs: DataFrame, with_sequence: bool = True) -> DataFrame:
         + F.least("text_similarity", one) * 0.31
         + F.when(F.col("novelty_signal"), 0.05).otherwise(0.0)
     )
-    out = out.withColumn("_confidence", F.least(confidence, one))
+    out = once(out, {"_confidence": F.least(confidence, one), "novelty_signal": F.col("novelty_signal")})
     high = (title >= 0.72) | (summary >= 0.72) | (combined >= 0.78)
     medium = (title >= 0.42) | (summary >= 0.42) | (combined >= 0.50)
     shared, event, fresh, sure = F.col("entity_overlap"), F.col("event_match"), F.col("novelty_signal"), F.col("_confidence")
