@@ -146,7 +146,7 @@ def test_hot_lookup_is_split(spark):
         left = spark.range(400_000, numPartitions=8).select(F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), F.sha1(F.col("id").cast("string")).alias("v"))
         right = left.groupBy("k").agg(F.min("v").alias("m"))
         joined = lookup(left, right, ["k"], "inner")
-        collected = joined.agg(F.count(F.lit(1)).alias("n"))
+        collected = joined.agg(F.count(F.lit(1)).alias("n"), F.max("v"), F.max("m"))
         assert collected.collect()[0]["n"] == 400_000
         assert "skew=true" in collected._jdf.queryExecution().executedPlan().toString()
     finally:
