@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayline.llm import exact_dedup, mixing, url_filter
+from dayline.llm import decontamination, exact_dedup, language_id, mixing, quality, token_count, toxicity, url_filter
 from dayline.session import configure
 
 BLANK_SQL = r"[\x20\x09-\x0D]"
@@ -29,6 +29,13 @@ SELECT doc_id, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY point
 FROM n"""
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = language_id.held_out()
+    told = language_id.predict(docs, language_id.learn(docs.where(~held)))
+    return told.select("doc_id", held.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
@@ -71,6 +78,50 @@ SELECT page_id, host, path, rule, coalesce(own, alias.v, 'allow') AS verdict,
 FROM page LEFT JOIN alias ON alias.address = host || path"""
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.assess(docs, quality.learn(docs, labels)).select("doc_id", *quality.OWN)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    told = toxicity.score(docs, toxicity.learn(docs, labels))
+    return told.select("doc_id", (toxicity.fold_of() == 0).alias("held_out"), "score", "predicted", "mean", "worst")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.digest(decontamination.occurrences(docs, benchmark))
+
+
+WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP6_SQL = f"""
+WITH b AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + {decontamination.WINDOW - 1}], ' ') AS phrase, least(len(w), {decontamination.WINDOW}) AS n
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - {decontamination.WINDOW - 2}, 2))) AS i FROM b WHERE len(w) > 0)),
+d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+grams AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, item_id, i, g.n FROM grams g JOIN win USING (phrase)),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY encode(item_id::VARCHAR)) AS names
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY 1),
+covered AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hit) GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN items USING (doc_id) LEFT JOIN covered USING (doc_id)"""
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("whole", "source")
 
@@ -98,7 +149,12 @@ SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(size
 
 PLANS = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
+    "op2_language_id": (op2_language_id, None),
     "op3_url_filter": (op3_url_filter, OP3_SQL),
+    "op4_quality": (op4_quality, None),
+    "op5_toxicity": (op5_toxicity, None),
+    "op6_decontamination": (op6_decontamination, OP6_SQL),
+    "op8_token_counts": (op8_token_counts, None),
     "op10_mixing": (op10_mixing, OP10_SQL),
 }
 
