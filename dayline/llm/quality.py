@@ -19,38 +19,43 @@ from dayline.llm.common import content, match_rows, shared
 BINS, STRONGEST, KEEP_FROM = 16, 1e4, 0.1
 #: Evidence of a text counts up to this many nats either way.
 MOST_EVIDENCE = 12.0
-MEASURES = ("words", "capitals", "signs", "digits", "length", "bars", "repeats")
+MEASURES = ("words", "capitals", "signs", "digits", "length", "bars", "repeats", "variety")
 OWN = ("quality_evidence", "quality_prior", "quality_score", "quality_kept")
 
 
-def measures(text: Column) -> dict[str, Column]:
-    """Measures of a whole text, each from 0 to ``BINS - 1``."""
-    n = F.greatest(F.length(text), F.lit(1))
-    words = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
-    letters = F.greatest(words, F.lit(1))
-    share = lambda pattern, of, times: F.regexp_count(text, F.lit(pattern)) / of * times
+def measures(text: Column, words: Column) -> dict[str, Column]:
+    """Measures of a whole text and its list of words, each from 0 to ``BINS - 1``."""
+    n = F.size(words)
+    share = lambda pattern: F.regexp_count(text, F.lit(pattern)) / F.greatest(n, F.lit(1)) * BINS
     values = {
-        "words": F.log2(words + F.lit(1.0)),
-        "capitals": share(r"\p{Lu}{2,}", letters, BINS),
-        "signs": share(r"[^\p{L}\p{N}\s.,;:'\"()\-]+", letters, BINS),
-        "digits": share(r"\p{N}+", letters, BINS),
-        "length": (n - words) / letters,
-        "bars": share(r"\s[^\p{L}\p{N}\s]+(?=\s|$)", letters, BINS),
-        "repeats": share(r"(?:^|\s)(\S+)(?=\s\1(?:\s|$))", letters, BINS),
+        "words": F.log2(n + F.lit(1.0)),
+        "capitals": share(r"\p{Lu}{2,}"),
+        "signs": share(r"[^\p{L}\p{N}\s.,;:'\"()\-]+"),
+        "digits": share(r"\p{N}+"),
+        "length": (F.length(text) - n) / F.greatest(n, F.lit(1)),
+        "bars": share(r"\s[^\p{L}\p{N}\s]+(?=\s|$)"),
+        "repeats": share(r"(?:^|\s)(\S++)(?=\s\1(?:\s|$))"),
+        "variety": F.size(F.array_distinct(words)) / F.greatest(n, F.lit(1)) * BINS,
     }
     return {k: F.least(F.lit(BINS - 1), F.greatest(F.lit(0), F.floor(v))).cast("int") for k, v in values.items()}
 
 
+def measured(docs: DataFrame) -> DataFrame:
+    """``(doc_id, host, path, <measures>)`` per row of ``docs(doc_id, text, source, lang)``, as a table of its own."""
+    rows = docs.select("doc_id", F.col("source").alias("host"), F.col("lang").alias("path"), content().alias("_text"))
+    rows = rows.withColumn("_words", F.filter(F.split("_text", r"\s+"), lambda w: w != ""))
+    return shared(rows.select("doc_id", "host", "path", *[c.alias(k) for k, c in measures(F.col("_text"), F.col("_words")).items()]))
+
+
 def _labels(labels: DataFrame) -> DataFrame:
     """One mark by document; a document that is marked twice is good if no mark says bad."""
     rows = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL")
     return rows.groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("good"))
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> dict | None:
-    """``evidence`` by measure and bin (bounded), and the table ``sites(host, path, prior)``; None without both labels."""
-    rows = docs.select("doc_id", F.col("source").alias("host"), F.col("lang").alias("path"), content().alias("_text"))
-    rows = rows.select("doc_id", "host", "path", *[c.alias(k) for k, c in measures(F.col("_text")).items()])
+def learn(rows: DataFrame, labels: DataFrame) -> dict | None:
+    """From ``measured`` rows: ``evidence`` by measure and bin (bounded), and tables of priors by host and by
+    host and path; None without both labels."""
     rows = shared(match_rows(rows, _labels(labels), ["doc_id"]))
     each = rows.select("good", F.explode(F.create_map(*[x for k in MEASURES for x in (F.lit(k), F.col(k))])).alias("measure", "bin"))
     counts = each.groupBy("measure", "bin", "good").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -83,40 +88,36 @@ def shrunk(groups: DataFrame, share: float) -> DataFrame:
     return groups.withColumn("prior", (F.col("good") + F.col("above") * weight) / (F.col("n") + weight))
 
 
-def assess(docs: DataFrame, model: dict | None, keep_from: float = KEEP_FROM) -> DataFrame:
-    """``docs(doc_id, text, source, lang)`` and all its columns with ``quality_evidence``, ``quality_prior``,
-    ``quality_score`` and ``quality_kept``; columns of those names are replaced.
+def assess(rows: DataFrame, model: dict | None, keep_from: float = KEEP_FROM) -> DataFrame:
+    """``(doc_id, quality_evidence, quality_prior, quality_score, quality_kept)`` of ``measured`` rows.
 
     A place without labels has the prior of its host, a host without labels that of all rows.
     Null source or language is a place like any other.  Null and empty texts are judged by
-    their measures, all of them 0.  Without a model all documents stay, with score 1.
+    their measures, which are 0.  Without a model all documents stay, with score 1.  Repeated
+    rows are judged alike; an empty table gives no rows.
     """
-    rows = docs.drop(*OWN)
     if model is None:
         one = F.lit(1.0)
-        return rows.withColumns(dict(zip(OWN, (F.lit(0.0), one, one, F.lit(True)))))
-    told = [F.element_at(F.array(*map(F.lit, model["evidence"][m])), c + 1) for m, c in measures(content()).items()]
+        return rows.select("doc_id", *[v.alias(k) for k, v in zip(OWN, (F.lit(0.0), one, one, F.lit(True)))])
+    told = [F.element_at(F.array(*map(F.lit, model["evidence"][m])), F.col(m) + 1) for m in MEASURES]
     total = told[0]
     for more in told[1:]:
         total = total + more
-    rows = rows.withColumn("quality_evidence", F.greatest(F.lit(-MOST_EVIDENCE), F.least(F.lit(MOST_EVIDENCE), total)))
-    # Lookup keys under names that no table has; small place tables are broadcast by their size.
-    rows = rows.withColumns({"_host": F.col("source"), "_path": F.col("lang")})
-    hosts = model["hosts"].select(F.col("host").alias("_host"), "host_prior")
-    sites = model["sites"].select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("prior").alias("_site_prior"))
-    rows = match_rows(match_rows(rows, sites, ["_host", "_path"], "left"), hosts, ["_host"], "left")
-    prior = F.coalesce("_site_prior", "host_prior", F.lit(model["share"]))
+    rows = rows.select("doc_id", "host", "path", F.greatest(F.lit(-MOST_EVIDENCE), F.least(F.lit(MOST_EVIDENCE), total)).alias(OWN[0]))
+    rows = match_rows(match_rows(rows, model["sites"], ["host", "path"], "left"), model["hosts"], ["host"], "left")
+    prior = F.coalesce("prior", "host_prior", F.lit(model["share"]))
     bounded = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), prior))
     score = 1 / (1 + F.exp(-(F.log(bounded / (1 - bounded)) + F.col("quality_evidence"))))
-    return (
-        rows.withColumn("quality_prior", prior).withColumn("quality_score", score)
-        .withColumn("quality_kept", F.col("quality_score") >= keep_from).drop("_host", "_path", "_site_prior", "host_prior")
+    return rows.select("doc_id", "quality_evidence", prior.alias("quality_prior"), score.alias("quality_score")).withColumn(
+        "quality_kept", F.col("quality_score") >= keep_from
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
-    """The documents that stay, with their own columns; learned from the labelled ones among them."""
-    clash = [c for c in OWN if c in docs.columns]
-    renamed = docs.withColumnsRenamed({c: f"_kept_{c}" for c in clash})
-    kept = assess(renamed, learn(docs, labels), keep_from).where("quality_kept").drop(*OWN)
-    return kept.withColumnsRenamed({f"_kept_{c}": c for c in clash}).select(*docs.columns)
+    """The rows of ``docs`` that stay, with all their columns; learned from the labelled ones among them.
+
+    A ``doc_id`` names one document; of rows that share one, all stay if one does.
+    """
+    rows = measured(docs)
+    kept = assess(rows, learn(rows, labels), keep_from).where("quality_kept").select(F.col("doc_id").alias("_kept"))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")

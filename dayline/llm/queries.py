@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayline.llm import decontamination, exact_dedup, language_id, mixing, quality, token_count, toxicity, url_filter
+from dayline.llm import decontamination, exact_dedup, language_id, mixing, quality, simhash, suffix_dedup, token_count, toxicity, url_filter
 from dayline.session import configure
 
 BLANK_SQL = r"[\x20\x09-\x0D]"
@@ -80,7 +80,8 @@ FROM page LEFT JOIN alias ON alias.address = host || path"""
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return quality.assess(docs, quality.learn(docs, labels)).select("doc_id", *quality.OWN)
+    rows = quality.measured(docs)
+    return quality.assess(rows, quality.learn(rows, labels))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,12 +117,20 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM d LEFT JOIN items USING (doc_id) LEFT JOIN covered USING (doc_id)"""
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.removed(table(spark, sf_dir, "documents")))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("whole", "source")
 
@@ -154,7 +163,9 @@ PLANS = {
     "op4_quality": (op4_quality, None),
     "op5_toxicity": (op5_toxicity, None),
     "op6_decontamination": (op6_decontamination, OP6_SQL),
+    "op7_suffix_dedup": (op7_suffix_dedup, None),
     "op8_token_counts": (op8_token_counts, None),
+    "op9_simhash": (op9_simhash, None),
     "op10_mixing": (op10_mixing, OP10_SQL),
 }
 
