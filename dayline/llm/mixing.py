@@ -90,11 +90,15 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS,
     )
 
 
+OWN = ("mix_size", "mix_target", "mix_taken")
+
+
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
-    """``docs`` with ``taken`` and ``repeats``; documents the mix takes no word of are left out."""
-    plan = mix(docs, **parameters).where("taken > 0").select(
-        F.col("doc_id").alias("_id"), F.col("size").alias("mix_size"), F.col("target").alias("mix_target"), F.col("taken").alias("mix_taken")
-    )
-    # Repeated rows of a document share one plan.
-    plan = plan.groupBy("_id").agg(F.max("mix_size").alias("mix_size"), F.max("mix_target").alias("mix_target"), F.max("mix_taken").alias("mix_taken"))
-    return docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"])).drop("_id")
+    """``docs`` with ``mix_size``, ``mix_target`` and ``mix_taken``; documents that the mix takes no word of are left out.
+
+    Columns of those names are replaced.  A ``doc_id`` names one document: rows that share one share its plan.
+    """
+    plan = mix(docs, **parameters).groupBy("doc_id").agg(*[F.max(c[4:]).alias(c) for c in OWN]).where("mix_taken > 0")
+    plan = plan.withColumnRenamed("doc_id", "_id")
+    rows = docs.drop(*OWN)
+    return rows.join(plan, rows["doc_id"].eqNullSafe(plan["_id"])).select(*rows.columns, *OWN)

@@ -10,6 +10,7 @@ distinct fingerprints; copies follow by lookup.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,37 +24,57 @@ from dayline.operators.components import connected_components
 
 SHINGLE, DISTANCE, SEED = 3, 3, 42
 #: Hashes of a long text are counted in blocks.
-HASHES = 1 << 20
+HASHES = 1 << 18
 SEGMENT_BITS = 32
+#: Near copies by similarity: words of a shingle, Jaccard similarity, 64-bit words of the wide
+#: fingerprint, and its segments, which are as wide as the number of documents has bits.
+WIDE_SHINGLE, SIMILARITY, WIDE_WORDS, WIDE_SEGMENT = 5, 0.8, 5, 22
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """Unsigned 64-bit fingerprint of a text; 0 for a text without words."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+def fingerprint(text: str | None, shingle: int = SHINGLE, words: int = 1) -> np.ndarray:
+    """Unsigned 64-bit words of a text's fingerprint; all 0 for a text without words.
+
+    The first word is of the shingles' XXH64 hashes, others of further mixes of those.
+    """
+    tokens = (text or "").encode("utf-8", "replace").lower().split()
+    if not tokens:
+        return np.zeros(words, np.uint64)
+    joined = b" ".join(tokens)
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    n = max(1, len(words) - shingle + 1)
-    ends = ends[min(shingle, len(words)) - 1 :]
-    ones = np.zeros(64, np.int64)
+    n = max(1, len(tokens) - shingle + 1)
+    ends = ends[min(shingle, len(tokens)) - 1 :]
+    ones = np.zeros(64 * words, np.int64)
     for at in range(0, n, HASHES):
         spans = zip(starts[at : min(at + HASHES, n)].tolist(), ends[at : at + HASHES].tolist())
-        hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans], np.uint64)
-        bits = np.unpackbits(hashes.astype(">u8").view(np.uint8)).reshape(-1, 64)
-        ones += bits.sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
+        first = np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans], np.uint64)
+        hashes = [first]
+        for k in range(1, words):
+            mixed = (first ^ np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
+            mixed = (mixed ^ mixed >> np.uint64(31)) * np.uint64(0x94D049BB133111EB)
+            hashes.append(mixed ^ mixed >> np.uint64(29))
+        for k, h in enumerate(hashes):
+            bits = np.unpackbits(h.astype(">u8").view(np.uint8)).reshape(-1, 64)
+            # Bytes are added up in groups that one byte can hold.
+            full = len(bits) // 255 * 255
+            ones[64 * k : 64 * k + 64] += bits[:full].reshape(-1, 255, 64).sum(1, dtype=np.uint8).sum(0, dtype=np.int64) + bits[full:].sum(0, dtype=np.int64)
+    return np.packbits(ones * 2 > n).view(">u8").astype(np.uint64)
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``(doc_id, fingerprint)`` per row of ``docs(doc_id, text)``, as a signed 64-bit integer."""
-    schema = "doc_id " + docs.schema["doc_id"].dataType.simpleString() + ", fingerprint long"
+    return wide_fingerprints(docs, shingle, 1).select("doc_id", F.element_at("words", 1).alias("fingerprint"))
+
+
+def wide_fingerprints(docs: DataFrame, shingle: int, words: int) -> DataFrame:
+    """``(doc_id, words)`` per row of ``docs(doc_id, text)``: the fingerprint as signed 64-bit integers."""
+    schema = "doc_id " + docs.schema["doc_id"].dataType.simpleString() + ", words array<bigint>"
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.fromiter((fingerprint(t, shingle) for t in batch["text"].to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(made.view(np.int64))], ["doc_id", "fingerprint"])
+            made = np.array([fingerprint(t, shingle, words) for t in batch["text"].to_pylist()], np.uint64).reshape(-1, words)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * words, pa.int32()), pa.array(made.ravel().view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], lists], ["doc_id", "words"])
 
     return docs.select("doc_id", "text").mapInArrow(make, schema)
 
@@ -102,8 +123,62 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     )
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of each component its smallest ``doc_id``."""
-    found = near_duplicates(docs, shingle, distance)
+def distance_limit(similarity: float, bits: int) -> int:
+    """Bits that the fingerprints of texts of this Jaccard similarity differ in, and a deviation more."""
+    apart = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+    return round(bits * apart + math.sqrt(bits * apart * (1 - apart)))
+
+
+def similar_pairs(prints: DataFrame, similarity: float = SIMILARITY, segment: int = WIDE_SEGMENT, words: int = WIDE_WORDS) -> DataFrame:
+    """``(a, b)`` numbers of rows of ``prints(number, words)`` within the distance of ``similarity``.
+
+    Each segment is entered in a table, and its ball of one bit is asked for.  The first word of
+    the fingerprints is compared on the way, the complete distance before a pair is returned.
+    A pair is met unless every one of its segments differs in two bits or more.
+    """
+    bits, limit = 64 * words, distance_limit(similarity, 64 * words)
+    word = lambda k: F.element_at("words", k + 1)
+    keys = []
+    for s in range(bits // segment):
+        at, shift = divmod(s * segment, 64)
+        value = F.shiftrightunsigned(word(at), shift)
+        if shift + segment > 64:
+            value = value.bitwiseOR(F.shiftleft(word(at + 1), 64 - shift))
+        keys.append(value.bitwiseAND((1 << segment) - 1) + F.lit(s << segment))
+    rows = prints.select("number", word(0).alias("first"), F.array(*keys).alias("keys"))
+    entries = rows.select(F.col("number").alias("b"), F.col("first").alias("first_b"), F.explode("keys").alias("key"))
+    flips = lambda key: F.filter(
+        F.array(key, *[F.when(key.bitwiseAND(1 << bit) == 0, key + F.lit(1 << bit)) for bit in range(segment)]), lambda k: k.isNotNull()
+    )
+    probes = rows.select(F.col("number").alias("a"), "first", F.explode("keys").alias("own"))
+    probes = probes.select("a", "first", F.explode(flips(F.col("own"))).alias("key"))
+    near = distance_limit(similarity, 64) + round(2.5 * math.sqrt(64 * 0.15 * 0.85))
+    met = probes.join(entries, "key").where((F.col("a") != F.col("b")) & (F.bit_count(F.col("first").bitwiseXOR(F.col("first_b"))) <= near))
+    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    of = lambda c: prints.select(F.col("number").alias(c), F.col("words").alias(f"words_{c}"))
+    both = met.join(of("a"), "a").join(of("b"), "b")
+    apart = F.aggregate(F.zip_with("words_a", "words_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    return both.where(apart <= limit).select("a", "b")
+
+
+def similar_documents(docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY, segment: int = WIDE_SEGMENT, words: int = WIDE_WORDS) -> DataFrame:
+    """``(doc_id, component_id)`` per row of ``docs(doc_id, text)``: near copies by the similarity of their shingles.
+
+    A fingerprint of several words tells how similar two texts are; links join fingerprints
+    within the distance of ``similarity``.  Null and empty texts are one group.
+    """
+    made = shared(wide_fingerprints(docs, shingle, words))
+    prints = shared(made.groupBy("words").agg(F.min("doc_id").alias("number")).where("number IS NOT NULL"))
+    links = shared(similar_pairs(prints, similarity, segment, words))
+    members = match_rows(made, prints.withColumnRenamed("number", "root"), ["words"], "left").select("doc_id", "root")
+    if not links.isEmpty():
+        roots = connected_components(links).select(F.col("node").alias("root"), F.col("component").alias("_root"))
+        members = match_rows(members, roots, ["root"], "left").select("doc_id", F.coalesce("_root", "root").alias("root"))
+    return members.select("doc_id", F.coalesce("root", "doc_id").alias("component_id"))
+
+
+def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each group of near copies its smallest ``doc_id``."""
+    found = similar_documents(docs, **parameters)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
