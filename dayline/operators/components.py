@@ -6,20 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayline.operators.groups import lookup
-from dayline.session import durable
+from dayline.session import discard, durable
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest reachable node per node: ``edges(a, b)`` -> ``(node, component)``.
 
     Alternates the large-star and small-star steps (Kiveris et al., "Connected
     Components in MapReduce and Beyond"), which needs about log(n) rounds whatever
-    the diameter.  Stars are the normal shape here: a node's minimum is a partial
-    aggregate and the join back to it can split a hot centre.
+    the diameter, until a round changes nothing.  A round's table is deleted when the next
+    is written.  Stars are the normal shape here: a node's minimum is a partial aggregate and
+    the join back to it can split a hot centre.
     """
     links = durable(edges.where("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct())
     state = None
-    for _ in range(max_rounds):
+    while True:
         both = links.unionByName(links.selectExpr("b AS a", "a AS b"))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         # Large star: every larger neighbour moves to the smallest one.
@@ -27,13 +28,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # Small star: every smaller neighbour moves to the smallest one, as does the node.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = lookup(large, least, ["a"], "inner").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-        links = durable(small.where("a <> b").distinct())
+        done, links = links, durable(small.where("a <> b").distinct())
+        discard(done)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state = now
-    else:
-        raise RuntimeError("components did not settle")
     roots = links.select(F.col("b").alias("node")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))

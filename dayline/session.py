@@ -49,7 +49,15 @@ def durable(df: DataFrame) -> DataFrame:
     """
     path = f"{checkpoint_folder(df.sparkSession)}/dayline-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.durable_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the table that ``durable`` wrote; nothing may read it any more."""
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.durable_path)
+    path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
