@@ -79,10 +79,9 @@ def recipes(
     if clashes.isEmpty():
         return made
     # Identifiers that several chunks share: the chunk itself decides its ordinal.
-    rows = cut.select(
-        "doc_id", "points", F.sha2("_norm", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("_row"),
-        F.posexplode_outer("_chunks").alias("_pos", "chunk"),
-    ).withColumn("chunk_id", identify(F.col("chunk")))
+    rows = cut.select("doc_id", "points", F.sha2("_norm", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("_row"), "_chunks")
+    rows = rows.select("doc_id", "points", "text_sha256", "_row", F.posexplode_outer("_chunks").alias("_pos", "chunk"))
+    rows = rows.withColumn("chunk_id", identify(F.col("chunk")))
     ranked = match_rows(rows, clashes, ["chunk_id", "chunk"], "left")
     step = F.struct("_pos", "chunk_id", F.coalesce("ordinal", F.lit(0)).alias("ordinal"))
     return (
