@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from difflib import SequenceMatcher
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -17,22 +16,6 @@ from pyspark.sql import types as T
 from dayline import lexicon
 
 
-@F.pandas_udf(T.DoubleType())
-def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    """difflib ratio (autojunk on); pairs must be blocked before this runs.
-
-    The matcher indexes its second text, so one matcher per distinct right text of the
-    batch serves all left texts compared with it.
-    """
-    out = [0.0] * len(left)
-    for text, rows in right.fillna("").groupby(right.fillna("")).indices.items():
-        matcher = SequenceMatcher(None, "", text)
-        for i in rows:
-            matcher.set_seq1(left.iat[i] or "")
-            out[i] = matcher.ratio()
-    return pd.Series(out, dtype="float64")
-
-
 _QUOTES = str.maketrans({"“": '"', "”": '"', "‘": "'", "’": "'"})
 
 
@@ -47,63 +30,80 @@ def match_text(values: pd.Series) -> pd.Series:
     return values.map(_match_text)
 
 
-class _BlockReader(HTMLParser):
-    """Collect the text of block elements, noting whether a content container was open."""
+OPEN, CLOSE, TEXT = 1, -1, 0
+
+
+class _Events(HTMLParser):
+    """A page as a flat list of ``(kind, tag or text, attributes)``."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.blocks: list[tuple[bool, str]] = []
-        self.open: list[tuple[str, bool]] = []
-        self.skipping = 0
-        self.block: str | None = None
-        self.parts: list[str] = []
+        self.events: list[tuple[int, str, list]] = []
 
     def handle_starttag(self, tag, attrs):
-        if tag in lexicon.SKIP_TAGS:
-            self.skipping += 1
-        elif not self.skipping:
-            hinted = any(
-                hint in (value or "").lower()
-                for name, value in attrs
-                if name in lexicon.CONTAINER_ATTRIBUTES
-                for hint in lexicon.CONTAINER_HINTS
-            )
-            self.open.append((tag, hinted or tag in lexicon.CONTAINER_TAGS))
-            if tag in lexicon.BLOCK_TAGS:
-                # A new block discards the text of one that was never closed.
-                self.block, self.parts = tag, []
+        self.events.append((OPEN, tag, attrs))
 
     def handle_endtag(self, tag):
-        if self.skipping:
-            self.skipping -= tag in lexicon.SKIP_TAGS
-            return
-        if tag == self.block:
-            self.flush()
-        names = [name for name, _ in self.open]
-        if tag in names:
-            del self.open[len(names) - 1 - names[::-1].index(tag):]
+        self.events.append((CLOSE, tag, []))
 
     def handle_data(self, data):
-        if self.block and not self.skipping:
-            self.parts.append(data)
+        self.events.append((TEXT, data, []))
+
 
-    def flush(self):
-        if self.block:
-            text = re.sub(r"\s+([.,;:!?])", r"\1", " ".join(" ".join(self.parts).split()))
-            if text:
-                self.blocks.append((any(c for _, c in self.open), text))
-        self.block, self.parts = None, []
+def _visible(events: list) -> list:
+    """Events outside skipped elements: the depth is the running sum of their tags above its lowest value so far."""
+    total = lowest = 0
+    seen = []
+    for event in events:
+        step = event[0] if event[1] in lexicon.SKIP_TAGS else 0
+        if not step and total == lowest:
+            seen.append(event)
+        total += step
+        lowest = min(lowest, total)
+    return seen
+
+
+def _is_container(tag: str, attrs: list) -> bool:
+    named = " ".join((v or "").lower() for k, v in attrs if k in lexicon.CONTAINER_ATTRIBUTES)
+    return tag in lexicon.CONTAINER_TAGS or any(hint in named for hint in lexicon.CONTAINER_HINTS)
+
+
+def _inside_container(events: list) -> list[bool]:
+    """Of each event, whether a container is open when it comes; a closing tag closes all opened since its own."""
+    path: list[tuple[str, bool]] = []  # tag, and whether it or one around it is a container
+    flags = []
+    for kind, tag, attrs in events:
+        flags.append(bool(path) and path[-1][1])
+        if kind == OPEN:
+            path.append((tag, flags[-1] or _is_container(tag, attrs)))
+        elif kind == CLOSE:
+            depth = next((i for i in range(len(path) - 1, -1, -1) if path[i][0] == tag), len(path))
+            del path[depth:]
+    return flags + [bool(path) and path[-1][1]]
 
 
 def _blocks(html: str | None) -> list[dict]:
-    reader = _BlockReader()
+    """Text from each opening block tag to its closing one; a block that another opens in is lost."""
+    reader = _Events()
     try:
         reader.feed((html or "").strip())
-        reader.flush()
         reader.close()
     except Exception:  # a broken page yields no text instead of failing the task
         return []
-    return [{"pos": i, "in_container": c, "block": b} for i, (c, b) in enumerate(reader.blocks)]
+    events = _visible(reader.events)
+    inside = _inside_container(events)
+    opened = [i for i, (kind, tag, _) in enumerate(events) if kind == OPEN and tag in lexicon.BLOCK_TAGS]
+    out = []
+    for start, following in zip(opened, [*opened[1:], None]):
+        reach = range(start + 1, len(events) if following is None else following)
+        end = next((i for i in reach if events[i][:2] == (CLOSE, events[start][1])), len(events) if following is None else None)
+        if end is None:
+            continue
+        words = " ".join(data for kind, data, _ in events[start + 1 : end] if kind == TEXT).split()
+        text = re.sub(r"\s+([.,;:!?])", r"\1", " ".join(words))
+        if text:
+            out.append({"pos": len(out), "in_container": inside[end], "block": text})
+    return out
 
 
 _BLOCK = T.StructType(
@@ -115,28 +115,3 @@ _BLOCK = T.StructType(
 def html_blocks(pages: pd.Series) -> pd.Series:
     """Text blocks of a page in document order."""
     return pages.map(_blocks)
-
-
-class _TextReader(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__()
-        self.parts: list[str] = []
-
-    def handle_data(self, data):
-        self.parts.append(data)
-
-
-def _html_text(value: str | None) -> str:
-    reader = _TextReader()
-    try:
-        reader.feed((value or "").strip())
-        text = " ".join(" ".join(reader.parts).split())
-    except Exception:
-        text = " ".join((value or "").split())
-    return re.sub(r"\s+([.,;:!?])", r"\1", text)
-
-
-@F.pandas_udf(T.StringType())
-def html_text(values: pd.Series) -> pd.Series:
-    """All text of an HTML fragment, white space collapsed, no blank before punctuation."""
-    return values.map(_html_text)

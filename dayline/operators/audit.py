@@ -118,8 +118,8 @@ def audit_insights(insights: DataFrame, items: DataFrame) -> DataFrame:
 def audit_summary(records: DataFrame) -> DataFrame:
     """Claims per audit type with a total row (``records``: report_date, audit_type, status)."""
     return records.rollup("report_date", "audit_type").agg(
-        F.count(F.lit(1)).alias("total_claims"), F.count_if(F.col("status") == SUPPORTED).alias("supported_claims"), F.count_if(F.col("status") != SUPPORTED).alias("unsupported_claims")
-    ).where("report_date IS NOT NULL").withColumn("audit_type", F.coalesce("audit_type", F.lit("all")))
+        F.count(F.lit(1)).alias("total_claims"), F.count_if(F.col("status") == SUPPORTED).alias("supported_claims"), F.count_if(F.col("status") != SUPPORTED).alias("unsupported_claims"), F.grouping_id().alias("_level"),
+    ).where("_level < 3").withColumn("audit_type", F.when(F.col("_level") == 1, "all").otherwise(F.col("audit_type"))).drop("_level")
 
 
 # --- level consistency -----------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayline.operators.groups import lookup
-from dayline.session import discard, durable
+from dayline.session import append, discard, durable
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -40,27 +40,27 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
 
 
-def first_fit(claims: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def first_fit(claims: DataFrame) -> DataFrame:
     """Positions kept when rows arrive in order and a row sharing a key with a kept row is dropped.
 
     ``claims(pos, value)`` holds the keys of each row.  A row is decided once it is the
     earliest undecided row of all its keys; every round decides at least the earliest row
-    of each cluster, and clusters are decided side by side.
+    of each cluster, and clusters are decided side by side.  Rounds follow the longest chain of
+    rows that wait for each other, with no cap; a round's tables are deleted when it is over,
+    and winners are gathered in one table.
     """
-    claims = claims.distinct()
-    kept = None
-    open_claims = durable(claims)
-    for _ in range(max_rounds):
+    open_claims = durable(claims.distinct())
+    winners_of_all = None
+    while True:
         first = open_claims.groupBy("value").agg(F.min("pos").alias("first_pos"))
         marked = lookup(open_claims, first, ["value"], "inner")
-        winners = durable(
-            marked.groupBy("pos").agg(F.bool_and(F.col("pos") == F.col("first_pos")).alias("wins")).where("wins").select("pos")
-        )
-        kept = winners if kept is None else kept.unionByName(winners)
+        winners = marked.groupBy("pos").agg(F.bool_and(F.col("pos") == F.col("first_pos")).alias("wins")).where("wins").select("pos")
+        winners_of_all = durable(winners) if winners_of_all is None else append(winners_of_all, winners)
         # Each value is claimed by at most one winner, so this has one row per value.
-        taken = open_claims.join(winners, "pos", "left_semi").select("value")
+        taken = lookup(open_claims, winners_of_all, ["pos"], "left_semi").select("value").distinct()
         gone = lookup(open_claims, taken, ["value"], "left_semi").select("pos").distinct()
-        open_claims = durable(open_claims.join(gone, "pos", "left_anti"))
+        done, open_claims = open_claims, durable(open_claims.join(gone, "pos", "left_anti"))
+        discard(done)
         if open_claims.isEmpty():
-            return kept
-    raise RuntimeError("first-fit did not settle")
+            discard(open_claims)
+            return winners_of_all

@@ -123,13 +123,20 @@ def iso_time(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
 
 
+#: Opens the lines of a topic (fixed value).
+CONTEXT_HEADER = "Historical context for topic: "
+#: Characters of a line whose fields are all empty, and of a catalog record likewise: the least a row can cost.
+LEAST_LINE = len("1. [] () importance=: ")
+
+
 def context_lines(retrieved: DataFrame) -> DataFrame:
-    """The text line of each retrieved entry and the header of its topic."""
+    """The text line of each retrieved entry and the header of its topic; null fields are empty."""
+    shown = lambda c: F.coalesce(c, F.lit(""))
     line = F.concat(
-        F.col("rank").cast("string"), F.lit(". ["), iso_time(F.col("published_at")), F.lit("] "), F.col("title"), F.lit(" ("),
-        F.col("source"), F.lit(") importance="), F.col("importance_score").cast("string"), F.lit(": "), F.col("summary"),
+        F.col("rank").cast("string"), F.lit(". ["), shown(iso_time(F.col("published_at"))), F.lit("] "), shown(F.col("title")), F.lit(" ("),
+        shown(F.col("source")), F.lit(") importance="), shown(F.col("importance_score").cast("string")), F.lit(": "), shown(F.col("summary")),
     )
-    header = F.concat(F.lit("Historical context for topic: "), F.lower(strip(F.col("topic"))))
+    header = F.concat(F.lit(CONTEXT_HEADER), F.lower(strip(shown(F.col("topic")))))
     return retrieved.withColumns({"line": line, "header": header})
 
 
@@ -156,12 +163,16 @@ def metadata_context(retrieved: DataFrame, topics: DataFrame, max_chars: int = 1
         F.col("rank") == 1, F.when(F.col("_first"), 0).otherwise(2) + F.length("header") + 1 + F.length("line")
     ).otherwise(1 + F.length("line"))
     order = [F.col("first_pos"), F.col("topic_key"), F.col("rank")]
-    return _prefix(ordered, ["report_date"], order, cost, max_chars, 24).drop("_first")
+    return _prefix(ordered, ["report_date"], order, cost, max_chars, LEAST_LINE).drop("_first")
 
 
 CATALOG_FIELDS = ("memory_item_id", "topic", "title", "source", "url", "published_at", "summary", "entities", "event_type", "importance_score", "risk_level", "opportunity_level")
 
 
+#: Characters of the keys of a record with their quotes, colons and commas.
+LEAST_RECORD = sum(len(name) + 6 for name in CATALOG_FIELDS)
+
+
 def catalog(retrieved: DataFrame) -> DataFrame:
     """Full-text candidates: the first occurrence of each history id per report date."""
     known = retrieved.where(strip(F.coalesce("memory_item_id", F.lit(""))) != "")
@@ -184,7 +195,7 @@ def selector_catalog(candidates: DataFrame, max_chars: int = 16000) -> DataFrame
         return sized
     # Brackets cost two in all and each separator two: n records cost their sizes plus 2n.
     order = [F.col("topic_key"), F.col("rank"), F.col("memory_item_id")]
-    return _prefix(sized, ["report_date"], order, F.col("json_chars") + 2, max_chars, 200)
+    return _prefix(sized, ["report_date"], order, F.col("json_chars") + 2, max_chars, LEAST_RECORD)
 
 
 # --- full-text selection ---------------------------------------------------------
@@ -270,7 +281,7 @@ def read_fulltext(selected: DataFrame, candidates: DataFrame, stored: DataFrame,
 def structured_keys(items: DataFrame) -> DataFrame:
     """(id, place, value): keys to look a source up by, in order of preference."""
     own = F.array(F.col("id"), F.col("url"), F.col("content_hash"))
-    raw = F.when(F.col("id").startswith("structured-"), F.array(F.concat(F.lit("raw-"), F.substring("id", 12, 1_000_000)))).otherwise(F.array().cast("array<string>"))
+    raw = F.when(F.col("id").startswith("structured-"), F.array(F.regexp_replace("id", "^structured-", "raw-"))).otherwise(F.array().cast("array<string>"))
     keys = F.concat(F.transform("evidence_sources", lambda s: s["source_item_id"]), own, raw)
     return items.select("id", F.posexplode(keys).alias("place", "value")).where("value <> ''")
 
@@ -309,7 +320,7 @@ def to_entries(items: DataFrame, sources: DataFrame | None = None, run_id: str |
     kept = F.map_filter(F.coalesce("_source_meta", F.create_map().cast("map<string,string>")), lambda k, v: k.isin(*LIGHT_METADATA) & v.isNotNull())
     own = F.create_map(F.lit("run_id"), F.lit(run_id), F.lit("run_date"), F.lit(run_date), F.lit("source_type"), F.col("source_type"), F.lit("language"), F.col("language"))
     first_source = F.get(F.filter(F.transform("evidence_sources", lambda s: s["source_item_id"]), lambda s: s != ""), F.lit(0))
-    raw_id = F.when(F.col("id").startswith("structured-"), F.concat(F.lit("raw-"), F.substring("id", 12, 1_000_000)))
+    raw_id = F.when(F.col("id").startswith("structured-"), F.regexp_replace("id", "^structured-", "raw-"))
     key = safe_record_id(F.col("id"))
     carried = [c for c in ("report_date", "pos") if c in items.columns]
     return items.select(

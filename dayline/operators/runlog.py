@@ -26,12 +26,12 @@ def price_calls(calls: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def call_rollup(calls: DataFrame) -> DataFrame:
-    """Calls per run and step with run totals (step 'all')."""
+    """Calls per run and step with run totals (step 'all'); calls without a step stay under a null step."""
     money = F.sum(F.col("cost_usd").cast("decimal(20,10)")).cast("double")
     return calls.rollup("run_id", "step_name").agg(
         F.count(F.lit(1)).alias("call_count"), F.bool_and("success").alias("success"), F.sum("prompt_tokens").alias("prompt_tokens"), F.sum("completion_tokens").alias("completion_tokens"),
-        F.sum("total_tokens").alias("total_tokens"), money.alias("cost_usd"), F.sum("elapsed_ms").alias("elapsed_ms"), F.count("error").alias("error_count"),
-    ).where("run_id IS NOT NULL").withColumn("step_name", F.coalesce("step_name", F.lit("all")))
+        F.sum("total_tokens").alias("total_tokens"), money.alias("cost_usd"), F.sum("elapsed_ms").alias("elapsed_ms"), F.count("error").alias("error_count"), F.grouping_id().alias("_level"),
+    ).where("_level < 3").withColumn("step_name", F.when(F.col("_level") == 1, "all").otherwise(F.col("step_name"))).drop("_level")
 
 
 def error_histogram(errors: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayline.functions.arrow import sequence_ratio
 from dayline.functions.once import once
 from dayline.functions.similarity import entity_set, jaccard, normal, novelty, overlap, token_set
 from dayline.functions.topics import topic_key
@@ -41,19 +40,15 @@ def _features(rows: DataFrame, side: str, *carry: str) -> DataFrame:
     ).drop("title", "summary", "entities", "event_type")
 
 
-def score_pairs(pairs: DataFrame, with_sequence: bool = True) -> DataFrame:
+def score_pairs(pairs: DataFrame) -> DataFrame:
     """Scores, relationship, confidence and signals of each pair.
 
-    The sequence ratio is the only step outside the JVM and runs once per pair and field;
-    without it (``with_sequence=False``) the token similarity alone decides.
+    Texts are compared by their token sets, inside the JVM.
     """
     out = pairs
     for name in ("title", "summary", "both"):
         left, right = F.col(f"l_{name}_tokens"), F.col(f"r_{name}_tokens")
         score = jaccard(left, right)
-        if with_sequence:
-            ratio = sequence_ratio(F.col(f"l_{name}"), F.col(f"r_{name}"))
-            score = F.when((F.size(left) == 0) | (F.size(right) == 0), 0.0).otherwise(F.greatest(score, ratio * 0.85))
         out = out.withColumn(f"{name}_similarity", score)
     out = once(out, {f"{n}_similarity": F.col(f"{n}_similarity") for n in ("title", "summary", "both")})
     out = out.withColumnRenamed("both_similarity", "combined_similarity")

@@ -95,22 +95,6 @@ def item_audit(spark, sf):
     return a.select(DAY(), "item_id", "supported_evidence_count", "status")
 
 
-def passages(spark, sf):
-    """Which benchmark passages are quoted by which documents: quotes looked up by their opening words."""
-    b = table(spark, sf, "benchmark").select("item_id", audit.match_text("text").alias("quote"))
-    d = table(spark, sf, "documents").select("doc_id", audit.match_text("text").alias("body"))
-    # Block on the first five words of a passage: a document can only contain it if it has them in sequence.
-    gram = F.expr("transform(sequence(0, greatest(size(w) - 5, 0)), i -> array_join(slice(w, i + 1, 5), ' '))")
-    grams = d.withColumn("w", F.split("body", " ")).select("doc_id", F.explode(F.array_distinct(gram)).alias("opening"))
-    heads = b.withColumn("opening", F.array_join(F.slice(F.split("quote", " "), 1, 5), " "))
-    hits = grams.join(heads, "opening").select("doc_id", "item_id", "quote")
-    return hits.join(d, "doc_id").where(F.contains("body", F.col("quote"))).select("doc_id", "item_id")
-
-
-_NORM = "trim(regexp_replace(replace(lower(text), 'ß', 'ss'), '\\s+', ' ', 'g'))"
-_PASSAGES = f"WITH b AS (SELECT item_id, {_NORM} AS q FROM benchmark), d AS (SELECT doc_id, {_NORM} AS t FROM documents) SELECT doc_id, item_id FROM d JOIN b ON contains(' ' || t || ' ', q) AND (starts_with(t, q) OR contains(t, ' ' || q))"
-
-
 def _insights(spark, sf):
     """The report sections as one long table of insights with their evidence."""
     s = _s(spark, sf)
@@ -230,7 +214,6 @@ PLANS = {
     "va9_record_validation": (assessments, _ASSESS),
     "va3_evidence_audit": (item_audit, f"WITH {STRUCTURED_SQL} SELECT {DAY_SQL}, id AS item_id, ({_ST} = 'supported')::INT AS supported_evidence_count, CASE WHEN {_ST} = 'supported' THEN 'supported' ELSE 'missing_quote' END AS status FROM structured"),
     "j5_claim_containment": (claim_audit, f"WITH {STRUCTURED_SQL} SELECT id AS item_id, {_ST} AS status FROM structured"),
-    "j5_passage_quotes": (passages, _PASSAGES),
     "j6_insight_sources": (insight_sources, _INS_SOURCES),
     "va4_insight_audit": (insight_audit, _INS_AUDIT),
     "ag14_audit_summary": (audit_totals, _TOTALS),

@@ -132,17 +132,16 @@ def pair_keys(spark, sf):
     return pairs(spark, sf).select(DAY(), "item_id", "memory_item_id")
 
 
-def scored(spark, sf, with_sequence=False):
-    name = "scored_sequence" if with_sequence else "scored"
-    return inputs.stage(spark, sf, name, lambda spark, sf: score(spark, sf, with_sequence))
+def scored(spark, sf):
+    return inputs.stage(spark, sf, "scored", score)
 
 
-def score(spark, sf, with_sequence=False):
-    return similarity.score_pairs(pairs(spark, sf), with_sequence)
+def score(spark, sf):
+    return similarity.score_pairs(pairs(spark, sf))
 
 
-def relationships(spark, sf, with_sequence=False):
-    matches = similarity.best_matches(scored(spark, sf, with_sequence))
+def relationships(spark, sf):
+    matches = similarity.best_matches(scored(spark, sf))
     return similarity.item_relationships(inputs.structured(spark, sf), matches)
 
 
@@ -178,10 +177,6 @@ _SCORES = f"""WITH {SCORED_SQL} SELECT {DAY_SQL}, item_id, memory_item_id, relat
  CASE WHEN cs >= 0.50 THEN 'combined_text_similarity' END, CASE WHEN novelty THEN 'novelty_signal' END], lambda x: x IS NOT NULL), ',') AS signals FROM scored"""
 
 
-def sequence_scores(spark, sf):
-    return score(spark, sf, True).select(DAY(), "item_id", "memory_item_id", "relationship", "confidence")
-
-
 def best(spark, sf):
     return similarity.best_matches(scored(spark, sf)).select(DAY(), "item_id", "memory_item_id", "match_rank", "relationship", "confidence")
 
@@ -357,7 +352,6 @@ PLANS = {
     "w4_selector_catalog": (selector, _SELECTOR),
     "j4_candidate_pairs": (pair_keys, f"WITH {SCORED_SQL} SELECT {DAY_SQL}, item_id, memory_item_id FROM pr"),
     "cl13_relationship": (scores, _SCORES),
-    "cl13_relationship_sequence": (sequence_scores, None),
     "w1_best_matches": (best, f"WITH {SCORED_SQL} SELECT {DAY_SQL}, item_id, memory_item_id, match_rank, relationship, confidence FROM matched"),
     "j4_item_relationships": (item_rows, f"WITH {SCORED_SQL} SELECT {DAY_SQL}, item_id, topic, relationship, confidence, array_to_string(ids, ',') AS ids FROM rel"),
     "ag5_relationship_counts": (counts, _COUNTS),

@@ -7,8 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from dayline import schemas
-from dayline.functions.text import first_sentence, plain_spacing, squeeze
-from dayline.functions.arrow import html_text
+from dayline.functions.text import first_sentence, markup_to_text, plain_spacing, squeeze
 from dayline.plans import inputs
 from dayline.plans.inputs import RAW_SQL, any_word, sentence_sql, squeeze_sql, table
 from dayline.session import checkpoint_folder
@@ -229,7 +228,7 @@ SELECT doc_id, err AS full_content_error, CASE WHEN err IS NULL THEN 'article_ht
 
 def html(spark, sf):
     marked = F.concat(F.lit("<p>"), _xml(F.col("text")), F.lit("</p><br/> ."))
-    return table(spark, sf, "documents").select("doc_id", F.md5(html_text(marked)).alias("text_md5"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(markup_to_text(marked)).alias("text_md5"))
 
 
 _HTML = f"""SELECT doc_id, md5({_clean("text || ' .'")}) AS text_md5 FROM documents"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dayline import lexicon
 from dayline.functions import similarity, text, topics, urls, values
-from dayline.functions.arrow import match_text, sequence_ratio
+from dayline.functions.arrow import match_text
 from dayline.plans.inputs import PHRASES, fingerprint_sql, quote, sentence_sql, sql_list, squeeze_sql, table, url_sql
 
 D = "documents"
@@ -66,44 +66,42 @@ _TOKENS = f"list_filter(list_distinct(regexp_extract_all(lower(%s), '[a-z0-9]+|[
 
 
 def _pairs(spark, sf):
-    """Each benchmark passage next to the conversation turns of the same number."""
+    """Every conversation turn next to a benchmark passage: numbers go round the passages."""
     b = table(spark, sf, "benchmark").withColumnRenamed("text", "left")
+    n = b.agg(F.max("item_id")).first()[0] + 1
     c = table(spark, sf, "conversations").withColumnRenamed("text", "right")
-    return b.join(c, b["item_id"] == c["conv_id"])
+    return b.join(c, b["item_id"] == c["conv_id"] % n)
 
 
-_PAIRS = "SELECT item_id, turn, b.text AS l, c.text AS r FROM benchmark b JOIN conversations c ON b.item_id = c.conv_id"
+_PAIRS = """SELECT item_id, conv_id, turn, b.text AS l, c.text AS r FROM benchmark b
+  JOIN conversations c ON b.item_id = c.conv_id % (SELECT max(item_id) + 1 FROM benchmark)"""
 
 
 def jaccard(spark, sf):
-    return _pairs(spark, sf).select("item_id", "turn", F.round(similarity.jaccard(similarity.token_set(F.col("left")), similarity.token_set(F.col("right"))), 6).alias("jaccard"))
+    return _pairs(spark, sf).select("item_id", "conv_id", "turn", F.round(similarity.jaccard(similarity.token_set(F.col("left")), similarity.token_set(F.col("right"))), 6).alias("jaccard"))
 
 
-_JACCARD_SQL = f"""WITH p AS ({_PAIRS}), t AS (SELECT item_id, turn, {_TOKENS % 'l'} AS a, {_TOKENS % 'r'} AS b FROM p)
-SELECT item_id, turn, round(CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0 ELSE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) END, 6) AS jaccard FROM t"""
-
-
-def ratio(spark, sf):
-    return _pairs(spark, sf).select("item_id", "turn", F.round(sequence_ratio(similarity.normal(F.col("left")), similarity.normal(F.col("right"))), 6).alias("ratio"))
+_JACCARD_SQL = f"""WITH p AS ({_PAIRS}), t AS (SELECT item_id, conv_id, turn, {_TOKENS % 'l'} AS a, {_TOKENS % 'r'} AS b FROM p)
+SELECT item_id, conv_id, turn, round(CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0 ELSE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) END, 6) AS jaccard FROM t"""
 
 
 def entity_overlap(spark, sf):
     words = lambda c: F.split(text.squeeze(F.col(c)), " ")
-    return _pairs(spark, sf).select("item_id", "turn", F.round(similarity.overlap(similarity.entity_set(words("left")), similarity.entity_set(words("right"))), 6).alias("overlap"))
+    return _pairs(spark, sf).select("item_id", "conv_id", "turn", F.round(similarity.overlap(similarity.entity_set(words("left")), similarity.entity_set(words("right"))), 6).alias("overlap"))
 
 
-_OVERLAP_SQL = f"""WITH p AS ({_PAIRS}), t AS (SELECT item_id, turn, list_distinct(string_split(lower({squeeze_sql('l')}), ' ')) AS a0, list_distinct(string_split(lower({squeeze_sql('r')}), ' ')) AS b0 FROM p),
-u AS (SELECT item_id, turn, list_filter(a0, lambda x: x NOT IN ('', 'ai')) AS a, list_filter(b0, lambda x: x NOT IN ('', 'ai')) AS b FROM t)
-SELECT item_id, turn, round(CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0 ELSE len(list_intersect(a, b)) / least(len(a), len(b)) END, 6) AS overlap FROM u"""
+_OVERLAP_SQL = f"""WITH p AS ({_PAIRS}), t AS (SELECT item_id, conv_id, turn, list_distinct(string_split(lower({squeeze_sql('l')}), ' ')) AS a0, list_distinct(string_split(lower({squeeze_sql('r')}), ' ')) AS b0 FROM p),
+u AS (SELECT item_id, conv_id, turn, list_filter(a0, lambda x: x NOT IN ('', 'ai')) AS a, list_filter(b0, lambda x: x NOT IN ('', 'ai')) AS b FROM t)
+SELECT item_id, conv_id, turn, round(CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0 ELSE len(list_intersect(a, b)) / least(len(a), len(b)) END, 6) AS overlap FROM u"""
 
 
 def set_algebra(spark, sf):
     a, b = similarity.token_set(F.col("left")), similarity.token_set(F.col("right"))
-    return _pairs(spark, sf).select("item_id", "turn", F.size(F.array_intersect(a, b)).alias("n_both"), F.size(F.array_union(a, b)).alias("n_any"), F.size(F.array_except(a, b)).alias("n_left_only"))
+    return _pairs(spark, sf).select("item_id", "conv_id", "turn", F.size(F.array_intersect(a, b)).alias("n_both"), F.size(F.array_union(a, b)).alias("n_any"), F.size(F.array_except(a, b)).alias("n_left_only"))
 
 
-_SETS_SQL = f"""WITH p AS ({_PAIRS}), t AS (SELECT item_id, turn, {_TOKENS % 'l'} AS a, {_TOKENS % 'r'} AS b FROM p)
-SELECT item_id, turn, len(list_intersect(a, b)) AS n_both, len(list_distinct(list_concat(a, b))) AS n_any, len(list_filter(a, lambda x: NOT list_contains(b, x))) AS n_left_only FROM t"""
+_SETS_SQL = f"""WITH p AS ({_PAIRS}), t AS (SELECT item_id, conv_id, turn, {_TOKENS % 'l'} AS a, {_TOKENS % 'r'} AS b FROM p)
+SELECT item_id, conv_id, turn, len(list_intersect(a, b)) AS n_both, len(list_distinct(list_concat(a, b))) AS n_any, len(list_filter(a, lambda x: NOT list_contains(b, x))) AS n_left_only FROM t"""
 
 
 def novelty(spark, sf):
@@ -258,7 +256,6 @@ PLANS = {
     "sc7_first_sentence": (first_sentence, _BODY + f"{sentence_sql('body')} AS sentence FROM d"),
     "sc8_token_set": (token_sets, f"WITH t AS (SELECT doc_id, {_TOKENS % squeeze_sql('text')} AS t FROM documents) SELECT doc_id, len(t) AS n, md5(array_to_string(list_sort(t), ' ')) AS tokens_md5 FROM t"),
     "sc9_jaccard": (jaccard, _JACCARD_SQL),
-    "sc10_sequence_ratio": (ratio, None),
     "sc11_entity_overlap": (entity_overlap, _OVERLAP_SQL),
     "sc12_novelty": (novelty, _NOVELTY_SQL),
     "sc13_quote_form": (quote_form, _QUOTE_SQL),

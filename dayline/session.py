@@ -54,17 +54,15 @@ def durable(df: DataFrame) -> DataFrame:
     return table
 
 
+def append(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """Add rows to the table that ``durable`` wrote; a task that is repeated adds them once."""
+    rows.write.mode("append").parquet(table.durable_path)
+    more = table.sparkSession.read.schema(table.schema).parquet(table.durable_path)
+    more.durable_path = table.durable_path
+    return more
+
+
 def discard(table: DataFrame) -> None:
     """Delete the table that ``durable`` wrote; nothing may read it any more."""
     path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.durable_path)
     path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan only when it has fewer partitions than the session has cores.
-
-    Small inputs, such as a file with one row group, otherwise run in one task.  A scan
-    of many files has more partitions than cores and stays as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

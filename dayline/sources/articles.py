@@ -49,7 +49,9 @@ def article_text(pages: DataFrame, html: str = "html") -> DataFrame:
     Only the HTML reader runs in Python; filtering, dedupe and choice are column
     expressions over one page's blocks.
     """
-    rows = pages.drop(html).withColumn("_b", F.lit(None)) if html not in pages.columns else pages.withColumn("_b", html_blocks(F.col(html))).drop(html)
+    if html not in pages.columns:
+        raise ValueError(f"pages have no column {html!r}")
+    rows = pages.withColumn("_b", html_blocks(F.col(html))).drop(html)
     rows = rows.withColumn("_all", F.filter("_b", lambda b: is_useful(b["block"])))
     rows = rows.withColumn("_in", F.filter("_all", lambda b: b["in_container"]))
     rows = _joined(_joined(rows, "_all", "_all_text"), "_in", "_in_text")

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayline import schemas
-from dayline.functions.arrow import html_text
-from dayline.functions.text import strip
+from dayline.functions.text import markup_to_text, strip
 from dayline.functions.urls import url_host
 from dayline.functions.values import epoch_timestamp, feed_timestamp
 from dayline.operators.groups import top_per_group
@@ -48,7 +47,7 @@ def rss_entries(payloads: DataFrame) -> DataFrame:
     """Entries of RSS payloads in feed order; a missing date falls back to the fetch time."""
     parsed = payloads.select("source_name", "source_url", "fetched_at", F.from_xml("body", _RSS, _XML).alias("x"))
     rows = parsed.select("source_name", "source_url", "fetched_at", F.posexplode("x.channel.item").alias("pos", "e")).select("source_name", "source_url", "fetched_at", "pos", "e.*")
-    rows = rows.withColumns({"title": _text("title"), "url": _text("link"), "summary": html_text(F.coalesce("summary", "description", F.lit(""))), "body": html_text(F.coalesce("encoded", F.lit("")))})
+    rows = rows.withColumns({"title": _text("title"), "url": _text("link"), "summary": markup_to_text(F.coalesce("summary", "description", F.lit(""))), "body": markup_to_text(F.coalesce("encoded", F.lit("")))})
     rows = rows.where("title <> '' AND url <> ''")
     guid = _text("guid")
     return rows.select(
@@ -65,7 +64,7 @@ def _alternate() -> Column:
 
 def atom_entries(payloads: DataFrame) -> DataFrame:
     """Entries of Atom payloads in feed order."""
-    rows = _atom_rows(payloads).withColumn("text", html_text(F.coalesce("content", F.lit(""))))
+    rows = _atom_rows(payloads).withColumn("text", markup_to_text(F.coalesce("content", F.lit(""))))
     return rows.where("title <> '' AND url <> ''").select(
         "source_name", "source_url", "pos", "title", "url", "published_at", "summary", F.when(F.col("text") != "", F.col("text")).otherwise(F.col("summary")).alias("content"),
         F.when(F.col("external_id") != "", F.col("external_id")).otherwise(F.col("url")).alias("external_id"), F.create_map(F.lit("content_source"), F.lit("rss_feed")).alias("metadata"),
@@ -76,7 +75,7 @@ def _atom_rows(payloads: DataFrame) -> DataFrame:
     parsed = payloads.select("source_name", "source_url", "fetched_at", F.from_xml("body", _ATOM, _XML).alias("x"))
     rows = parsed.select("source_name", "source_url", "fetched_at", F.posexplode("x.entry").alias("pos", "e")).select("source_name", "source_url", "fetched_at", "pos", "e.*")
     return rows.withColumns(
-        {"title": _text("title"), "url": _text(_alternate()), "external_id": _text("id"), "published_at": F.coalesce(_first_time("published", "updated", "created"), "fetched_at"), "summary": html_text(F.coalesce("summary", F.lit("")))}
+        {"title": _text("title"), "url": _text(_alternate()), "external_id": _text("id"), "published_at": F.coalesce(_first_time("published", "updated", "created"), "fetched_at"), "summary": markup_to_text(F.coalesce("summary", F.lit("")))}
     )
 
 
@@ -120,7 +119,7 @@ def release_entries(payloads: DataFrame) -> DataFrame:
     ok = release_outcomes(payloads).where("outcome = 'ok'")
     rows = ok.select("source_name", "source_url", "fetched_at", F.posexplode("releases").alias("pos", "r")).select("source_name", "source_url", "fetched_at", "pos", "r.*")
     name = F.when(_text("name") != "", _text("name")).otherwise(_text("tag_name"))
-    rows = rows.withColumns({"label": name, "url": _text("html_url"), "text": html_text(F.coalesce("body", F.lit("")))}).where("label <> '' AND url <> ''")
+    rows = rows.withColumns({"label": name, "url": _text("html_url"), "text": markup_to_text(F.coalesce("body", F.lit("")))}).where("label <> '' AND url <> ''")
     return rows.select(
         "source_name", "source_url", "pos", F.concat_ws(" ", "source_name", "label").alias("title"), "url", F.coalesce(feed_timestamp(F.col("published_at")), "fetched_at").alias("published_at"),
         F.substring("text", 1, 500).alias("summary"), F.col("text").alias("content"), F.when(_text("id") != "", _text("id")).otherwise(F.concat_ws(":", "source_name", "label")).alias("external_id"),
@@ -149,7 +148,7 @@ def story_entries(lists: DataFrame, stories: DataFrame, max_items: int, keywords
     first = offered.groupBy("story_id").agg(F.min(F.struct("list_order", "at", "list_name")).alias("p"))
     parsed = stories.select(F.from_json("body", _STORY).alias("s")).select("s.*").where("type = 'story'")
     rows = first.join(parsed, first["story_id"] == parsed["id"])
-    rows = rows.withColumns({"title": _text("title"), "text": html_text(F.coalesce("text", F.lit(""))), "link": _text("url")}).where("title <> ''")
+    rows = rows.withColumns({"title": _text("title"), "text": markup_to_text(F.coalesce("text", F.lit(""))), "link": _text("url")}).where("title <> ''")
     if keywords:
         body = F.lower(F.concat_ws(" ", "title", "text"))
         rows = rows.where(F.exists(F.array(*[F.lit(k.lower()) for k in keywords]), lambda k: F.contains(body, k)))
