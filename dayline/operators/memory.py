@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,26 +86,37 @@ def exclude_current(history: DataFrame, current: DataFrame) -> DataFrame:
     return history.join(gone, ["report_date", "memory_item_id"], "left_anti")
 
 
-def retrieve(history: DataFrame, current: DataFrame, window_days: int = 7, limit: int = 10) -> DataFrame:
-    """Newest ``limit`` entries per report date and topic, published in the days before it.
+def retrieve(
+    history: DataFrame, current: DataFrame, window_days: int = 7, limit: int = 10, as_of: Column | None = None
+) -> DataFrame:
+    """Newest ``limit`` entries per report date and topic of the ``window_days`` before an instant.
 
-    The time window becomes an equi-join: each entry is copied to the ``window_days``
-    report dates that may read it, and only to dates with current items on its topic.
+    ``as_of`` is that instant as an expression over ``report_date``, by default the end of the
+    report date, so entries of the day itself are offered.  History is first cut to the range
+    that any report date may read, which prunes its scan; entries then meet instants by topic and
+    day, as narrow rows, and only the chosen ones get their other columns.
     """
     if window_days < 0 or limit < 1:
         raise ValueError("window_days must not be negative and limit must be positive")
-    day = F.to_date("published_at")
+    instant = F.date_add("report_date", 1).cast("timestamp") if as_of is None else as_of
     # The pairs of dates and topics are distinct values, not rows: small at any scale.
     asked = current.select("report_date", topic_key(F.col("topic")).alias("topic_key")).distinct()
-    if window_days == 0:
-        return history.limit(0).withColumns({"report_date": F.lit(None).cast("date"), "rank": F.lit(0)})
-    dated = history.withColumn("topic_key", topic_key(F.col("topic"))).withColumn(
-        "report_date", F.explode(F.sequence(F.date_add(day, 1), F.date_add(day, window_days)))
-    )
-    offered = lookup(dated, asked, ["report_date", "topic_key"], "left_semi")
+    asked = asked.withColumn("_as_of", instant).withColumn("_day", F.to_date("_as_of"))
+    first, last = asked.agg(F.min("_as_of"), F.max("_as_of")).first()
+    at = F.col("published_at")
+    if first is None or window_days == 0:
+        recent = history.limit(0)
+    else:
+        recent = history.where((at >= F.lit(first - timedelta(days=window_days))) & (at < F.lit(last)))
+    days = F.sequence(F.to_date(at), F.date_add(F.to_date(at), window_days))
+    narrow = recent.select("pos", "published_at", topic_key(F.col("topic")).alias("topic_key"), *ENTRY_KEYS, F.explode(days).alias("_day"))
+    offered = lookup(narrow, asked, ["topic_key", "_day"], "inner")
+    offered = offered.where((at < F.col("_as_of")) & (at >= F.col("_as_of") - F.make_dt_interval(F.lit(window_days))))
     fresh = exclude_current(offered, current)
-    order = [F.col("published_at").desc(), F.col("pos"), F.col("memory_item_id")]
-    return top_per_group(fresh, ["report_date", "topic_key"], order, limit)
+    order = [at.desc(), F.col("pos"), F.col("memory_item_id")]
+    chosen = top_per_group(fresh, ["report_date", "topic_key"], order, limit)
+    chosen = chosen.select("report_date", "topic_key", "memory_item_id", "pos", "rank")
+    return chosen.join(recent.drop("report_date", "topic_key", "rank"), ["memory_item_id", "pos"])
 
 
 def topics_in_order(items: DataFrame, configured: list[str] | None = None) -> DataFrame:

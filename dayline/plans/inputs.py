@@ -243,10 +243,10 @@ structured AS (
 
 STRUCTURED_SQL = _structured_sql()
 
-# Newest ten entries per report date and topic of the seven days before, without entries
+# Newest ten entries per report date and topic of the seven days up to its end, without entries
 # that share a key with a current item of the date.
 RETRIEVED_SQL = f"""{STRUCTURED_SQL},
-dated AS (SELECT s.*, unnest(range(1, 8)) AS ahead FROM structured s),
+dated AS (SELECT s.*, unnest(range(0, 7)) AS ahead FROM structured s),
 offered AS (SELECT * EXCLUDE (report_date, ahead), (published_at::DATE + ahead::INT)::DATE AS report_date FROM dated),
 asked AS (SELECT DISTINCT report_date, topic FROM structured),
 current_keys AS (SELECT DISTINCT report_date, unnest([id, url, content_hash]) AS k FROM structured),

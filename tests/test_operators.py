@@ -1,6 +1,7 @@
 """Small cases of single operators, stated as rows."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -190,3 +191,36 @@ def test_write_guard_and_progress(spark):
 
 def test_vocabularies_stay_consistent():
     assert len(lexicon.TOPICS) == 8 and set(lexicon.TOPIC_WORDS) == set(lexicon.TOPICS)
+
+
+def test_retrieval_by_instant_prunes_history(spark, tmp_path):
+    from datetime import date, datetime
+
+    columns = "pos BIGINT, id STRING, memory_item_id STRING, validated_item_id STRING, source_item_id STRING, url STRING, content_hash STRING, topic STRING, published_at TIMESTAMP"
+    days = [datetime(2026, 1, 3, 0, 30), datetime(2026, 1, 4), datetime(2026, 1, 10, 23), datetime(2026, 1, 11)]
+    rows = [(i, f"e{i}", f"m{i}", f"v{i}", "", f"u{i}", f"h{i}", "AI Agents", at) for i, at in enumerate(days)]
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "history"))
+    history = spark.read.parquet(str(tmp_path / "history"))
+    current = spark.createDataFrame([(date(2026, 1, 10), "AI Agents", "c", "x", "y")], "report_date DATE, topic STRING, id STRING, url STRING, content_hash STRING")
+    ids = lambda **k: [r["memory_item_id"] for r in memory.retrieve(history, current, **k).orderBy("rank").collect()]
+    assert ids() == ["m2", "m1"]
+    assert ids(as_of=F.lit(datetime(2026, 1, 10))) == ["m1", "m0"]
+    assert ids(window_days=0) == []
+    plan = memory.retrieve(history, current)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Filter .*published_at#\d+ >= 2026.* < 2026.*\n.*Relation .*parquet", plan)
+
+
+def test_null_fields_of_context_lines_are_empty(spark):
+    from datetime import datetime
+
+    row = (1, datetime(2026, 1, 1), "t", "s", 5, None, "AI Agents")
+    line = memory.context_lines(spark.createDataFrame([row], "rank INT, published_at TIMESTAMP, title STRING, source STRING, importance_score INT, summary STRING, topic STRING")).first()["line"]
+    assert line == "1. [2026-01-01T00:00:00+00:00] t (s) importance=5: "
+
+
+def test_null_step_is_not_the_total(spark):
+    calls = spark.createDataFrame(
+        [("r", None, True, 1, 1, 2, 0.5, 3, None)],
+        "run_id STRING, step_name STRING, success BOOLEAN, prompt_tokens INT, completion_tokens INT, total_tokens INT, cost_usd DOUBLE, elapsed_ms INT, error STRING",
+    )
+    assert sorted(str(r["step_name"]) for r in runlog.call_rollup(calls).collect()) == ["None", "all"]
