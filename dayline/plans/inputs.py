@@ -39,20 +39,26 @@ PHRASES = (
 )
 
 
-_stages: dict[tuple[str, str, str], str] = {}
+_stages: dict[tuple, str] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _changed(spark: SparkSession, sf: str) -> int:
+    """When the documents last changed: a stage of older ones isn't read again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf}/documents.parquet")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getModificationTime()
+
+
 def stage(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
-    """A stage table: written once per session and input, then read by every later step.
+    """A stage table: written once per session and state of the input, then read by every later step.
 
     Steps hand each other tables, so a text is cleaned and classified once, however many
     reports are made from it.
     """
-    key = (spark.sparkContext.applicationId, sf, name)
+    key = (spark.sparkContext.applicationId, sf, _changed(spark, sf), name)
     if key not in _stages:
         path = f"{checkpoint_folder(spark)}/stage-{name}-{uuid.uuid4().hex}"
         build(spark, sf).write.parquet(path)

@@ -278,18 +278,22 @@ def stream_ingest(spark, sf):
 
 
 def stream_health(spark, sf):
-    """Events read as a stream and rolled up per hour and step."""
+    """Events read as a stream and rolled up per hour and step; an hour is written once, when the watermark has passed it."""
     out = _folder(spark, "stream-health")
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     kind = F.when(F.col("event_type") == "error", "step_failed").otherwise("step_finished")
     trace = stream.select(F.col("ts").cast("timestamp").alias("timestamp"), F.col("event_type").alias("step_name"), kind.alias("event_type"), F.floor("value").alias("duration_ms"))
-    write = lambda batch, _: batch.write.mode("overwrite").parquet(out)
-    query = windowed_health(trace).writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", _folder(spark, "offsets")).trigger(availableNow=True).start()
+    write = lambda batch, number: batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+    query = windowed_health(trace).writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", _folder(spark, "offsets")).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.parquet(out).select(F.date_format("window_start", "yyyy-MM-dd HH").alias("hour"), "step_name", "events", "failures", "duration_ms")
 
 
+# Hours that the watermark, an hour behind the last event, has passed.
+_HEALTH_STREAM = """SELECT strftime(ts, '%Y-%m-%d %H') AS hour, event_type AS step_name, count(*) AS events, count_if(event_type = 'error') AS failures, sum(floor(value))::BIGINT AS duration_ms FROM events
+GROUP BY 1, 2, date_trunc('hour', ts) HAVING date_trunc('hour', ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events)"""
+
 PLANS = {
     "j9_price_lookup": (priced_calls, f"WITH {CALLS_SQL} SELECT item_id, cost_usd FROM priced"),
     "ag6_call_rollup": (call_rollup, _ROLLUP),
@@ -311,6 +315,6 @@ PLANS = {
     "snk3_replay": (replay, f"WITH {STRUCTURED_SQL} SELECT id, 'analyze' AS steps FROM structured"),
     "snk5_publish": (publish, f"WITH {STRUCTURED_SQL} SELECT id, topic FROM structured"),
     "st1_stream_ingest": (stream_ingest, f"WITH {CLEAN_SQL} SELECT DISTINCT title_fingerprint, 1 AS n FROM clean"),
-    "st2_stream_health": (stream_health, "SELECT strftime(ts, '%Y-%m-%d %H') AS hour, event_type AS step_name, count(*) AS events, count_if(event_type = 'error') AS failures, sum(floor(value))::BIGINT AS duration_ms FROM events GROUP BY ALL"),
+    "st2_stream_health": (stream_health, _HEALTH_STREAM),
 }
 __all__ = ["PLANS", "squeeze_sql"]
