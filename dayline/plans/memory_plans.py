@@ -43,7 +43,7 @@ def strong_keys(spark, sf):
 _ENTRY_KEYS = """entry_keys AS (SELECT DISTINCT id AS memory_item_id, unnest(['id', 'url', 'content_hash', 'memory_item_id', 'validated_item_id', 'id']) AS field, unnest([id, url, content_hash, id, id, raw_id]) AS value FROM {src})"""
 
 
-def _known(spark, sf):
+def known_history(spark, sf):
     return inputs.history(spark, sf).where(F.col("published_at") < CUT)
 
 
@@ -55,15 +55,15 @@ _SPLIT = f"{STRUCTURED_SQL}, known AS (SELECT * FROM structured WHERE published_
 
 
 def strong_matches(spark, sf):
-    return memory.strong_matches(_new(spark, sf), _known(spark, sf))
+    return memory.strong_matches(_new(spark, sf), known_history(spark, sf))
 
 
 def matched_entries(spark, sf):
-    return memory.matched_entries(_new(spark, sf), _known(spark, sf))
+    return memory.matched_entries(_new(spark, sf), known_history(spark, sf))
 
 
 def drop_known(spark, sf):
-    return memory.drop_known(_new(spark, sf), _known(spark, sf)).select("pos", "id")
+    return memory.drop_known(_new(spark, sf), known_history(spark, sf)).select("pos", "id")
 
 
 # --- retrieval ---------------------------------------------------------------------
@@ -288,11 +288,11 @@ def append_to_history(spark, sf):
     assert ok, reason
     entries = memory.to_entries(inputs.structured(spark, sf).where(F.col("report_date") >= CUT))
     path = f"{checkpoint_folder(spark)}/history-{uuid.uuid4().hex}"
-    tables.append_history(memory.appendable(entries, _known(spark, sf)).select("pos", "topic_key", "memory_item_id"), path, "run-1")
+    tables.append_history(memory.appendable(entries, known_history(spark, sf)).select("pos", "topic_key", "memory_item_id"), path, "run-1")
     return spark.read.parquet(path).select("pos", "topic_key", "memory_item_id")
 
 
-_APPEND_NEW = _append_sql(
+APPEND_NEW_SQL = _append_sql(
     f"s WHERE report_date >= DATE '{CUT}' AND NOT EXISTS (SELECT 1 FROM structured k WHERE k.published_at < TIMESTAMP '{CUT}' AND k.topic = s.topic AND list_has_any([k.id, k.raw_id, k.url, k.content_hash], [s.id, s.raw_id, s.url, s.content_hash]))"
 )
 
@@ -363,7 +363,7 @@ PLANS = {
     "j3_source_links": (source_links, f"WITH {STRUCTURED_SQL} SELECT id AS item_id, raw_id AS source_item_id, 0 AS key_place FROM structured"),
     "an8_source_documents": (source_docs, f"WITH {STRUCTURED_SQL} SELECT s.id AS item_id, c.id AS source_item_id, c.source, c.url, md5(c.content) AS content_md5 FROM structured s JOIN clean c ON c.id = s.raw_id"),
     "mem6_append": (append, _append_sql()),
-    "snk4_history_append": (append_to_history, _APPEND_NEW),
+    "snk4_history_append": (append_to_history, APPEND_NEW_SQL),
     "mem7_entries": (entries, _ENTRIES),
     "mem8_snapshot_read": (snapshot_read, f"WITH {STRUCTURED_SQL} SELECT id AS memory_item_id, lower(topic) AS topic_key FROM structured WHERE published_at < TIMESTAMP '{CUT}'"),
     "mem9_stage_report": (stage_report, _STAGES),

@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from dayline.functions.text import word_count
-from dayline.operators import runlog, scoring
-from dayline.plans import inputs
-from dayline.plans.inputs import CLEAN_SQL, STRUCTURED_SQL, squeeze_sql, table
+from dayline.operators import extract, memory, runlog, scoring
+from dayline.plans import inputs, memory_plans
+from dayline.plans.inputs import STRUCTURED_SQL, squeeze_sql, table
 from dayline.session import checkpoint_folder
 from dayline.sources import tables
 from dayline.streaming.health import windowed_health
@@ -251,30 +251,38 @@ def replay(spark, sf):
 
 
 def publish(spark, sf):
-    """A good publish, then one whose check fails: the first one stays."""
+    """A good publish, then one whose check fails: readers stay with the first version."""
     target = _folder(spark, "published")
-    tables.publish(_rows(spark, sf), _folder(spark, "staging"), target)
+    tables.publish(_rows(spark, sf), target, "1")
 
     def refuse(df):
         raise ValueError("rejected")
 
     try:
-        tables.publish(_rows(spark, sf).withColumn("topic", F.lit("bad")), _folder(spark, "staging"), target, refuse)
+        tables.publish(_rows(spark, sf).withColumn("topic", F.lit("bad")), target, "2", refuse)
     except ValueError:
         pass
-    return spark.read.parquet(target).select("id", "topic")
+    return tables.published(spark, target).select("id", "topic")
 
 
 # --- streams -----------------------------------------------------------------------
 def stream_ingest(spark, sf):
-    """Clean items replayed as a stream, appended unless known or repeated in the watermark."""
+    """Clean items of the new dates as a stream; what history or the batch knows already isn't appended."""
     source, target = _folder(spark, "landed"), _folder(spark, "stream-history")
-    items = inputs.clean(spark, sf).drop("canonical_url", "title_fingerprint", "content_hash")
+    items = inputs.clean(spark, sf).where(F.col("report_date") >= memory_plans.CUT).drop("canonical_url", "title_fingerprint", "content_hash")
     items.write.parquet(source)
     stream = spark.readStream.schema(items.schema).parquet(source)
-    query = ingest(stream, lambda: None, target, _folder(spark, "offsets"), delay="40 days").trigger(availableNow=True).start()
+    entries = lambda batch: memory.to_entries(extract.structure(batch)).drop("report_date")
+    keys = ["topic_key", *memory.ENTRY_KEYS]
+
+    def history(number):
+        known = memory_plans.known_history(spark, sf).select(*keys)
+        others = spark.read.parquet(target).where(F.col("batch_id") != number).select(*keys) if number else known.limit(0)
+        return known.unionByName(others)
+
+    query = ingest(stream, entries, history, target, _folder(spark, "offsets")).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.parquet(target).groupBy("title_fingerprint").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(target).select("pos", "topic_key", "memory_item_id")
 
 
 def stream_health(spark, sf):
@@ -314,7 +322,7 @@ PLANS = {
     "snk2_snapshot": (snapshots, f"WITH {STRUCTURED_SQL} SELECT 'run-1' AS run_id, id, topic FROM structured"),
     "snk3_replay": (replay, f"WITH {STRUCTURED_SQL} SELECT id, 'analyze' AS steps FROM structured"),
     "snk5_publish": (publish, f"WITH {STRUCTURED_SQL} SELECT id, topic FROM structured"),
-    "st1_stream_ingest": (stream_ingest, f"WITH {CLEAN_SQL} SELECT DISTINCT title_fingerprint, 1 AS n FROM clean"),
+    "st1_stream_ingest": (stream_ingest, memory_plans.APPEND_NEW_SQL),
     "st2_stream_health": (stream_health, _HEALTH_STREAM),
 }
 __all__ = ["PLANS", "squeeze_sql"]

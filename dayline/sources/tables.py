@@ -31,17 +31,24 @@ def replay_input(spark: SparkSession, base: str, run_id: str, stage: str) -> tup
     return read_snapshot(spark, f"{base}/{stage}", run_id), REPLAY_STAGES[stage]
 
 
-def publish(df: DataFrame, staging: str, target: str, check=None, partition: str = "report_date") -> None:
-    """All or nothing: write aside, check what was written, then switch the partitions.
+def publish(df: DataFrame, target: str, version: str, check=None) -> None:
+    """All or nothing: write a version aside, check what was written, then point to it.
 
-    A failing query or check leaves ``target`` untouched; the switch is one committed
-    dynamic overwrite.
+    The pointer is one row that is appended last, as one file; until then, and after a failing
+    query or check, readers see the version before.
     """
-    df.write.mode("overwrite").parquet(staging)
-    written = df.sparkSession.read.parquet(staging)
+    path = f"{target}/version={version}"
+    df.write.mode("overwrite").parquet(path)
     if check is not None:
-        check(written)
-    write_stage(written, target, partition)
+        check(df.sparkSession.read.parquet(path))
+    row = df.sparkSession.range(1, numPartitions=1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
+    row.write.mode("append").parquet(f"{target}/pointer")
+
+
+def published(spark: SparkSession, target: str) -> DataFrame:
+    """The version that was pointed to last."""
+    version = spark.read.parquet(f"{target}/pointer").orderBy(F.col("published_at").desc()).first()["version"]
+    return spark.read.parquet(f"{target}/version={version}")
 
 
 def append_history(df: DataFrame, path: str, batch_id: int | str) -> None:

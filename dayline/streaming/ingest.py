@@ -1,4 +1,4 @@
-"""Incremental ingestion: landed items to cleaned, deduplicated history appends."""
+"""Incremental ingestion: landed items to history entries, appended once."""
 
 from __future__ import annotations
 
@@ -8,21 +8,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from dayline.operators.clean import identity, require_fields
-from dayline.operators.memory import drop_known
+from dayline.operators.memory import appendable
 from dayline.sources.tables import append_history
 
 
-def clean_stream(items: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Complete items, one per title fingerprint inside the watermark."""
-    ready = identity(require_fields(items)).withWatermark("published_at", delay)
-    return ready.dropDuplicatesWithinWatermark(["title_fingerprint"])
+def ingest(
+    items: DataFrame,
+    prepare: Callable[[DataFrame], DataFrame],
+    read_history: Callable[[int], DataFrame | None],
+    history_path: str,
+    checkpoint: str,
+) -> DataStreamWriter:
+    """Writer that appends the entries which neither history nor an earlier row of the batch knows.
 
+    ``prepare`` makes entries of complete items with their identity keys.  ``read_history`` gets
+    the batch number and returns what other batches and runs have written: only keys are
+    needed, and a batch that is repeated must not meet its own rows.  The stream keeps no state.
+    """
 
-def ingest(items: DataFrame, read_history: Callable[[], DataFrame | None], history_path: str, checkpoint: str, delay: str = "1 day") -> DataStreamWriter:
-    """Writer that appends what history does not know yet; safe to retry per batch."""
+    def append(batch: DataFrame, number: int) -> None:
+        entries = prepare(batch)
+        append_history(appendable(entries, read_history(number)), history_path, number)
 
-    def append(batch: DataFrame, batch_id: int) -> None:
-        known = read_history()
-        append_history(batch if known is None else drop_known(batch, known), history_path, batch_id)
-
-    return clean_stream(items, delay).writeStream.option("checkpointLocation", checkpoint).foreachBatch(append)
+    return identity(require_fields(items)).writeStream.option("checkpointLocation", checkpoint).foreachBatch(append)

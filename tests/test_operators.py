@@ -224,3 +224,16 @@ def test_null_step_is_not_the_total(spark):
         "run_id STRING, step_name STRING, success BOOLEAN, prompt_tokens INT, completion_tokens INT, total_tokens INT, cost_usd DOUBLE, elapsed_ms INT, error STRING",
     )
     assert sorted(str(r["step_name"]) for r in runlog.call_rollup(calls).collect()) == ["None", "all"]
+
+
+def test_publish_that_fails_in_the_middle_keeps_the_version_before(spark, tmp_path):
+    from dayline.sources import tables
+
+    target = str(tmp_path)
+    tables.publish(spark.range(5).select("id"), target, "1")
+    broken = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        tables.publish(broken, target, "2")
+    assert tables.published(spark, target).count() == 5
+    tables.publish(spark.range(2).select("id"), target, "3")
+    assert tables.published(spark, target).count() == 2
