@@ -38,7 +38,7 @@ edges AS (SELECT DISTINCT pos AS a, head AS b FROM firsts UNION SELECT DISTINCT
 reach(node, low) AS (SELECT pos, pos FROM clean UNION SELECT e.b, r.low FROM reach r JOIN edges e ON e.a = r.node),
 comp AS (SELECT node AS pos, min(low) AS component FROM reach GROUP BY node)"""
 _ALL_EDGES = _EDGES.format(scope="", join="")
-_DAY_EDGES = _EDGES.format(scope=", report_date", join=" JOIN (SELECT pos, report_date FROM clean) USING (pos)")
+DAY_EDGES = _EDGES.format(scope=", report_date", join=" JOIN (SELECT pos, report_date FROM clean) USING (pos)")
 _GROUPS = f"WITH RECURSIVE {CLEAN_SQL}, {_ALL_EDGES} SELECT pos, component FROM comp"
 
 
@@ -46,17 +46,17 @@ def survivors(spark, sf):
     return clean.dedupe(inputs.clean(spark, sf), scope=()).select("pos", "id")
 
 
-_QUALITY = """qual AS (SELECT c.*, component, CASE WHEN source_family = 'aggregator' THEN 0 WHEN fetched_via IN ('rss', 'arxiv_api', 'github_releases', 'hackernews_api') THEN 2 ELSE 1 END AS origin,
+QUALITY = """qual AS (SELECT c.*, component, CASE WHEN source_family = 'aggregator' THEN 0 WHEN fetched_via IN ('rss', 'arxiv_api', 'github_releases', 'hackernews_api') THEN 2 ELSE 1 END AS origin,
   row_number() OVER (PARTITION BY component ORDER BY CASE WHEN source_family = 'aggregator' THEN 0 WHEN fetched_via IN ('rss', 'arxiv_api', 'github_releases', 'hackernews_api') THEN 2 ELSE 1 END DESC,
     (content_source = 'article_html')::INT DESC, (full_content_error = '')::INT DESC, length(content) DESC, length(summary) DESC, pos) AS place FROM clean c JOIN comp USING (pos))"""
-_SURVIVORS = f"WITH RECURSIVE {CLEAN_SQL}, {_ALL_EDGES}, {_QUALITY} SELECT pos, id FROM qual WHERE place = 1"
+_SURVIVORS = f"WITH RECURSIVE {CLEAN_SQL}, {_ALL_EDGES}, {QUALITY} SELECT pos, id FROM qual WHERE place = 1"
 
 
 def audit(spark, sf):
     return clean.duplicate_audit(clean.duplicate_groups(inputs.clean(spark, sf), scope=()))
 
 
-_AUDIT = f"""WITH RECURSIVE {CLEAN_SQL}, {_ALL_EDGES}, {_QUALITY},
+_AUDIT = f"""WITH RECURSIVE {CLEAN_SQL}, {_ALL_EDGES}, {QUALITY},
 dup AS (SELECT component, array_to_string(list_filter([CASE WHEN count(DISTINCT canonical_url) < count(*) THEN 'canonical_url' END, CASE WHEN count(DISTINCT title_fingerprint) < count(*) THEN 'title_fingerprint' END,
   CASE WHEN count(DISTINCT content_hash) < count(*) THEN 'content_hash' END], lambda x: x IS NOT NULL), ',') AS reasons FROM qual GROUP BY component HAVING count(*) > 1)
 SELECT k.id AS kept_id, k.url AS kept_url, reasons, d.id AS discarded_id, d.url AS discarded_url, d.source AS discarded_source
@@ -67,7 +67,7 @@ def group_sizes(spark, sf):
     return clean.duplicate_summary(clean.duplicate_groups(inputs.clean(spark, sf), scope=())).drop("group_key")
 
 
-_SIZES = f"""WITH RECURSIVE {CLEAN_SQL}, {_ALL_EDGES}, {_QUALITY}
+_SIZES = f"""WITH RECURSIVE {CLEAN_SQL}, {_ALL_EDGES}, {QUALITY}
 SELECT min(CASE WHEN place = 1 THEN pos END) AS kept_pos, count(*) AS group_size, count(*) - 1 AS discarded_count,
   array_to_string(list_filter([CASE WHEN count(DISTINCT canonical_url) < count(*) THEN 'canonical_url' END, CASE WHEN count(DISTINCT title_fingerprint) < count(*) THEN 'title_fingerprint' END,
   CASE WHEN count(DISTINCT content_hash) < count(*) THEN 'content_hash' END], lambda x: x IS NOT NULL), ',') AS reasons
@@ -80,7 +80,7 @@ def quality(spark, sf):
     return out.withColumn("report_date", F.date_format("report_date", "yyyy-MM-dd"))
 
 
-_CLEANED_DAYS = f"{CLEAN_SQL}, {_DAY_EDGES}, {_QUALITY}, kept AS (SELECT * FROM qual WHERE place = 1)"
+_CLEANED_DAYS = f"{CLEAN_SQL}, {DAY_EDGES}, {QUALITY}, kept AS (SELECT * FROM qual WHERE place = 1)"
 _QUALITY_SQL = f"""WITH RECURSIVE {_CLEANED_DAYS},
 n AS (SELECT report_date, count(*) AS raw_count, count_if(NOT ok) AS filtered_incomplete_count, count_if(ok AND NOT on_day) AS filtered_non_report_date_count, count_if(ok AND on_day) AS candidate_count
   FROM (SELECT report_date, trim(title) <> '' AND source <> '' AND url <> '' AND (summary <> '' OR content <> '') AS ok, published_at::DATE = report_date AS on_day FROM raw) GROUP BY report_date),
@@ -119,7 +119,7 @@ HITTING = {
 }
 
 
-def _relevance_sql(families, tail: str) -> str:
+def relevance_sql(families, tail: str) -> str:
     everything = {t.lower() for terms in families.values() for t in terms}
     hits = f"list_filter({sql_list(sorted(everything))}, lambda t: contains(body, t) AND regexp_matches(body, '(^|[^a-z0-9])' || regexp_escape(t) || '([^a-z0-9]|$)'))"
     fam = ", ".join(f"list_filter({sql_list(dict.fromkeys(terms))}, lambda t: list_contains(hits, t)) AS f_{name}" for name, terms in families.items())
@@ -222,11 +222,11 @@ PLANS = {
     "ag1_clean_quality": (quality, _QUALITY_SQL),
     "ag1_fetch_errors": (fetch_errors, f"WITH {CLEAN_SQL} SELECT strftime(report_date, '%Y-%m-%d') AS report_date, full_content_error AS error, count(*) AS n FROM clean WHERE full_content_error <> '' GROUP BY ALL"),
     "ag16_corpus_summary": (corpus, _CORPUS),
-    "tk5_input_order": (input_order, f"WITH RECURSIVE {CLEAN_SQL}, {_ALL_EDGES}, {_QUALITY} SELECT pos, source FROM qual WHERE place = 1 ORDER BY pos"),
-    "cl1_relevance": (_scored(lexicon.RELEVANCE_FAMILIES), _relevance_sql(lexicon.RELEVANCE_FAMILIES, _SCORED_TAIL)),
-    "cl1_relevance_custom": (_scored(HITTING), _relevance_sql(HITTING, _SCORED_TAIL)),
-    "cl2_evidence_lines": (evidence, _relevance_sql(lexicon.RELEVANCE_FAMILIES, _EVIDENCE_TAIL)),
-    "pf4_relevance_gate": (gate, _relevance_sql(lexicon.RELEVANCE_FAMILIES, "SELECT pos, id FROM out WHERE relevance_score >= 70")),
+    "tk5_input_order": (input_order, f"WITH RECURSIVE {CLEAN_SQL}, {_ALL_EDGES}, {QUALITY} SELECT pos, source FROM qual WHERE place = 1 ORDER BY pos"),
+    "cl1_relevance": (_scored(lexicon.RELEVANCE_FAMILIES), relevance_sql(lexicon.RELEVANCE_FAMILIES, _SCORED_TAIL)),
+    "cl1_relevance_custom": (_scored(HITTING), relevance_sql(HITTING, _SCORED_TAIL)),
+    "cl2_evidence_lines": (evidence, relevance_sql(lexicon.RELEVANCE_FAMILIES, _EVIDENCE_TAIL)),
+    "pf4_relevance_gate": (gate, relevance_sql(lexicon.RELEVANCE_FAMILIES, "SELECT pos, id FROM out WHERE relevance_score >= 70")),
     "cl3_topic": (_fields("topic"), _fields_sql("topic")),
     "cl4_event_type": (_fields("event_type"), _fields_sql("event_type")),
     "cl5_impact_scope": (_fields("impact_scope"), _fields_sql("impact_scope")),

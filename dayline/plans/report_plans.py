@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from dayline import lexicon
 from dayline.functions.values import direction, level_rank
 from dayline.operators import memory, report, trends
-from dayline.plans import inputs
+from dayline.plans import clean_plans, inputs
 from dayline.plans.daily import daily_report
-from dayline.plans.inputs import RETRIEVED_SQL, STRUCTURED_SQL, table
+from dayline.plans.inputs import CLEAN_SQL, RETRIEVED_SQL, STRUCTURED_SQL, table
 from dayline.plans.memory_plans import DAY, DAY_SQL, SCORED_SQL, relationships
 
 
@@ -252,6 +253,19 @@ _USAGE = f"""WITH {COMPARE_SQL} SELECT strftime(s.report_date, '%Y-%m-%d') AS re
  coalesce((SELECT CASE WHEN count(*) = 0 THEN 7 ELSE count(*) END FROM retrieved r WHERE r.report_date = s.report_date), 7) AS retrieved_metadata_count, 5 AS read_fulltext_count,
  (SELECT count(*) FROM cmp WHERE cmp.report_date = s.report_date) AS adopted_historical_evidence_count FROM structured s GROUP BY s.report_date"""
 
+def _daily_sql() -> str:
+    """The whole way in SQL: one item of each group of a day, of those the relevant, then the report's parts."""
+    head = clean_plans.relevance_sql(lexicon.RELEVANCE_FAMILIES, "").removeprefix("WITH ")
+    tail = SIGNALS_SQL.removeprefix(CLEAN_SQL).replace("FROM clean)", "FROM kept)", 1)
+    return f"""WITH RECURSIVE {head}, {clean_plans.DAY_EDGES}, {clean_plans.QUALITY},
+kept AS (SELECT * FROM clean WHERE pos IN (SELECT pos FROM qual WHERE place = 1) AND id IN (SELECT id FROM out WHERE relevance_score >= 70)){tail},
+top AS (SELECT *, row_number() OVER (PARTITION BY report_date ORDER BY importance_score DESC, pos) AS rank FROM structured)
+SELECT top.report_date, rank, top.id, title, source, top.topic, event_type, importance_score, risk_level, opportunity_level,
+  relationship, rel.confidence, current_count, history_count, trend_state, rank <= 3 AS is_deep_dive
+FROM top JOIN rel ON rel.item_id = top.id AND rel.report_date = top.report_date
+JOIN sg ON sg.report_date = top.report_date AND sg.topic = top.topic WHERE rank <= 5"""
+
+
 PLANS = {
     "ag2_topic_distribution": (topic_distribution, f"WITH {STRUCTURED_SQL} SELECT {DAY_SQL}, topic, count(*) AS item_count FROM structured GROUP BY structured.report_date, topic"),
     "ag3_executive_summary": (summary, _SUMMARY),
@@ -279,6 +293,6 @@ PLANS = {
     "j7_adoption_check": (adoption, _ADOPTION),
     "an1_trend_insights": (insights, _INSIGHTS),
     "ag15_memory_usage": (usage, _USAGE),
-    "daily_report": (daily_report, None),
+    "daily_report": (daily_report, _daily_sql()),
 }
 __all__ = ["PLANS", "RETRIEVED_SQL", "memory"]
