@@ -104,8 +104,8 @@ def run_health(runs: DataFrame, sources: DataFrame, calls: DataFrame, errors: Da
     say = lambda c, text: F.when(F.col(c) > 0, F.concat(F.col(c).cast("string"), F.lit(f" {text}")))
     warnings = F.array_compact(
         F.array(
-            say("failed", "source(s) failed"), say("partial", "source(s) partially succeeded"), say("rate_limited", "source(s) were rate limited"), say("error_count", "call error(s) recorded"),
-            say("business_errors", "business error(s) recorded"), say("fallbacks", "fallback(s) used"),
+            say("failed", "source(s) failed"), say("partial", "source(s) partially succeeded"), say("rate_limited", "source(s) were rate limited"), say("error_count", "LLM error(s) recorded"),
+            say("business_errors", "LLM business error(s) recorded"), say("fallbacks", "LLM fallback(s) used"),
             F.when(~F.coalesce("quality_status", F.lit("")).isin("", "ok", "succeeded"), F.concat(F.lit("clean quality status is "), F.col("quality_status"))),
         )
     )

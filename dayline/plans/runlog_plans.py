@@ -145,7 +145,7 @@ def health(spark, sf):
 
 _HEALTH = f"""WITH {_STATUS}, s AS (SELECT run_id, count(*) AS total, count_if(status = 'partial') AS partial, count_if(status = 'failed') AS failed, count_if(status = 'rate_limited') AS rl, count_if(status = 'empty') AS empty FROM st GROUP BY run_id),
 w AS (SELECT run_id, CASE total WHEN 1 THEN 'failed' WHEN 2 THEN 'running' ELSE 'succeeded' END AS status, array_to_string(list_filter([CASE WHEN failed > 0 THEN failed || ' source(s) failed' END, CASE WHEN partial > 0 THEN partial || ' source(s) partially succeeded' END,
- CASE WHEN rl > 0 THEN rl || ' source(s) were rate limited' END, CASE WHEN empty > 0 THEN empty * 2 || ' call error(s) recorded' END, CASE WHEN partial > 0 THEN partial || ' business error(s) recorded' END, CASE WHEN rl > 0 THEN rl || ' fallback(s) used' END,
+ CASE WHEN rl > 0 THEN rl || ' source(s) were rate limited' END, CASE WHEN empty > 0 THEN empty * 2 || ' LLM error(s) recorded' END, CASE WHEN partial > 0 THEN partial || ' LLM business error(s) recorded' END, CASE WHEN rl > 0 THEN rl || ' LLM fallback(s) used' END,
  CASE WHEN failed > 0 THEN 'clean quality status is warning' END], lambda x: x IS NOT NULL), '; ') AS warnings FROM s)
 SELECT run_id, status, CASE WHEN status = 'failed' THEN 'failed' WHEN warnings <> '' THEN 'warning' WHEN status = 'succeeded' THEN 'healthy' ELSE status END AS health, warnings FROM w"""
 
