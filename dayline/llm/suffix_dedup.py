@@ -26,10 +26,10 @@ from dayline.llm.common import shared as shared_table
 LENGTH, GRAM = 100, 24
 #: Bits that mark hashes that occur again (a bounded prefilter; the suffix arrays are exact).
 SHARED_BITS, HOT_BITS = 26, 20
-#: A hash with more runs than this is dealt out by whole passages instead of runs.
-HOT = 1000
+#: A hash with more runs than twice a task's share is dealt out by passages instead; share by at least, at most.
+HOT, MOST_RUNS = 1000, 100_000
 #: Bytes of runs in one suffix array, and of texts remembered to find repeats inside a task.
-ARRAY, REMEMBERED = 3_000_000, 64_000_000
+ARRAY, REMEMBERED = 2_000_000, 64_000_000
 
 
 def eight_bytes(data: np.ndarray) -> np.ndarray:
@@ -222,7 +222,7 @@ def _pieces(blocks: Iterator[tuple], shared: np.ndarray, hot: np.ndarray, length
                     rows.append((xxhash.xxh64_intdigest(str(at)), ids[doc], s - base, e - base, None))
                     continue
                 seen[piece] = at
-                held += len(piece) + 100
+                held += len(piece) + 300  # and what Python keeps besides
                 rows.append((key, ids[doc], s - base, e - base, piece))
         if held > REMEMBERED:
             seen, held = {}, 0
@@ -230,13 +230,14 @@ def _pieces(blocks: Iterator[tuple], shared: np.ndarray, hot: np.ndarray, length
 
 
 def _marked(bits: np.ndarray, value: np.ndarray) -> np.ndarray:
-    at = value >> np.uint64(64 - int(len(bits) * 8 - 1).bit_length())
+    at = value & np.uint64(len(bits) * 8 - 1)
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
 def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
-    """Bit vector of the top ``bits`` bits of ``hashes(least)``; at most ``2 ** bits / 32`` numbers reach the driver."""
-    slot = F.shiftrightunsigned("least", 64 - bits)
+    """Bit vector of the low ``bits`` bits of ``hashes(least)``, which being least leaves even; at most
+    ``2 ** bits / 32`` numbers reach the driver."""
+    slot = F.col("least").bitwiseAND((1 << bits) - 1)
     words = hashes.select(F.shiftright(slot, 5).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(31).cast("int")).alias("bit"))
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
     vector = np.zeros(1 << (bits - 5), "<u4")
@@ -266,13 +267,17 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, block in _blocks(batches):
-            least, n = np.unique(content_runs(block, length)[3], return_counts=True)
+            _, start, end, hashes, _ = content_runs(block, length)
+            least, at = np.unique(hashes, return_inverse=True)
+            # A run of more starts than a passage has strings holds one string twice: it may repeat within itself.
+            n = np.bincount(at, weights=1 + (end - start > length - GRAM + 1), minlength=len(least))
             yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64)), pa.array(n.astype(np.int32))], ["least", "n"])
 
     counted = texts.mapInArrow(count, "least long, n int").groupBy("least").agg(F.sum("n").alias("n")).where("n > 1")
     again = shared_table(counted)
     shared = spark.sparkContext.broadcast(_bitmap(again, SHARED_BITS))
-    hot = spark.sparkContext.broadcast(_bitmap(again.where(F.col("n") > HOT), HOT_BITS))
+    share = (again.agg(F.sum("n")).first()[0] or 0) / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = spark.sparkContext.broadcast(_bitmap(again.where(F.col("n") > min(MOST_RUNS, max(HOT, 2 * share))), HOT_BITS))
     names = ["key", "doc_id", "start", "end", "bytes"]
     types = [pa.int64(), None, pa.int64(), pa.int64(), pa.binary()]
 
@@ -280,7 +285,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for rows in _pieces(_blocks(batches), shared.value, hot.value, length):
             columns = list(zip(*rows)) or [[]] * 5
             keys = np.array(columns[0], np.uint64).view(np.int64)
-            id_type = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else None
+            id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys), *(pa.array(list(c), id_type if n == "doc_id" else t) for c, n, t in zip(columns[1:], names[1:], types[1:]))], names
             )
