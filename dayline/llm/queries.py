@@ -121,6 +121,24 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.removed(table(spark, sf_dir, "documents")))
 
 
+OP7_SQL = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, {2 * suffix_dedup.LENGTH}) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - {suffix_dedup.LENGTH - 1})) AS p FROM d)),
+f AS (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS n FROM w),
+g AS (SELECT doc_id, p, CASE WHEN p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {suffix_dedup.LENGTH} THEN 1 ELSE 0 END AS cut FROM f WHERE n > 1),
+r AS (SELECT doc_id, p, sum(cut) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + {suffix_dedup.LENGTH} AS b FROM r GROUP BY doc_id, run),
+parts AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+kept AS (
+  SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+  FROM parts JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -163,7 +181,7 @@ PLANS = {
     "op4_quality": (op4_quality, None),
     "op5_toxicity": (op5_toxicity, None),
     "op6_decontamination": (op6_decontamination, OP6_SQL),
-    "op7_suffix_dedup": (op7_suffix_dedup, None),
+    "op7_suffix_dedup": (op7_suffix_dedup, OP7_SQL),
     "op8_token_counts": (op8_token_counts, None),
     "op9_simhash": (op9_simhash, None),
     "op10_mixing": (op10_mixing, OP10_SQL),
