@@ -24,6 +24,8 @@ SMOOTH = 0.5
 #: A text is ambiguous when the best codeword has less than this share against the second.
 MARGIN = 0.65
 SHARPNESS = 12.0
+#: Characters that are scored together: each n-gram holds a row of weights for as long.
+SCORED = 1_000_000
 
 
 def codewords(n: int, seed: int = 0) -> np.ndarray:
@@ -122,7 +124,7 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             names, scores, doubt = [], [], []
-            for a, b in in_blocks(texts):
+            for a, b in in_blocks(texts, SCORED):
                 bits, seen = 0.0, 0
                 for slot, bounds in slots(*folded(texts[a:b])):
                     bits = bits + sums(model["weights"][slot], bounds)
