@@ -35,12 +35,12 @@ def match_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     """
     names = {k: f"_right_{k}" for k in keys}
     renamed = right.select(*[F.col(c).alias(names.get(c, c)) for c in right.columns])
-    l = left.withColumn("_key", F.xxhash64(*keys))
-    r = renamed.withColumn("_right_key", F.xxhash64(*names.values()))
-    on = l["_key"] == r["_right_key"]
+    l = left.withColumn("_hash_left", F.xxhash64(*keys))
+    r = renamed.withColumn("_hash_right", F.xxhash64(*names.values()))
+    on = l["_hash_left"] == r["_hash_right"]
     for k in keys:
         on = on & l[k].eqNullSafe(r[names[k]])
-    return l.join(r, on, how).drop("_key", "_right_key", *names.values())
+    return l.join(r, on, how).drop("_hash_left", "_hash_right", *names.values())
 
 
 def shared(df: DataFrame) -> DataFrame:

@@ -79,28 +79,6 @@ def wide_fingerprints(docs: DataFrame, shingle: int, words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(make, schema)
 
 
-def _segment(x: Column, number: int) -> Column:
-    """Key of a half: its bits, and its number above them."""
-    low = F.shiftrightunsigned(x, SEGMENT_BITS * number).bitwiseAND((1 << SEGMENT_BITS) - 1)
-    return low + F.lit(number << SEGMENT_BITS)
-
-
-def near_pairs(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``(a, b)`` of distinct fingerprints in ``prints(fingerprint)`` within ``distance`` (0 to 3) bits; a pair may come twice."""
-    if not 0 <= distance <= 3:
-        raise ValueError("two halves within one bit each cover distances up to 3")
-    x = F.col("fingerprint")
-    entries = prints.select(x.alias("b"), F.explode(F.array(_segment(x, 0), _segment(x, 1))).alias("key"))
-    balls = []
-    for number in (0, 1):
-        key = _segment(x, number)
-        flips = F.array(*[F.when(key.bitwiseAND(1 << bit) == 0, key + F.lit(1 << bit)) for bit in range(SEGMENT_BITS)])
-        balls += [F.array(key), F.filter(flips, lambda k: k.isNotNull())]
-    probes = prints.select(x.alias("a"), F.explode(F.concat(*balls)).alias("key"))
-    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    return probes.join(entries, "key").where((F.col("a") != F.col("b")) & close).select("a", "b")
-
-
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` per row of ``docs(doc_id, text)``.
 
@@ -109,14 +87,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     like any other.  A null ``doc_id`` has a row, and is the component's id only where
     there is no other.  Repeated rows get equal results; an empty table gives none.
     """
+    if not 0 <= distance <= 3:
+        raise ValueError("two halves within one bit each cover distances up to 3")
     made = shared(fingerprints(docs, shingle))
-    links = shared(near_pairs(made.select("fingerprint").distinct(), distance).distinct())
-    members = made
-    if links.isEmpty():
-        members = members.withColumn("root", F.col("fingerprint"))
-    else:
-        roots = connected_components(links).select(F.col("node").alias("fingerprint"), F.col("component").alias("_root"))
-        members = match_rows(members, roots, ["fingerprint"], "left").withColumn("root", F.coalesce("_root", "fingerprint")).drop("_root")
+    prints = shared(made.select(F.col("fingerprint").alias("number"), F.array("fingerprint").alias("words")).distinct())
+    groups = linked_groups(prints, 1, SEGMENT_BITS, distance, distance)
+    members = made.withColumn("root", F.col("fingerprint"))
+    if groups is not None:
+        roots = groups.select(F.col("node").alias("fingerprint"), F.col("component").alias("_root"))
+        members = match_rows(made, roots, ["fingerprint"], "left").withColumn("root", F.coalesce("_root", "fingerprint")).drop("_root")
     first = members.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return match_rows(members, first, ["root"]).select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
@@ -129,38 +108,62 @@ def distance_limit(similarity: float, bits: int) -> int:
     return round(bits * apart + math.sqrt(bits * apart * (1 - apart)))
 
 
-def similar_pairs(prints: DataFrame, similarity: float = SIMILARITY, segment: int = WIDE_SEGMENT, words: int = WIDE_WORDS) -> DataFrame:
-    """``(a, b)`` numbers of rows of ``prints(number, words)`` within the distance of ``similarity``.
-
-    Each segment is entered in a table, and its ball of one bit is asked for.  The first word of
-    the fingerprints is compared on the way, the complete distance before a pair is returned.
-    A pair is met unless every one of its segments differs in two bits or more.
-    """
-    bits, limit = 64 * words, distance_limit(similarity, 64 * words)
+def _segment_keys(words: int, segment: int) -> Column:
+    """Keys of all segments of ``words``: the segment's bits, and its number above them."""
     word = lambda k: F.element_at("words", k + 1)
     keys = []
-    for s in range(bits // segment):
+    for s in range(64 * words // segment):
         at, shift = divmod(s * segment, 64)
         value = F.shiftrightunsigned(word(at), shift)
         if shift + segment > 64:
             value = value.bitwiseOR(F.shiftleft(word(at + 1), 64 - shift))
         keys.append(value.bitwiseAND((1 << segment) - 1) + F.lit(s << segment))
-    rows = prints.select("number", word(0).alias("first"), F.array(*keys).alias("keys"))
-    entries = rows.select(F.col("number").alias("b"), F.col("first").alias("first_b"), F.explode("keys").alias("key"))
-    flips = lambda key: F.filter(
-        F.array(key, *[F.when(key.bitwiseAND(1 << bit) == 0, key + F.lit(1 << bit)) for bit in range(segment)]), lambda k: k.isNotNull()
-    )
-    probes = rows.select(F.col("number").alias("a"), "first", F.explode("keys").alias("own"))
-    probes = probes.select("a", "first", F.explode(flips(F.col("own"))).alias("key"))
-    near = distance_limit(similarity, 64) + round(2.5 * math.sqrt(64 * 0.15 * 0.85))
-    met = probes.join(entries, "key").where((F.col("a") != F.col("b")) & (F.bit_count(F.col("first").bitwiseXOR(F.col("first_b"))) <= near))
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return F.array(*keys)
+
+
+def _verified(pairs: DataFrame, prints: DataFrame, limit: int) -> DataFrame:
+    """Distinct ``pairs(a, b)`` whose complete distance is within the limit."""
+    met = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     of = lambda c: prints.select(F.col("number").alias(c), F.col("words").alias(f"words_{c}"))
     both = met.join(of("a"), "a").join(of("b"), "b")
     apart = F.aggregate(F.zip_with("words_a", "words_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
     return both.where(apart <= limit).select("a", "b")
 
 
+def linked_groups(prints: DataFrame, words: int, segment: int, limit: int, loose: int) -> DataFrame | None:
+    """``(node, component)`` of rows of ``prints(number, words)`` that links within ``limit`` bits join; None without links.
+
+    Each segment is entered in a table, and its ball of one bit is asked for.  A pair is met
+    unless every one of its segments differs in two bits or more; ``loose`` bits of the first
+    word are allowed before the complete distance is verified.  First each entry meets the least
+    entry of its own keys alone; links so found make groups.  Then the balls are asked for, and
+    only texts of different groups are compared, so a large group of near copies isn't written out
+    as pairs, and no link that would join two groups is lost.
+    """
+    near = F.bit_count(F.col("first").bitwiseXOR(F.col("first_b"))) <= loose
+    rows = prints.select("number", F.element_at("words", 1).alias("first"), _segment_keys(words, segment).alias("keys"))
+    entries = rows.select(F.col("number").alias("b"), F.col("first").alias("first_b"), F.explode("keys").alias("key"))
+    least = entries.groupBy("key").agg(F.min(F.struct("b", "first_b")).alias("least"))
+    least = least.select("key", F.col("least.b").alias("a"), F.col("least.first_b").alias("first"))
+    met = match_rows(entries, least, ["key"]).where((F.col("a") != F.col("b")) & near)
+    links = shared(_verified(met, prints, limit))
+    group = connected_components(links) if not links.isEmpty() else None
+    grouped = rows.withColumn("group", F.col("number"))
+    if group is not None:
+        of = group.select(F.col("node").alias("number"), F.col("component").alias("_group"))
+        grouped = match_rows(rows, of, ["number"], "left").withColumn("group", F.coalesce("_group", "number"))
+    grouped = shared(grouped.select("number", "first", "keys", "group"))
+    ball = lambda key: F.filter(
+        F.array(key, *[F.when(key.bitwiseAND(1 << bit) == 0, key + F.lit(1 << bit)) for bit in range(segment)]), lambda k: k.isNotNull()
+    )
+    asked = grouped.select(F.col("number").alias("a"), "first", F.col("group").alias("group_a"), F.explode("keys").alias("own"))
+    asked = asked.select("a", "first", "group_a", F.explode(ball(F.col("own"))).alias("key"))
+    held = grouped.select(F.col("number").alias("b"), F.col("first").alias("first_b"), F.col("group").alias("group_b"), F.explode("keys").alias("key"))
+    apart = asked.join(held, "key").where((F.col("group_a") != F.col("group_b")) & near)
+    more = shared(_verified(apart, prints, limit))
+    return group if more.isEmpty() else connected_components(links.unionByName(more))
+
+
 def similar_documents(docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY, segment: int = WIDE_SEGMENT, words: int = WIDE_WORDS) -> DataFrame:
     """``(doc_id, component_id)`` per row of ``docs(doc_id, text)``: near copies by the similarity of their shingles.
 
@@ -169,10 +172,12 @@ def similar_documents(docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity:
     """
     made = shared(wide_fingerprints(docs, shingle, words))
     prints = shared(made.groupBy("words").agg(F.min("doc_id").alias("number")).where("number IS NOT NULL"))
-    links = shared(similar_pairs(prints, similarity, segment, words))
     members = match_rows(made, prints.withColumnRenamed("number", "root"), ["words"], "left").select("doc_id", "root")
-    if not links.isEmpty():
-        roots = connected_components(links).select(F.col("node").alias("root"), F.col("component").alias("_root"))
+    limit = distance_limit(similarity, 64 * words)
+    loose = distance_limit(similarity, 64) + round(2.5 * math.sqrt(64 * 0.15 * 0.85))
+    groups = linked_groups(prints, words, segment, limit, loose)
+    if groups is not None:
+        roots = groups.select(F.col("node").alias("root"), F.col("component").alias("_root"))
         members = match_rows(members, roots, ["root"], "left").select("doc_id", F.coalesce("_root", "root").alias("root"))
     return members.select("doc_id", F.coalesce("root", "doc_id").alias("component_id"))
 
