@@ -40,8 +40,8 @@ def eight_bytes(data: np.ndarray) -> np.ndarray:
     return four[:-4] << np.uint64(32) | four[4:]
 
 
-def least_hashes(data: np.ndarray, length: int) -> np.ndarray:
-    """Of each passage, by its start, the least hash of the strings of ``GRAM`` bytes in it."""
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hashes of the strings of ``GRAM`` bytes, by their start."""
     eight = eight_bytes(data)
     n = len(data) - GRAM + 1
     h = eight[:n] * np.uint64(0x9E3779B97F4A7C15)
@@ -49,6 +49,11 @@ def least_hashes(data: np.ndarray, length: int) -> np.ndarray:
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
+    return h
+
+
+def least_hashes(h: np.ndarray, length: int) -> np.ndarray:
+    """Of each passage, by its start, the least of the hashes ``h`` of the strings in it."""
     width, have = length - GRAM + 1, 1
     while have * 2 <= width:
         h = np.minimum(h[:-have], h[have:])
@@ -57,15 +62,44 @@ def least_hashes(data: np.ndarray, length: int) -> np.ndarray:
     return np.minimum(h[: len(h) - rest], h[rest:]) if rest else h
 
 
-def content_runs(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of passages inside the texts: text number, start and end (in the joined bytes), hash; and the text offsets."""
+def held_twice(h: np.ndarray, least: np.ndarray, start: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
+    """Which runs may hold their least string twice; all that repeat within themselves do.
+
+    If a passage of a run stands in it again, ``p`` bytes on, the bytes from the first to the end of the
+    second have period ``p``, so the least string starts at one of the first ``p`` starts.  Where it is
+    first in its passage and held again, it is so at the latest one string after the passage.
+    """
+    at = np.flatnonzero(h[: len(least)] == least)
+    run = np.searchsorted(start, at, side="right") - 1
+    inside = run >= 0
+    inside[inside] = at[inside] < end[run[inside]]
+    at, run = at[inside], run[inside]
+    twice = np.zeros(len(start), bool)
+    for on in range(1, length - GRAM + 2):
+        near = at + on < len(h)
+        at, run = at[near], run[near]
+        again = h[at + on] == h[at]
+        if again.any():
+            twice[run[again]] = True
+            open_ = ~twice[run]
+            at, run = at[open_], run[open_]
+    return twice
+
+
+def content_runs(texts: list[bytes], length: int = LENGTH, inner: bool = False) -> tuple[np.ndarray, ...]:
+    """Runs of passages inside the texts: text number, start and end (in the joined bytes), hash; and the text offsets.
+
+    With ``inner`` also which runs may repeat within themselves.
+    """
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     data = np.frombuffer(b"".join(texts), np.uint8)
     none = np.zeros(0, np.int64)
     if len(data) < length or sizes.max(initial=0) < length:
-        return none, none, none, none.astype(np.uint64), offsets
-    least = least_hashes(data, length)
+        found = none, none, none, none.astype(np.uint64), offsets
+        return (*found, none.astype(bool)) if inner else found
+    h = gram_hashes(data)
+    least = least_hashes(h, length)
     inside = np.zeros(len(least) + 1, np.int8)
     long = sizes >= length
     first = np.zeros(len(least) + 1, bool)
@@ -80,7 +114,8 @@ def content_runs(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray,
     end = np.append(start[1:], len(least))
     kept = valid[start]
     start, end = start[kept], end[kept]
-    return np.searchsorted(offsets, start, side="right") - 1, start, end, least[start], offsets
+    found = np.searchsorted(offsets, start, side="right") - 1, start, end, least[start], offsets
+    return (*found, held_twice(h, least, start, end, length)) if inner else found
 
 
 def ranks_by_depth(data: np.ndarray, left: np.ndarray) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
@@ -267,10 +302,10 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, block in _blocks(batches):
-            _, start, end, hashes, _ = content_runs(block, length)
+            *_, hashes, _, twice = content_runs(block, length, inner=True)
             least, at = np.unique(hashes, return_inverse=True)
-            # A run of more starts than a passage has strings holds one string twice: it may repeat within itself.
-            n = np.bincount(at, weights=1 + (end - start > length - GRAM + 1), minlength=len(least))
+            # A run that holds its least string twice may repeat within itself.
+            n = np.bincount(at, weights=1 + twice, minlength=len(least))
             yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64)), pa.array(n.astype(np.int32))], ["least", "n"])
 
     counted = texts.mapInArrow(count, "least long, n int").groupBy("least").agg(F.sum("n").alias("n")).where("n > 1")
@@ -342,7 +377,10 @@ def _repeats_of(table: pa.Table, length: int) -> pa.RecordBatch:
             known[piece] = a
             out.append((b[0], b[1], len(piece), a[0], a[1]))
     # Different bytes under one hash: a suffix array tells what they share.  A run may repeat within itself.
-    several = [(d, s, piece) for known in by_key.values() if len(known) > 1 or any(len(p) >= 2 * length for p in known) for piece, (d, s) in known.items()]
+    alone = [p for known in by_key.values() if len(known) == 1 for p in known if len(p) > length]
+    owner, *_, twice = content_runs(alone, length, inner=True)
+    inner = {alone[i] for i in owner[twice].tolist()}
+    several = [(d, s, piece) for known in by_key.values() if len(known) > 1 or not inner.isdisjoint(known) for piece, (d, s) in known.items()]
     for block in [several] if several else []:
         lengths = np.fromiter((len(p) for _, _, p in block), np.int64, len(block))
         offsets = np.concatenate([[0], np.cumsum(lengths)])

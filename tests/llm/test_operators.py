@@ -282,6 +282,23 @@ def test_suffix_dedup_matches_brute_force(spark, monkeypatch, hot):
     assert suffix_dedup.removed(empty(docs)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [1, 3])
+def test_suffix_dedup_of_short_periodic_texts(spark, copies):
+    """Texts that repeat themselves within one run of few passages, alone and as copies."""
+    rng = random.Random(copies)
+    texts = []
+    for size in range(100, 221, 3):
+        for period in (1, 2, 3, 7, 20, 24, 40, 76, 77, 78, 90):
+            unit = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz -.é") for _ in range(period))
+            head, tail = ("".join(rng.choice("ABCDEFG") for _ in range(rng.randint(0, 90) * (size % 2))) for _ in range(2))
+            texts += [head + (unit * size)[:size] + tail] * copies
+    texts += ["#" * 150, "=" * 120, "word " * 20]
+    docs = documents(spark, texts).repartition(5)
+    got = {r[0]: tuple(r)[1:] for r in suffix_dedup.digest(suffix_dedup.removed(docs)).collect()}
+    assert got == brute_removed(list(enumerate(texts)), suffix_dedup.LENGTH)
+    assert got[len(texts) - 3][1] == 149
+
+
 def test_maximal_repeats_have_all_occurrences():
     texts = [b"xabcdey", b"zabcdew", b"qabcdev", b"abcd"]
     data = np.frombuffer(b"".join(texts), np.uint8)
