@@ -6,6 +6,8 @@ So every half is entered in a table, and each fingerprint asks for its half and
 of the small Hamming ball around it; whole distances are verified for what is found.  A flipped
 bit is asked for only where it is 0, so each pair is met once for a half.  Links join
 distinct fingerprints; copies follow by lookup.
+
+Near copies by a similarity are found exactly, by the rarest shingles of each text, without fingerprints.
 """
 
 from __future__ import annotations
@@ -26,9 +28,9 @@ SHINGLE, DISTANCE, SEED = 3, 3, 42
 #: Hashes of a long text are counted in blocks.
 HASHES = 1 << 18
 SEGMENT_BITS = 32
-#: Near copies by similarity: words of a shingle, Jaccard similarity, 64-bit words of the wide
-#: fingerprint, and its segments, which are as wide as the number of documents has bits.
-WIDE_SHINGLE, SIMILARITY, WIDE_WORDS, WIDE_SEGMENT = 5, 0.8, 5, 22
+#: Near copies by similarity: words of a shingle, Jaccard similarity, and slots (two to that power) that
+#: shingles are counted in to order them; counts decide the work, not the result.
+WIDE_SHINGLE, SIMILARITY, COUNT_BITS = 5, 0.8, 20
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, words: int = 1) -> np.ndarray:
@@ -102,12 +104,6 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     )
 
 
-def distance_limit(similarity: float, bits: int) -> int:
-    """Bits that the fingerprints of texts of this Jaccard similarity differ in, and a deviation more."""
-    apart = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
-    return round(bits * apart + math.sqrt(bits * apart * (1 - apart)))
-
-
 def _segment_keys(words: int, segment: int) -> Column:
     """Keys of all segments of ``words``: the segment's bits, and its number above them."""
     word = lambda k: F.element_at("words", k + 1)
@@ -164,22 +160,119 @@ def linked_groups(prints: DataFrame, words: int, segment: int, limit: int, loose
     return group if more.isEmpty() else connected_components(links.unionByName(more))
 
 
-def similar_documents(docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY, segment: int = WIDE_SEGMENT, words: int = WIDE_WORDS) -> DataFrame:
+def shingle_set(text: str | None, shingle: int = WIDE_SHINGLE) -> np.ndarray:
+    """Distinct hashes of a text's word shingles, sorted; a text of fewer words is one shingle, one of none has none."""
+    tokens = (text or "").encode("utf-8", "replace").lower().split()
+    n = max(1, len(tokens) - shingle + 1) if tokens else 0
+    hashes = (xxhash.xxh64_intdigest(b" ".join(tokens[i : i + shingle]), SEED) for i in range(n))
+    return np.unique(np.fromiter(hashes, np.uint64, n))
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64)
+
+
+def shingle_counts(docs: DataFrame, shingle: int) -> np.ndarray:
+    """How many texts have a shingle of each slot, counted over all."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNT_BITS, np.int64)
+        for batch in batches:
+            for text in batch["text"].to_pylist():
+                np.add.at(total, _slots(shingle_set(text, shingle)), 1)
+        slot = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], ["slot", "n"])
+
+    found = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    counts[found["slot"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return counts
+
+
+def shingle_sets(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``(doc_id, node, n, hashes, keys)`` per row of ``docs(doc_id, text)``.
+
+    ``node`` names the set of shingles.  In one order of all shingles, rare ones first, two sets
+    that are similar share one of the first ``n - ceil(similarity * n) + 1``: these are the ``keys``,
+    with their place.  Shingles whose slot no other text has can't be shared and aren't named.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, shingle))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    key_type = pa.list_(pa.struct([("key", pa.int64()), ("at", pa.int64())]))
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = sent.value
+        for batch in batches:
+            nodes, sizes, sets, keys = [], [], [], []
+            for text in batch["text"].to_pylist():
+                hashes = shingle_set(text, shingle)
+                n = len(hashes)
+                seen = counts[_slots(hashes)]
+                first = np.lexsort((hashes, seen))[: n - math.ceil(similarity * n - 1e-9) + 1]
+                nodes.append(xxhash.xxh3_128_hexdigest(hashes.tobytes()))
+                sizes.append(n)
+                sets.append(hashes.view(np.int64))
+                named = zip(hashes[first].view(np.int64).tolist(), range(len(first)), seen[first].tolist())
+                keys.append([{"key": k, "at": at} for k, at, times in named if times > 1])
+            columns = [pa.array(nodes, pa.string()), pa.array(sizes, pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(keys, key_type)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", "node", "n", "hashes", "keys"])
+
+    schema = f"doc_id {kind}, node string, n long, hashes array<bigint>, keys array<struct<key: bigint, at: bigint>>"
+    return docs.select("doc_id", "text").mapInArrow(make, schema)
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Distinct ``pairs(a, b)`` whose sets have at least the Jaccard similarity."""
+    met = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    of = lambda c: sets.select(F.col("node").alias(c), F.col("hashes").alias(f"hashes_{c}"))
+    both = met.join(of("a"), "a").join(of("b"), "b")
+    common = F.size(F.array_intersect("hashes_a", "hashes_b"))
+    both = both.select("a", "b", common.alias("common"), (F.size("hashes_a") + F.size("hashes_b")).alias("sizes"))
+    return both.where(F.col("common") / (F.col("sizes") - F.col("common")) >= similarity).select("a", "b")
+
+
+def similar_groups(sets: DataFrame, similarity: float) -> DataFrame | None:
+    """``(node, component)`` of rows of ``sets(node, n, hashes, keys)`` that links of the similarity join; None without links.
+
+    Every link is met at the first key that both ends have.  What follows that key in the shorter of both
+    bounds what they can share, which keeps most others out; the rest are decided by the sets
+    themselves.  As in ``linked_groups`` entries meet the least of their key first, then only
+    entries of other groups.
+    """
+    entries = sets.select("node", "n", F.explode("keys").alias("k")).select("node", "n", F.col("k.key").alias("key"), F.col("k.at").alias("at"))
+    end = lambda rows, c: rows.select("key", F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("at").alias(f"at_{c}"), *[F.col(x).alias(f"{x}_{c}") for x in rows.columns if x == "group"])
+    room = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    may = room >= F.lit(similarity / (1 + similarity)) * (F.col("n_a") + F.col("n_b")) - 1e-6
+    least = entries.groupBy("key").agg(F.min(F.struct("node", "n", "at")).alias("least")).select("key", "least.*")
+    met = match_rows(end(entries, "b"), end(least, "a"), ["key"]).where((F.col("a") != F.col("b")) & may)
+    links = shared(_similar(met, sets, similarity))
+    group = connected_components(links) if not links.isEmpty() else None
+    grouped = entries.withColumn("group", F.col("node"))
+    if group is not None:
+        of = group.select("node", F.col("component").alias("_group"))
+        grouped = match_rows(entries, of, ["node"], "left").withColumn("group", F.coalesce("_group", "node")).drop("_group")
+    grouped = shared(grouped)
+    apart = end(grouped, "a").join(end(grouped, "b"), "key").where((F.col("a") < F.col("b")) & (F.col("group_a") != F.col("group_b")) & may)
+    more = shared(_similar(apart, sets, similarity))
+    return group if more.isEmpty() else connected_components(links.unionByName(more))
+
+
+def similar_documents(docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """``(doc_id, component_id)`` per row of ``docs(doc_id, text)``: near copies by the similarity of their shingles.
 
-    A fingerprint of several words tells how similar two texts are; links join fingerprints
-    within the distance of ``similarity``.  Null and empty texts are one group.
+    Links join all texts whose sets of shingles have at least this Jaccard similarity, and no others;
+    ``component_id`` is the smallest ``doc_id`` that links reach.  Null and empty texts are one group.
     """
-    made = shared(wide_fingerprints(docs, shingle, words))
-    prints = shared(made.groupBy("words").agg(F.min("doc_id").alias("number")).where("number IS NOT NULL"))
-    members = match_rows(made, prints.withColumnRenamed("number", "root"), ["words"], "left").select("doc_id", "root")
-    limit = distance_limit(similarity, 64 * words)
-    loose = distance_limit(similarity, 64) + round(2.5 * math.sqrt(64 * 0.15 * 0.85))
-    groups = linked_groups(prints, words, segment, limit, loose)
+    made = shared(shingle_sets(docs, shingle, similarity))
+    first = made.groupBy("node").agg(F.min("doc_id").alias("_first"))
+    sets = match_rows(made, first, ["node"]).where(F.col("doc_id") == F.col("_first")).dropDuplicates(["node"]).select("node", "n", "hashes", "keys")
+    groups = similar_groups(shared(sets), similarity)
+    members = made.select("doc_id", F.col("node").alias("root"))
     if groups is not None:
         roots = groups.select(F.col("node").alias("root"), F.col("component").alias("_root"))
         members = match_rows(members, roots, ["root"], "left").select("doc_id", F.coalesce("_root", "root").alias("root"))
-    return members.select("doc_id", F.coalesce("root", "doc_id").alias("component_id"))
+    least = members.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return match_rows(members, least, ["root"]).select("doc_id", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:

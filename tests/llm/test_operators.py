@@ -413,6 +413,42 @@ def test_near_copies_by_similarity(spark):
     assert left.columns == docs.columns and left.count() <= 12 + 8
 
 
+def test_near_copies_are_all_pairs_of_the_similarity(spark):
+    """Pairs from 0.6 to 0.95, many close to 0.8, joined as all pairs by exact similarity would be."""
+    rng = random.Random(13)
+    texts = []
+    for g in range(60):
+        base = prose(rng, rng.randint(20, 200)).split()
+        texts.append(" ".join(base))
+        for c in range(2):
+            words = list(base)
+            for at in rng.sample(range(len(base)), max(1, round(len(base) * rng.uniform(0.01, 0.06)))):
+                words[at] = prose(rng, 1)
+            texts.append(" ".join(words))
+    line = prose(rng, 60)
+    texts += [line + " " + prose(rng, rng.randint(5, 20)) for _ in range(60)] + [None, "", "a b", "A  b"]
+    sets = [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for t in texts for w in [(t or "").lower().split()]]
+    parent = list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    near = 0
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            alike = len(x & y) / len(x | y) if x | y else 1
+            near += 0.75 < alike < 0.85
+            if alike >= 0.8:
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    assert near > 20
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(documents(spark, texts).repartition(5)).collect()}
+    assert got == {i: find(i) for i in range(len(texts))}
+    assert simhash.similar_documents(empty(documents(spark, texts))).count() == 0
+
+
 # --- 10
 def test_mix_targets_and_takings(spark):
     rng = random.Random(12)
