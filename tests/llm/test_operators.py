@@ -449,6 +449,14 @@ def test_near_copies_are_all_pairs_of_the_similarity(spark):
     assert simhash.similar_documents(empty(documents(spark, texts))).count() == 0
 
 
+def test_templated_pages_below_the_similarity_stay(spark):
+    """Pages that share 70 to 79% of their shingles are no near copies, though each has many such neighbours."""
+    rng = random.Random(14)
+    line = prose(rng, 204)  # 200 shingles; with 35 words of its own, two pages have 200 of 270 in common
+    docs = documents(spark, [line + " " + prose(rng, 35) for _ in range(80)])
+    assert simhash.drop_near_duplicates(docs).count() == 80
+
+
 # --- 10
 def test_mix_targets_and_takings(spark):
     rng = random.Random(12)
