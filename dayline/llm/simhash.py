@@ -30,7 +30,7 @@ HASHES = 1 << 18
 SEGMENT_BITS = 32
 #: Near copies by similarity: words of a shingle, Jaccard similarity, and slots (two to that power) that
 #: shingles are counted in to order them; counts decide the work, not the result.
-WIDE_SHINGLE, SIMILARITY, COUNT_BITS = 5, 0.8, 20
+WIDE_SHINGLE, SIMILARITY, COUNT_BITS = 5, 0.8, 18
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, words: int = 1) -> np.ndarray:
@@ -183,9 +183,9 @@ def shingle_counts(docs: DataFrame, shingle: int) -> np.ndarray:
         slot = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], ["slot", "n"])
 
-    found = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    found = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(1 << COUNT_BITS, np.int64)
-    counts[found["slot"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
     return counts
 
 
