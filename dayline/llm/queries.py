@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayline.llm import decontamination, exact_dedup, language_id, mixing, quality, simhash, suffix_dedup, token_count, toxicity, url_filter
+from dayline.llm import (
+    decontamination, exact_dedup, importance, language_id, mixing, packing, quality, simhash, suffix_dedup, token_count,
+    toxicity, url_filter, whitening,
+)
 from dayline.session import configure
 
 BLANK_SQL = r"[\x20\x09-\x0D]"
@@ -174,6 +177,51 @@ r AS (
 SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(size, extra - start)))::BIGINT AS taken FROM r"""
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+OP11_SQL = f"""
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(0, 8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(0, 256) r(i)),
+d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+g AS (SELECT {WORDS_SQL} AS w FROM benchmark),
+dw AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM d) GROUP BY 1),
+gw AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM g) GROUP BY 1),
+v AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM dw UNION SELECT word FROM gw)),
+b AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % {importance.BUCKETS} AS bucket FROM v, crc),
+counts AS (
+  SELECT bucket, coalesce(sum(dw.n), 0) AS s, coalesce(sum(gw.n), 0) AS t
+  FROM b LEFT JOIN dw USING (word) LEFT JOIN gw USING (word) GROUP BY 1),
+gain AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (sum(s) OVER () + {importance.BUCKETS})::DOUBLE)
+    / ((s + 1)::DOUBLE * (sum(t) OVER () + {importance.BUCKETS})::DOUBLE)))::BIGINT AS gain FROM counts),
+weights AS (
+  SELECT doc_id, sum(gain)::BIGINT AS weight FROM (SELECT doc_id, unnest(w) AS word FROM d) JOIN b USING (word) JOIN gain USING (bucket) GROUP BY 1),
+scored AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+    ((('0x' || substr(sha256('{importance.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5)::DOUBLE / 4294967296))))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (doc_id)),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= {importance.LEAST_WORDS})
+SELECT doc_id, n_features, weight, score, rank FROM scored
+LEFT JOIN (SELECT doc_id, rank FROM ranked WHERE rank <= {importance.PERCENT} * n // 100) USING (doc_id)"""
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 PLANS = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op2_language_id": (op2_language_id, None),
@@ -185,6 +233,9 @@ PLANS = {
     "op8_token_counts": (op8_token_counts, None),
     "op9_simhash": (op9_simhash, None),
     "op10_mixing": (op10_mixing, OP10_SQL),
+    "op11_importance": (op11_importance, OP11_SQL),
+    "op12_packing": (op12_packing, None),
+    "op13_whitening": (op13_whitening, None),
 }
 
 
