@@ -7,7 +7,8 @@ of the small Hamming ball around it; whole distances are verified for what is fo
 bit is asked for only where it is 0, so each pair is met once for a half.  Links join
 distinct fingerprints; copies follow by lookup.
 
-Near copies by a similarity are found exactly, by the rarest shingles of each text, without fingerprints.
+Near copies by a similarity are proposed in the same way by wider fingerprints of their sets of shingles, with
+more and shorter segments, and decided by the sets of the proposed ends alone.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ SHINGLE, DISTANCE, SEED = 3, 3, 42
 #: Hashes of a long text are counted in blocks.
 HASHES = 1 << 18
 SEGMENT_BITS = 32
-#: Near copies by similarity: words of a shingle, Jaccard similarity, and slots (two to that power) that
-#: shingles are counted in to order them; counts decide the work, not the result.
-WIDE_SHINGLE, SIMILARITY, COUNT_BITS = 5, 0.8, 18
+#: Near copies by similarity: words of a shingle, Jaccard similarity, and the share of pairs just at it that
+#: fingerprints may miss.
+WIDE_SHINGLE, SIMILARITY, MISSED = 5, 0.8, 0.002
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, words: int = 1) -> np.ndarray:
@@ -163,114 +164,190 @@ def linked_groups(prints: DataFrame, words: int, segment: int, limit: int, loose
 def shingle_set(text: str | None, shingle: int = WIDE_SHINGLE) -> np.ndarray:
     """Distinct hashes of a text's word shingles, sorted; a text of fewer words is one shingle, one of none has none."""
     tokens = (text or "").encode("utf-8", "replace").lower().split()
-    n = max(1, len(tokens) - shingle + 1) if tokens else 0
-    hashes = (xxhash.xxh64_intdigest(b" ".join(tokens[i : i + shingle]), SEED) for i in range(n))
-    return np.unique(np.fromiter(hashes, np.uint64, n))
+    if not tokens:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(tokens)
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    n = max(1, len(tokens) - shingle + 1)
+    ends = ends[min(shingle, len(tokens)) - 1 :]
+    parts = []
+    for at in range(0, n, HASHES):
+        spans = zip(starts[at : min(at + HASHES, n)].tolist(), ends[at : at + HASHES].tolist())
+        parts.append(np.unique(np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans], np.uint64)))
+    return np.unique(np.concatenate(parts))
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64)
+def set_fingerprint(hashes: np.ndarray, words: int) -> np.ndarray:
+    """Unsigned 64-bit words whose bits most members of a set have, in as many mixes of their hashes; 0 for an empty set."""
+    ones = np.zeros(64 * words, np.int64)
+    for at in range(0, len(hashes), HASHES):
+        block = hashes[at : at + HASHES]
+        for k in range(words):
+            mixed = (block ^ np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
+            mixed = (mixed ^ mixed >> np.uint64(31)) * np.uint64(0x94D049BB133111EB)
+            bits = np.unpackbits((mixed ^ mixed >> np.uint64(29)).byteswap().view(np.uint8)).reshape(-1, 64)
+            full = len(bits) // 255 * 255  # bytes are added up in groups that one byte can hold
+            sums = bits[:full].reshape(-1, 255, 64).sum(1, dtype=np.uint8).sum(0, dtype=np.int64)
+            ones[64 * k : 64 * k + 64] += sums + bits[full:].sum(0, dtype=np.int64)
+    return np.packbits(ones * 2 > len(hashes)).view(">u8").astype(np.uint64)
 
 
-def shingle_counts(docs: DataFrame, shingle: int) -> np.ndarray:
-    """How many texts have a shingle of each slot, counted over all."""
+def differing_share(similarity: float) -> float:
+    """Share of bits in which fingerprints of two large sets of this Jaccard similarity differ, as expected."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNT_BITS, np.int64)
-        for batch in batches:
-            for text in batch["text"].to_pylist():
-                np.add.at(total, _slots(shingle_set(text, shingle)), 1)
-        slot = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], ["slot", "n"])
 
-    found = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << COUNT_BITS, np.int64)
-    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
-    return counts
+def wide_shape(rows: int, similarity: float = SIMILARITY, missed: float = MISSED) -> tuple[int, int]:
+    """Bits of a segment and 64-bit words of a fingerprint for so many texts.
 
+    A segment has 16 bits, and one more for each doubling beyond a million texts, so that the texts a key
+    finds by chance stay few.  There are as many segments as leave at most the share ``missed`` of the
+    pairs at the similarity without one segment that agrees but for one bit.
+    """
+    segment = max(16, math.ceil(math.log2(max(rows, 1))) - 4)
+    p = differing_share(similarity)
+    met = (1 - p) ** segment + segment * p * (1 - p) ** (segment - 1)
+    return segment, math.ceil(math.ceil(math.log(missed) / math.log(1 - met)) * segment / 64)
 
-def shingle_sets(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """``(doc_id, node, n, hashes, keys)`` per row of ``docs(doc_id, text)``.
 
-    ``node`` names the set of shingles.  In one order of all shingles, rare ones first, two sets
-    that are similar share one of the first ``n - ceil(similarity * n) + 1``: these are the ``keys``,
-    with their place.  Shingles whose slot no other text has can't be shared and aren't named.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, shingle))
+def set_prints(docs: DataFrame, shingle: int, words: int) -> DataFrame:
+    """``(doc_id, digest, node, n, words)`` per row of ``docs(doc_id, text)``: name, size and fingerprint of its set of shingles."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    key_type = pa.list_(pa.struct([("key", pa.int64()), ("at", pa.int64())]))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = sent.value
         for batch in batches:
-            nodes, sizes, sets, keys = [], [], [], []
-            for text in batch["text"].to_pylist():
-                hashes = shingle_set(text, shingle)
-                n = len(hashes)
-                seen = counts[_slots(hashes)]
-                first = np.lexsort((hashes, seen))[: n - math.ceil(similarity * n - 1e-9) + 1]
-                nodes.append(xxhash.xxh3_128_hexdigest(hashes.tobytes()))
-                sizes.append(n)
-                sets.append(hashes.view(np.int64))
-                named = zip(hashes[first].view(np.int64).tolist(), range(len(first)), seen[first].tolist())
-                keys.append([{"key": k, "at": at} for k, at, times in named if times > 1])
-            columns = [pa.array(nodes, pa.string()), pa.array(sizes, pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(keys, key_type)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", "node", "n", "hashes", "keys"])
-
-    schema = f"doc_id {kind}, node string, n long, hashes array<bigint>, keys array<struct<key: bigint, at: bigint>>"
-    return docs.select("doc_id", "text").mapInArrow(make, schema)
+            nodes, sizes, prints = [], [], np.zeros((batch.num_rows, words), np.uint64)
+            for i, text in enumerate(batch["text"]):
+                hashes = shingle_set(text.as_py(), shingle)
+                nodes.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+                sizes.append(len(hashes))
+                prints[i] = set_fingerprint(hashes, words)
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.arange(batch.num_rows + 1) * words, pa.int32()), pa.array(prints.ravel().view(np.int64))
+            )
+            columns = [batch["doc_id"], batch["digest"], pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "node", "n", "words"])
+
+    texts = docs.select("doc_id", F.xxhash64("text").alias("digest"), "text")
+    return texts.mapInArrow(make, f"doc_id {kind}, digest long, node binary, n long, words array<bigint>")
+
+
+def similar_pairs(pairs: DataFrame, prints: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose sets of shingles have at least the Jaccard similarity, by the texts of both ends.
+
+    Only texts of the ends travel, and not their hashes, which are longer; rows arrive by ``a``, whose set
+    is made once for those in a row.
+    """
+    pairs = shared(pairs)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("number")).distinct()
+    ends = shared(ends.join(prints, "number").select("doc_id", "digest", "number"))
+    told = docs.select("doc_id", F.xxhash64("text").alias("digest"), "text")
+    texts = match_rows(told, ends, ["doc_id", "digest"]).groupBy("number").agg(F.first("text").alias("text"))
+    texts = shared(texts)
+    of = lambda c: texts.select(F.col("number").alias(c), F.col("text").alias(f"text_{c}"))
+    both = match_rows(match_rows(pairs, of("b"), ["b"]), of("a"), ["a"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, mine = None, None
+        for batch in batches:
+            good = []
+            for a, text_a, text_b in zip(batch["a"].to_pylist(), batch["text_a"], batch["text_b"]):
+                if a != last:
+                    last, mine = a, shingle_set(text_a.as_py(), shingle)
+                other = shingle_set(text_b.as_py(), shingle)
+                common = len(np.intersect1d(mine, other, assume_unique=True))
+                good.append(common >= similarity * (len(mine) + len(other) - common) - 1e-9)
+            kept = batch.filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept["a"], kept["b"]], ["a", "b"])
 
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
 
-def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Distinct ``pairs(a, b)`` whose sets have at least the Jaccard similarity."""
+
+def _proposed(pairs: DataFrame, prints: DataFrame, limit: float, similarity: float) -> DataFrame:
+    """``(a, b, apart)`` of distinct ``pairs(a, b)``: complete distance within the limit, sizes that allow the similarity."""
     met = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    of = lambda c: sets.select(F.col("node").alias(c), F.col("hashes").alias(f"hashes_{c}"))
+    of = lambda c: prints.select(*[F.col(x).alias(y) for x, y in (("number", c), ("words", f"words_{c}"), ("n", f"n_{c}"))])
     both = met.join(of("a"), "a").join(of("b"), "b")
-    common = F.size(F.array_intersect("hashes_a", "hashes_b"))
-    both = both.select("a", "b", common.alias("common"), (F.size("hashes_a") + F.size("hashes_b")).alias("sizes"))
-    return both.where(F.col("common") / (F.col("sizes") - F.col("common")) >= similarity).select("a", "b")
+    bits = F.zip_with("words_a", "words_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(bits, F.lit(0), lambda n, x: n + x)
+    sizes = F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9
+    return both.where(sizes & (apart <= F.lit(limit))).select("a", "b", apart.alias("apart"))
 
 
-def similar_groups(sets: DataFrame, similarity: float) -> DataFrame | None:
-    """``(node, component)`` of rows of ``sets(node, n, hashes, keys)`` that links of the similarity join; None without links.
+def similar_groups(prints: DataFrame, docs: DataFrame, segment: int, shingle: int, similarity: float) -> DataFrame | None:
+    """``(node, component)`` of rows of ``prints(number, doc_id, digest, n, words)`` that links of the similarity join; None without links.
 
-    Every link is met at the first key that both ends have.  What follows that key in the shorter of both
-    bounds what they can share, which keeps most others out; the rest are decided by the sets
-    themselves.  As in ``linked_groups`` entries meet the least of their key first, then only
-    entries of other groups.
+    Segments are entered in a table.  First a text meets the least text of each of its keys, and is
+    compared with the one of the least distance.  Then groups meet: of a key's groups, each is compared
+    through its least text with the key's least, until that joins none.  In the end every key's ball of one
+    bit is asked for, and all texts so met whose groups differ are compared: a large group of near copies is not
+    written out as pairs, and no link that would join two groups is lost.
     """
-    entries = sets.select("node", "n", F.explode("keys").alias("k")).select("node", "n", F.col("k.key").alias("key"), F.col("k.at").alias("at"))
-    end = lambda rows, c: rows.select("key", F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("at").alias(f"at_{c}"), *[F.col(x).alias(f"{x}_{c}") for x in rows.columns if x == "group"])
-    room = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    may = room >= F.lit(similarity / (1 + similarity)) * (F.col("n_a") + F.col("n_b")) - 1e-6
-    least = entries.groupBy("key").agg(F.min(F.struct("node", "n", "at")).alias("least")).select("key", "least.*")
-    met = match_rows(end(entries, "b"), end(least, "a"), ["key"]).where((F.col("a") != F.col("b")) & may)
-    links = shared(_similar(met, sets, similarity))
-    group = connected_components(links) if not links.isEmpty() else None
-    grouped = entries.withColumn("group", F.col("node"))
-    if group is not None:
-        of = group.select("node", F.col("component").alias("_group"))
-        grouped = match_rows(entries, of, ["node"], "left").withColumn("group", F.coalesce("_group", "node")).drop("_group")
-    grouped = shared(grouped)
-    apart = end(grouped, "a").join(end(grouped, "b"), "key").where((F.col("a") < F.col("b")) & (F.col("group_a") != F.col("group_b")) & may)
-    more = shared(_similar(apart, sets, similarity))
-    return group if more.isEmpty() else connected_components(links.unionByName(more))
+    words = len(prints.select("words").first()[0])
+    bits, p = 64 * words, differing_share(similarity)
+    # Four deviations beyond what the smallest sets differ by (one of five shingles missing: 3/16).
+    out = lambda of: of * max(p, 3 / 16) + 4 * math.sqrt(of * p * (1 - p))
+    near = F.bit_count(F.col("first").bitwiseXOR(F.col("first_b"))) <= F.lit(math.floor(out(64)))
+    propose = lambda pairs: _proposed(pairs, prints, out(bits), similarity)
+    similar = lambda pairs: shared(similar_pairs(pairs, prints, docs, shingle, similarity))
+    rows = shared(prints.select("number", F.element_at("words", 1).alias("first"), _segment_keys(words, segment).alias("keys")))
+    grouped = rows.withColumn("group", F.col("number"))
+    links, groups = None, None
+    while True:
+        entries = grouped.select(F.explode("keys").alias("key"), F.col("group").alias("group_b"), F.col("number").alias("b"), F.col("first").alias("first_b"))
+        if links is not None:
+            least = F.min(F.struct("b", "first_b")).alias("e")
+            entries = entries.groupBy("key", "group_b").agg(least).select("key", "group_b", "e.b", "e.first_b")
+        least = entries.groupBy("key").agg(F.min(F.struct("b", "first_b", "group_b")).alias("e"))
+        least = least.select("key", F.col("e.b").alias("a"), F.col("e.first_b").alias("first"), F.col("e.group_b").alias("group_a"))
+        met = match_rows(entries, least, ["key"]).where((F.col("group_a") != F.col("group_b")) & near)
+        found = propose(met)
+        if links is None:
+            best = found.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("e"))
+            found = best.select(F.col("e.a").alias("a"), "b")
+        more = similar(found.select("a", "b"))
+        done = more.isEmpty()
+        links = more if links is None else links.unionByName(more)
+        if done:
+            break
+        groups = shared(connected_components(links))
+        of = groups.select(F.col("node").alias("number"), F.col("component").alias("_group"))
+        grouped = match_rows(rows, of, ["number"], "left").withColumn("group", F.coalesce("_group", "number")).drop("_group")
+        grouped = shared(grouped)
+    ball = lambda key: F.filter(
+        F.array(key, *[F.when(key.bitwiseAND(1 << bit) == 0, key + F.lit(1 << bit)) for bit in range(segment)]), lambda k: k.isNotNull()
+    )
+    asked = grouped.select(F.col("number").alias("a"), "first", F.col("group").alias("group_a"), F.explode("keys").alias("own"))
+    asked = asked.select("a", "first", "group_a", F.explode(ball(F.col("own"))).alias("key"))
+    held = grouped.select(F.col("number").alias("b"), F.col("first").alias("first_b"), F.col("group").alias("group_b"), F.explode("keys").alias("key"))
+    apart = asked.join(held, "key").where((F.col("group_a") != F.col("group_b")) & near)
+    more = similar(propose(apart).select("a", "b"))
+    return groups if more.isEmpty() else connected_components(links.unionByName(more))
 
 
-def similar_documents(docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+def similar_documents(docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY, missed: float = MISSED) -> DataFrame:
     """``(doc_id, component_id)`` per row of ``docs(doc_id, text)``: near copies by the similarity of their shingles.
 
-    Links join all texts whose sets of shingles have at least this Jaccard similarity, and no others;
-    ``component_id`` is the smallest ``doc_id`` that links reach.  Null and empty texts are one group.
+    Wide fingerprints propose pairs, all but the share ``missed`` of those at the similarity and fewer above it;
+    texts whose sets of shingles have at least this Jaccard similarity (over 64-bit hashes) are linked, and no
+    others.  ``component_id`` is the smallest ``doc_id`` that links reach; a null ``doc_id`` has a row and is the
+    component's only where there is no other.  Null and empty texts are one group; repeated rows get equal results.
     """
-    made = shared(shingle_sets(docs, shingle, similarity))
-    first = made.groupBy("node").agg(F.min("doc_id").alias("_first"))
-    sets = match_rows(made, first, ["node"]).where(F.col("doc_id") == F.col("_first")).dropDuplicates(["node"]).select("node", "n", "hashes", "keys")
-    groups = similar_groups(shared(sets), similarity)
+    segment, words = wide_shape(docs.count(), similarity, missed)
+    made = shared(set_prints(docs, shingle, words))
+    # Texts of equal sets are one class; a text of the class stands for it.
+    classes = made.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("e"), F.first("n").alias("n"), F.first("words").alias("words"))
+    prints = classes.select("node", F.col("e.doc_id").alias("doc_id"), F.col("e.digest").alias("digest"), "n", "words")
+    prints = shared(prints.withColumn("number", F.monotonically_increasing_id()))
     members = made.select("doc_id", F.col("node").alias("root"))
+    groups = None
+    if not prints.isEmpty():
+        groups = similar_groups(prints, docs, segment, shingle, similarity)
     if groups is not None:
-        roots = groups.select(F.col("node").alias("root"), F.col("component").alias("_root"))
-        members = match_rows(members, roots, ["root"], "left").select("doc_id", F.coalesce("_root", "root").alias("root"))
+        top = prints.select(F.col("number").alias("component"), F.col("node").alias("_root"))
+        roots = prints.join(groups, prints["number"] == groups["node"]).select(prints["node"].alias("root"), "component").join(top, "component")
+        members = match_rows(members, roots.select("root", "_root"), ["root"], "left").select("doc_id", F.coalesce("_root", "root").alias("root"))
     least = members.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return match_rows(members, least, ["root"]).select("doc_id", "component_id")
 
