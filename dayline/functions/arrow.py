@@ -1,21 +1,13 @@
-"""The Arrow batch functions: what Spark has no expression for.
-
-Each takes and returns whole column batches; none holds state between rows.
-"""
+"""The Arrow batch function: what Spark has no expression for.  It takes and returns whole columns of a batch."""
 
 from __future__ import annotations
 
-import re
 import unicodedata
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayline import lexicon
-
-
 _QUOTES = str.maketrans({"“": '"', "”": '"', "‘": "'", "’": "'"})
 
 
@@ -28,90 +20,3 @@ def _match_text(value: str | None) -> str:
 def match_text(values: pd.Series) -> pd.Series:
     """NFKC, straight quotes, single blanks, case folded: the form quotes are compared in."""
     return values.map(_match_text)
-
-
-OPEN, CLOSE, TEXT = 1, -1, 0
-
-
-class _Events(HTMLParser):
-    """A page as a flat list of ``(kind, tag or text, attributes)``."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.events: list[tuple[int, str, list]] = []
-
-    def handle_starttag(self, tag, attrs):
-        self.events.append((OPEN, tag, attrs))
-
-    def handle_endtag(self, tag):
-        self.events.append((CLOSE, tag, []))
-
-    def handle_data(self, data):
-        self.events.append((TEXT, data, []))
-
-
-def _visible(events: list) -> list:
-    """Events outside skipped elements: the depth is the running sum of their tags above its lowest value so far."""
-    total = lowest = 0
-    seen = []
-    for event in events:
-        step = event[0] if event[1] in lexicon.SKIP_TAGS else 0
-        if not step and total == lowest:
-            seen.append(event)
-        total += step
-        lowest = min(lowest, total)
-    return seen
-
-
-def _is_container(tag: str, attrs: list) -> bool:
-    named = " ".join((v or "").lower() for k, v in attrs if k in lexicon.CONTAINER_ATTRIBUTES)
-    return tag in lexicon.CONTAINER_TAGS or any(hint in named for hint in lexicon.CONTAINER_HINTS)
-
-
-def _inside_container(events: list) -> list[bool]:
-    """Of each event, whether a container is open when it comes; a closing tag closes all opened since its own."""
-    path: list[tuple[str, bool]] = []  # tag, and whether it or one around it is a container
-    flags = []
-    for kind, tag, attrs in events:
-        flags.append(bool(path) and path[-1][1])
-        if kind == OPEN:
-            path.append((tag, flags[-1] or _is_container(tag, attrs)))
-        elif kind == CLOSE:
-            depth = next((i for i in range(len(path) - 1, -1, -1) if path[i][0] == tag), len(path))
-            del path[depth:]
-    return flags + [bool(path) and path[-1][1]]
-
-
-def _blocks(html: str | None) -> list[dict]:
-    """Text from each opening block tag to its closing one; a block that another opens in is lost."""
-    reader = _Events()
-    try:
-        reader.feed((html or "").strip())
-        reader.close()
-    except Exception:  # a broken page yields no text instead of failing the task
-        return []
-    events = _visible(reader.events)
-    inside = _inside_container(events)
-    opened = [i for i, (kind, tag, _) in enumerate(events) if kind == OPEN and tag in lexicon.BLOCK_TAGS]
-    out = []
-    for start, following in zip(opened, [*opened[1:], None]):
-        reach = range(start + 1, len(events) if following is None else following)
-        end = next((i for i in reach if events[i][:2] == (CLOSE, events[start][1])), len(events) if following is None else None)
-        if end is None:
-            continue
-        words = " ".join(data for kind, data, _ in events[start + 1 : end] if kind == TEXT).split()
-        text = re.sub(r"\s+([.,;:!?])", r"\1", " ".join(words))
-        if text:
-            out.append({"pos": len(out), "in_container": inside[end], "block": text})
-    return out
-
-
-_BLOCK = T.StructType(
-    [T.StructField("pos", T.IntegerType()), T.StructField("in_container", T.BooleanType()), T.StructField("block", T.StringType())]
-)
-
-
-@F.pandas_udf(T.ArrayType(_BLOCK))
-def html_blocks(pages: pd.Series) -> pd.Series:
-    """Text blocks of a page in document order."""
-    return pages.map(_blocks)

@@ -10,8 +10,8 @@ from dayline import schemas
 from dayline.functions.text import first_sentence, markup_to_text, plain_spacing, squeeze
 from dayline.plans import inputs
 from dayline.plans.inputs import RAW_SQL, any_word, sentence_sql, squeeze_sql, table
-from dayline.session import checkpoint_folder
-from dayline.sources import articles, items, payloads
+from dayline.session import checkpoint_folder, durable
+from dayline.sources import articles, collect, items, payloads
 
 PER_PAYLOAD = 100
 
@@ -137,17 +137,107 @@ SELECT 'list' || l AS source_name, event_id::VARCHAR AS external_id, title, CASE
  CASE event_id % 4 WHEN 0 THEN 'Ask HN discussion' WHEN 1 THEN 'Show HN submission' WHEN 2 THEN 'Hacker News linked story' ELSE 'Hacker News discussion' END || ' with score ' || floor(value)::BIGINT || ' and ' || json_extract_string(props, '$.k') || ' comments.' AS summary FROM m"""
 
 
+def mixed_payloads(spark, sf):
+    """Landed feeds and releases of all sources; a payload is limited, refused, cut off, empty or without entries as source and part say."""
+    n = F.substring("source_name", 4, 9).cast("int")
+    every = (
+        rss_payloads(spark, sf).where(n % 3 == 0)
+        .unionByName(atom_payloads(spark, sf).where(n % 3 == 1))
+        .unionByName(release_payloads(spark, sf).where(n % 3 == 2).withColumn("status", F.lit(200)))
+    )
+    part = F.regexp_extract("source_url", "([0-9]+)$", 1).cast("long")
+    case = (n + part) % 9
+    none = F.when(n % 3 == 0, "<rss><channel></channel></rss>").when(n % 3 == 1, "<feed><title>t</title></feed>").otherwise("[]")
+    status = F.when((case == 1) | (n == 7), 429).when((case == 2) | (n == 6), 500).otherwise(F.col("status"))
+    body = F.col("body")
+    # Half of a list is cut inside an entry.
+    half = F.substring(body, F.lit(1), F.floor(F.length(body) / 2).cast("int"))
+    body = F.when((case == 5) | (n == 9), none).when(case == 3, half).when(case == 4, F.lit(" ")).otherwise(body)
+    return durable(every.withColumns({"status": status, "body": body}))
+
+
+def settings(spark, sf):
+    """Sources with their reader and limits; the fourth is off."""
+    n = F.substring("source_name", 4, 9).cast("int")
+    sources = table(spark, sf, "documents").select(F.col("source").alias("source_name")).distinct()
+    return sources.select(
+        "source_name", F.when(n % 3 == 2, "releases").otherwise("feed").alias("adapter"), (n != 4).alias("enabled"), (3 + n % 5).alias("max_items"),
+        F.when(n % 2 == 0, 20 + n).alias("look_back_days"), F.when(n % 4 == 3, F.array(F.lit("The "), F.lit(" "), F.lit("license"))).alias("keywords"),
+    )
+
+
+AS_OF = "2024-02-01 00:00:00"
+
+
+def collected(spark, sf, landed=None):
+    return collect.collect(landed or mixed_payloads(spark, sf), settings(spark, sf), F.lit(AS_OF).cast("timestamp"))
+
+
+_COLLECTED = f"""WITH {FEED_SQL}, p AS (
+  SELECT *, substr(source, 4)::INT AS n, doc_id // {PER_PAYLOAD} AS part, (substr(source, 4)::INT + doc_id // {PER_PAYLOAD}) % 9 AS c FROM f),
+o AS (SELECT *, CASE n % 3 WHEN 2 THEN 'releases' ELSE 'feed' END AS adapter, CASE WHEN n = 7 OR c = 1 THEN 'rate_limited' WHEN n = 6 OR c = 2 THEN 'http_error'
+  WHEN n = 9 THEN 'none' WHEN c = 3 THEN 'invalid_payload' WHEN c = 4 THEN 'empty_body' WHEN c = 5 THEN 'none' ELSE 'ok' END AS state,
+  CASE n % 3 WHEN 2 THEN source || ' ' || CASE WHEN doc_id % 2 = 0 THEN 'Release ' ELSE 'v' END || doc_id ELSE title END AS label,
+  CASE n % 3 WHEN 0 THEN {_clean(chr(39) + 'A & B ' + chr(39) + ' || text')} WHEN 1 THEN plain ELSE plain[:500] END AS said,
+  CASE WHEN n % 3 = 0 AND doc_id % 5 = 0 THEN TIMESTAMP '{AS_OF}' ELSE moment END AS published
+  FROM p WHERE n <> 4),
+w AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY 'https://feeds.example.com/' || source || '/' || part, pos) AS place FROM o
+  WHERE state = 'ok' AND (n % 2 = 1 OR published >= TIMESTAMP '{AS_OF}' - to_days(20 + n)) AND (n % 4 <> 3 OR contains(lower(trim(label) || ' ' || trim(said)), 'the ') OR contains(lower(trim(label) || ' ' || trim(said)), 'license'))),
+i AS (SELECT *, CASE n % 3 WHEN 0 THEN 'g' || doc_id WHEN 1 THEN 'urn:' || doc_id ELSE doc_id::VARCHAR END AS external_id FROM w WHERE place <= 3 + n % 5),
+e AS (SELECT DISTINCT source, adapter, part, state AS failure FROM o WHERE state NOT IN ('ok', 'none')),
+s AS (SELECT DISTINCT source, adapter FROM o),
+t AS (SELECT s.source, s.adapter, (SELECT count(*) FROM i WHERE i.source = s.source) AS items, (SELECT count(*) FROM e WHERE e.source = s.source) AS failures,
+  (SELECT count(*) FROM e WHERE e.source = s.source AND failure = 'rate_limited') AS limited, (SELECT count(DISTINCT part) FROM o WHERE o.source = s.source) AS attempts FROM s)"""
+
+
+def capped(spark, sf):
+    """Wanted items of every source up to its cap, from feeds of which some cannot be read."""
+    return collect.items(collected(spark, sf)).select("source_name", "id", F.md5("title").alias("title_md5"), "url", F.unix_seconds("published_at").alias("published"), "source_type")
+
+
+_CAPPED = f"""{_COLLECTED} SELECT source AS source_name, 'raw-' || source || '-' || sha1(external_id)[:16] AS id, md5(label) AS title_md5, link AS url, epoch(published)::BIGINT AS published,
+ CASE adapter WHEN 'feed' THEN 'news' ELSE 'release' END AS source_type FROM i"""
+
+
+def failures(spark, sf):
+    """Every payload that was not read, by source and address."""
+    return collect.errors(collected(spark, sf)).select("source_name", "adapter", "source_url", "status", "failure")
+
+
+_FAILURES = f"""{_COLLECTED} SELECT source AS source_name, adapter, 'https://feeds.example.com/' || source || '/' || part AS source_url,
+ CASE failure WHEN 'rate_limited' THEN 429 WHEN 'http_error' THEN 500 ELSE 200 END AS status, failure FROM e"""
+
+
 def union(spark, sf):
-    """Feeds and releases together; unreadable payloads become error rows."""
+    """Status of every enabled source: its items, what landed, and what could not be read."""
+    landed = mixed_payloads(spark, sf)
+    return collect.source_status(collected(spark, sf, landed), landed, settings(spark, sf))
+
+
+_UNION = f"""{_COLLECTED} SELECT source AS source_name, adapter, CASE WHEN items > 0 AND failures > 0 THEN 'partial' WHEN items > 0 THEN 'succeeded' WHEN failures = 0 THEN 'empty'
+  WHEN CASE adapter WHEN 'releases' THEN limited = failures ELSE limited > 0 END THEN 'rate_limited' WHEN adapter = 'feed' AND failures = attempts THEN 'failed' ELSE 'empty' END AS status, items, attempts, failures FROM t"""
+
+
+def by_adapter(spark, sf):
+    return collect.adapter_counts(collected(spark, sf))
+
+
+_BY_ADAPTER = f"{_COLLECTED} SELECT adapter, sum(items)::BIGINT AS items, sum(failures)::BIGINT AS failures FROM t GROUP BY adapter HAVING sum(items) + sum(failures) > 0"
+
+
+def source_union(spark, sf):
+    """Raw items of readers of different shapes in one table: every item of every feed and repository."""
     feeds = items.raw_items(payloads.rss_entries(rss_payloads(spark, sf)), "rss")
-    rel = items.raw_items(payloads.release_entries(release_payloads(spark, sf)), "github_releases", "release")
-    every, errors = items.union_sources([feeds, rel], [payloads.release_errors(release_payloads(spark, sf))])
-    good = every.groupBy("source_type").agg(F.count(F.lit(1)).alias("n"))
-    return good.unionByName(errors.groupBy(F.col("category").alias("source_type")).agg(F.count(F.lit(1)).alias("n")))
+    stories_of_papers = items.raw_items(payloads.paper_entries(atom_payloads(spark, sf)), "arxiv", "paper")
+    releases_ = items.raw_items(payloads.release_entries(release_payloads(spark, sf)), "github_releases", "release")
+    every = feeds.unionByName(stories_of_papers, allowMissingColumns=True).unionByName(releases_, allowMissingColumns=True)
+    return every.select("id", "source_type", "url", F.col("metadata")["fetched_via"].alias("fetched_via"))
 
 
-_UNION = f"""SELECT 'news' AS source_type, count(*) AS n FROM documents UNION ALL SELECT 'release', count(*) FROM documents WHERE source NOT IN ('src1', 'src2', 'src3')
-UNION ALL SELECT category, count(*) FROM ({_RELEASE_ERRORS}) GROUP BY category"""
+_SOURCE_UNION = f"""WITH {FEED_SQL}
+SELECT 'raw-' || source || '-' || sha1('g' || doc_id)[:16] AS id, 'news' AS source_type, link AS url, 'rss' AS fetched_via FROM f
+UNION ALL SELECT 'raw-' || source || '-' || sha1('urn:' || doc_id)[:16], 'paper', link, 'arxiv' FROM f
+UNION ALL SELECT 'raw-' || source || '-' || sha1(doc_id::VARCHAR)[:16], 'release', link, 'github_releases' FROM f WHERE source NOT IN ('src1', 'src2', 'src3')"""
 
 
 def json_scan(spark, sf):
@@ -207,7 +297,79 @@ SELECT doc_id, count(DISTINCT lower(b)) AS blocks, count(*) AS lines FROM u GROU
 
 
 def article(spark, sf):
-    return articles.article_text(table(spark, sf, "pages")).select("page_id", "block_count", F.length("article_text").alias("chars"), F.md5("article_text").alias("text_md5"))
+    found = articles.article_text(table(spark, sf, "pages"))
+    return found.select("page_id", "article_error", "block_count", F.length("article_text").alias("chars"), F.md5("article_text").alias("text_md5"))
+
+
+def _useful(b: str) -> str:
+    """Whether a block's text is of use."""
+    phrases = any_word(f"lower({b})", ("accept cookies", "all rights reserved", "sign up", "subscribe to", "privacy policy", "terms of service"))
+    return (
+        f"{b} <> '' AND (len(string_split({b}, ' ')) >= 5 OR length({b}) - length(regexp_replace({b}, '[㐀-䶿一-鿿豈-﫿]', '', 'g')) >= 12) "
+        f"AND NOT {phrases} AND (length({b}) >= 35 OR regexp_matches({b}, '[.!?。！？]$'))"
+    )
+
+
+_BLOCK_TAGS = "p|li|h1|h2|h3|blockquote|pre"
+# Of the events of a page: skipped elements and comments out, then what follows each opening block tag up to its closing one.
+_ARTICLE = rf"""WITH h AS (SELECT page_id, coalesce(html, '') AS html, regexp_replace(coalesce(html, ''),
+  '(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<nav\b.*?</nav>|<footer\b.*?(</footer>|$)|<![^>]*>', ' ', 'g') AS t FROM pages),
+s AS (SELECT page_id, html, unnest(list_zip(string_split_regex(t, '(?i)<(?:{_BLOCK_TAGS})(?:\s[^>]*)?>')[2:], regexp_extract_all(t, '(?i)<({_BLOCK_TAGS})(?:\s[^>]*)?>', 1),
+  range(1, len(regexp_extract_all(t, '(?i)<({_BLOCK_TAGS})(?:\s[^>]*)?>', 1)) + 1))) AS z, len(regexp_extract_all(t, '(?i)<({_BLOCK_TAGS})(?:\s[^>]*)?>', 1)) AS n, t FROM h),
+o AS (SELECT page_id, z[1] AS after, lower(z[2]) AS tag, z[3] AS spot, n, list_aggregate(list_transform(string_split_regex(t, '(?i)<(?:{_BLOCK_TAGS})(?:\s[^>]*)?>')[1:z[3]], lambda x: x), 'string_agg', '') AS before FROM s),
+e AS (SELECT *, strpos(lower(after), '</' || tag || '>') AS stop FROM o),
+k AS (SELECT page_id, spot, CASE WHEN stop > 0 THEN after[:stop - 1] ELSE after END AS body, before FROM e WHERE stop > 0 OR spot = n),
+b AS (SELECT page_id, spot, {_clean("replace(replace(replace(replace(regexp_replace(body, '</?[A-Za-z][^>]*>', ' ', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', chr(34)), '&amp;', '&')")} AS block,
+  len(regexp_extract_all(before || body, '(?i)<article[ >]')) > len(regexp_extract_all(before || body, '(?i)</article>')) AS inside FROM k),
+u AS (SELECT page_id, spot, block, inside FROM b WHERE {_useful('block')}),
+a AS (SELECT page_id, spot, block, row_number() OVER (PARTITION BY page_id, lower(block) ORDER BY spot) AS r FROM u),
+i AS (SELECT page_id, spot, block, row_number() OVER (PARTITION BY page_id, lower(block) ORDER BY spot) AS r FROM u WHERE inside),
+ta AS (SELECT page_id, string_agg(block, chr(10) || chr(10) ORDER BY spot) AS every FROM a WHERE r = 1 GROUP BY 1),
+ti AS (SELECT page_id, string_agg(block, chr(10) || chr(10) ORDER BY spot) AS inner_text FROM i WHERE r = 1 GROUP BY 1),
+c AS (SELECT page_id, count(*) AS n FROM u GROUP BY 1),
+f AS (SELECT h.page_id, coalesce(c.n, 0) AS block_count, CASE WHEN NOT regexp_matches(html, '\S') THEN 'no_page' WHEN NOT regexp_matches(t, '<[A-Za-z/]') THEN 'no_markup'
+  WHEN NOT regexp_matches(t, '(?i)<({_BLOCK_TAGS})[ >]') THEN 'no_blocks' END AS article_error,
+  CASE WHEN length(coalesce(inner_text, '')) >= least(400, length(coalesce(every, ''))) THEN coalesce(inner_text, '') ELSE coalesce(every, '') END AS article_text
+  FROM h LEFT JOIN c USING (page_id) LEFT JOIN ta USING (page_id) LEFT JOIN ti USING (page_id))
+SELECT page_id, article_error, block_count, CASE WHEN article_error IS NULL THEN length(article_text) END AS chars, CASE WHEN article_error IS NULL THEN md5(article_text) END AS text_md5 FROM f"""
+
+
+def nested_pages(spark, sf):
+    """Every document as a page whose lines stand at known places: in and out of containers, behind unclosed and stray tags, in skipped parts."""
+    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    put = lambda head, line, tail: F.concat(F.lit(head), _xml(line), F.lit(tail))
+
+    def placed(line, i):
+        k = i % 7
+        return (
+            F.when(k == 0, put("<main><section><p>", line, "</p></section></main>"))
+            .when(k == 1, put("<div><b><p class=lead>", line, "</p></div>"))  # closes the open b
+            .when(k == 2, put("<nav><ul><li>", line, "</li></ul></nav>"))  # skipped
+            .when(k == 3, put('<div title="a > b" class="story-7"><div><blockquote>', line, "</i></blockquote></div></div>"))
+            .when(k == 4, put("<p><li>", line, "</li></p>"))  # the p is lost
+            .when(k == 5, put("<article><h2>", line, "</h2></article></article>"))
+            .otherwise(put("<aside><header>x</header>", line, "</aside><p/>"))
+        )
+
+    html = F.concat(F.lit("<html><body id=b>"), F.array_join(F.transform(lines, placed), "<!-- <p>no</p> -->"), F.lit("</body></html>"))
+    return table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 50 != 49, html).alias("html"))
+
+
+def nested_article(spark, sf):
+    return articles.article_text(nested_pages(spark, sf)).select("doc_id", "article_error", "block_count", F.md5("article_text").alias("text_md5"))
+
+
+_NESTED = f"""WITH l AS (SELECT doc_id, unnest(list_zip(string_split(coalesce(text, ''), chr(10)), range(0, len(string_split(coalesce(text, ''), chr(10)))))) AS z FROM documents WHERE doc_id % 50 <> 49),
+b AS (SELECT doc_id, z[2] AS spot, {_clean('z[1]')} AS block, z[2] % 7 IN (0, 3, 5) AS inside FROM l WHERE z[2] % 7 NOT IN (2, 6)),
+u AS (SELECT * FROM b WHERE {_useful('block')}),
+a AS (SELECT *, row_number() OVER (PARTITION BY doc_id, lower(block) ORDER BY spot) AS r FROM u),
+i AS (SELECT *, row_number() OVER (PARTITION BY doc_id, lower(block) ORDER BY spot) AS r FROM u WHERE inside),
+ta AS (SELECT doc_id, string_agg(block, chr(10) || chr(10) ORDER BY spot) AS every FROM a WHERE r = 1 GROUP BY 1),
+ti AS (SELECT doc_id, string_agg(block, chr(10) || chr(10) ORDER BY spot) AS inner_text FROM i WHERE r = 1 GROUP BY 1),
+c AS (SELECT doc_id, count(*) AS n FROM u GROUP BY 1)
+SELECT d.doc_id, CASE WHEN d.doc_id % 50 = 49 THEN 'no_page' END AS article_error, coalesce(c.n, 0) AS block_count,
+  CASE WHEN d.doc_id % 50 <> 49 THEN md5(CASE WHEN length(coalesce(inner_text, '')) >= least(400, length(coalesce(every, ''))) THEN coalesce(inner_text, '') ELSE coalesce(every, '') END) END AS text_md5
+FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN ta USING (doc_id) LEFT JOIN ti USING (doc_id)"""
 
 
 def bodies(spark, sf):
@@ -241,14 +403,18 @@ PLANS = {
     "src5_releases": (releases, _RELEASES),
     "src5_release_errors": (release_errors, _RELEASE_ERRORS),
     "src6_stories": (stories, _STORIES),
+    "src2_capped": (capped, _CAPPED),
     "src7_union": (union, _UNION),
-    "set1_source_union": (union, _UNION),
+    "src7_failures": (failures, _FAILURES),
+    "ag16_adapter_counts": (by_adapter, _BY_ADAPTER),
+    "set1_source_union": (source_union, _SOURCE_UNION),
     "src9_interleave": (interleave, _INTERLEAVE),
     "src10_window": (window, f"WITH {RAW_SQL} SELECT id FROM raw WHERE pos % 12 = 0 OR published_at >= TIMESTAMP '2024-01-13 12:00:00'"),
     "src11_keywords": (keywords, f"WITH {RAW_SQL} SELECT id FROM raw WHERE {any_word('lower(trim(title) || chr(32) || summary)', [w.lower() for w in WORDS])}"),
     "src12_item_ids": (ids, _IDS),
     "src13_article_blocks": (blocks, _BLOCKS),
-    "src13_article_text": (article, None),
+    "src13_article_text": (article, _ARTICLE),
+    "src13_nested_pages": (nested_article, _NESTED),
     "src14_body_choice": (bodies, _BODIES),
     "src16_html_text": (html, _HTML),
 }

@@ -6,18 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayline import lexicon
-from dayline.functions.arrow import html_blocks
+from dayline.functions import markup
+from dayline.functions.once import once
 from dayline.functions.text import contains_any, strip, truncate_at_break
 from dayline.functions.urls import is_http_url
 
 _CJK = "[㐀-䶿一-鿿豈-﫿]"
 
 
-def page_blocks(pages: DataFrame, html: str = "html", *carry: str) -> DataFrame:
-    """One row per text block of a page: position, container flag, text."""
-    return pages.select("page_id", *carry, F.explode(html_blocks(F.col(html))).alias("b")).select("page_id", *carry, "b.*")
-
-
 def is_useful(block: Column) -> Column:
     """Enough words (or CJK characters), no boilerplate phrase, long enough or a sentence."""
     words = F.size(F.split(block, " "))
@@ -46,17 +42,18 @@ def _joined(blocks: DataFrame, source: str, out: str) -> DataFrame:
 def article_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """Article text per page: the container's blocks when they carry enough, else all blocks.
 
-    Only the HTML reader runs in Python; filtering, dedupe and choice are column
-    expressions over one page's blocks.
+    ``article_error`` says why a page has none to read, and its text is null then; a page whose blocks are
+    all of no use has an empty text.  Reading, filtering, dedupe and choice are column expressions over one page.
     """
     if html not in pages.columns:
         raise ValueError(f"pages have no column {html!r}")
-    rows = pages.withColumn("_b", html_blocks(F.col(html))).drop(html)
-    rows = rows.withColumn("_all", F.filter("_b", lambda b: is_useful(b["block"])))
+    rows = markup.with_blocks(pages, html, "_all", "article_error").drop(html)
+    rows = once(rows, {"_all": F.filter("_all", lambda b: is_useful(b["block"]))})
     rows = rows.withColumn("_in", F.filter("_all", lambda b: b["in_container"]))
     rows = _joined(_joined(rows, "_all", "_all_text"), "_in", "_in_text")
     enough = F.length("_in_text") >= F.least(F.lit(400), F.length("_all_text"))
-    return rows.withColumns({"article_text": F.when(enough, F.col("_in_text")).otherwise(F.col("_all_text")), "block_count": F.size("_all")}).drop("_b", "_all", "_in", "_all_text", "_in_text")
+    text = F.when(F.col("article_error").isNull(), F.when(enough, F.col("_in_text")).otherwise(F.col("_all_text")))
+    return rows.withColumns({"article_text": text, "block_count": F.size("_all")}).drop("_all", "_in", "_all_text", "_in_text")
 
 
 def choose_body(rows: DataFrame, min_chars: int = 400, max_chars: int | None = None, enabled: bool = True) -> DataFrame:

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayline.functions.text import blank, contains_any, strip
-from dayline.functions.values import feed_timestamp
+from dayline.functions.text import contains_any, strip
 from dayline.operators.groups import top_per_group
 
 
@@ -18,11 +15,13 @@ def stable_id(source_name: Column, *candidates: Column) -> Column:
     return F.concat(F.lit("raw-"), source_name, F.lit("-"), F.substring(F.sha1(first), 1, 16))
 
 
-def raw_items(entries: DataFrame, fetched_via: str, source_type: str = "news", language: str = "en") -> DataFrame:
+def raw_items(
+    entries: DataFrame, fetched_via: str, source_type: str = "news", language: str = "en", carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Raw items from parsed entries.
 
     Entries carry source_name, source_url, pos, title, url, published_at, summary, content,
-    external_id and optionally source, source_type, language and a ``metadata`` map.
+    external_id and optionally source, source_type, language and a ``metadata`` map.  Columns in ``carry`` stay.
     """
     has = set(entries.columns)
     pick = lambda name, default: F.col(name) if name in has else F.lit(default)
@@ -37,7 +36,7 @@ def raw_items(entries: DataFrame, fetched_via: str, source_type: str = "news", l
     return entries.select(
         "source_name", "pos", stable_id(F.col("source_name"), F.coalesce("external_id", F.lit("")), F.col("url"), F.col("title")).alias("id"), "title",
         (F.col("source") if "source" in has else F.col("source_name")).alias("source"), "url", "published_at", pick("source_type", source_type).alias("source_type"),
-        pick("language", language).alias("language"), "summary", content.alias("content"), merged.alias("metadata"),
+        pick("language", language).alias("language"), "summary", content.alias("content"), merged.alias("metadata"), *carry,
     )
 
 
@@ -55,11 +54,6 @@ def with_keywords(items: DataFrame, keywords: list[str]) -> DataFrame:
     return items.where(contains_any(F.lower(F.concat(strip(F.col("title")), F.lit(" "), strip(F.col("summary")))), words))
 
 
-def cap(entries: DataFrame, max_items: int, keys: tuple[str, ...] = ("source_name",), order: tuple[str, ...] = ("pos",)) -> DataFrame:
-    """First ``max_items`` per source in feed order (a source may have landed many payloads)."""
-    return top_per_group(entries, list(keys), [F.col(c) for c in order], max_items, "_cap").drop("_cap")
-
-
 def interleave(items: DataFrame, group: str, group_order: str, pos: str, max_items: int, within: tuple[str, ...] = ()) -> DataFrame:
     """Fair merge: the first of every group, then the second, up to ``max_items``.
 
@@ -69,14 +63,3 @@ def interleave(items: DataFrame, group: str, group_order: str, pos: str, max_ite
     if within:
         return top_per_group(turn, list(within), [F.col("turn"), F.col(group_order)], max_items, "merged_pos")
     return turn.orderBy("turn", group_order).limit(max_items)
-
-
-def union_sources(frames: list[DataFrame], errors: list[DataFrame] | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """All source frames as one, and all error frames as one; one source's failure stops no other."""
-    if not frames:
-        raise ValueError("no enabled sources configured")
-    merge = lambda dfs: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
-    return merge(frames), merge(errors) if errors else None
-
-
-__all__ = ["blank", "cap", "feed_timestamp", "interleave", "raw_items", "stable_id", "union_sources", "with_keywords", "within_window"]

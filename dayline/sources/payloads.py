@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayline import schemas
+from dayline.functions.once import once
 from dayline.functions.text import markup_to_text, strip
 from dayline.functions.urls import url_host
 from dayline.functions.values import epoch_timestamp, feed_timestamp
-from dayline.operators.groups import top_per_group
 
 ENTRY_COLUMNS = ("source_name", "source_url", "pos", "title", "url", "published_at", "summary", "content", "external_id", "metadata")
 
@@ -22,16 +22,19 @@ _ATOM = (
     "updated: STRING, created: STRING, summary: STRING, content: STRING, author: ARRAY<STRUCT<name: STRING>>, category: ARRAY<STRUCT<_term: STRING>>, "
     "primary_category: STRUCT<_term: STRING>>>"
 )
-_XML = {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
+_CORRUPT = "_corrupt_record"
+_XML = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+#: What an entry and what a failed payload carry through a reader, beside their own fields.
+ORIGIN = ("source_name", "source_url", "fetched_at", "status", "failure", "detail")
 
 
 def read_item_arrays(spark: SparkSession, path: str) -> DataFrame:
     """Raw items from files that each hold one JSON array of objects; anything else fails the read."""
-    rows = spark.read.schema(schemas.RAW_ITEM).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    return rows
+    return spark.read.schema(schemas.RAW_ITEM).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """Landed payloads; a file without the columns of a payload is an error."""
     return spark.read.schema(schemas.PAYLOAD).parquet(path)
 
 
@@ -43,51 +46,115 @@ def _first_time(*cols: str) -> Column:
     return F.coalesce(*[feed_timestamp(F.col(c)) for c in cols])
 
 
-def rss_entries(payloads: DataFrame) -> DataFrame:
-    """Entries of RSS payloads in feed order; a missing date falls back to the fetch time."""
-    parsed = payloads.select("source_name", "source_url", "fetched_at", F.from_xml("body", _RSS, _XML).alias("x"))
-    rows = parsed.select("source_name", "source_url", "fetched_at", F.posexplode("x.channel.item").alias("pos", "e")).select("source_name", "source_url", "fetched_at", "pos", "e.*")
-    rows = rows.withColumns({"title": _text("title"), "url": _text("link"), "summary": markup_to_text(F.coalesce("summary", "description", F.lit(""))), "body": markup_to_text(F.coalesce("encoded", F.lit("")))})
-    rows = rows.where("title <> '' AND url <> ''")
-    guid = _text("guid")
-    return rows.select(
-        "source_name", "source_url", "pos", "title", "url", F.coalesce(_first_time("pubDate", "updated", "date"), "fetched_at").alias("published_at"), "summary",
+def transport_error() -> Column:
+    """Why a payload has nothing to parse: what the server said, or an empty body; else null."""
+    return (
+        F.when(F.col("status") == 429, "rate_limited")
+        .when(F.col("status") >= 400, "http_error")
+        .when(F.col("body").isNull() | (strip(F.col("body")) == ""), "empty_body")
+    )
+
+
+def _opened(payloads: DataFrame, parsed: Column, corrupt: Column, entries: Column) -> DataFrame:
+    """One row per entry, and one for each payload that cannot be read: the reason in ``failure``, the start of the body in ``detail``.
+
+    A payload that parses and has no entries is no error and has no rows.  Every body is parsed once.
+    """
+    failed = transport_error()
+    rows = payloads.withColumn("failure", failed).withColumn("_x", F.when(F.col("failure").isNull(), parsed))
+    broken = F.col("failure").isNull() & (F.col("_x").isNull() | corrupt)
+    rows = rows.withColumn("failure", F.when(broken, "invalid_payload").otherwise(F.col("failure")))
+    said = F.when(F.col("failure") == "invalid_payload", F.substring("body", 1, 80))
+    code = F.when(F.col("status") >= 400, F.concat(F.lit("status "), F.col("status").cast("string")))
+    rows = rows.withColumn("detail", F.coalesce(code, said, F.when(F.col("failure").isNotNull(), F.lit(""))))
+    good = F.when(F.col("failure").isNull(), entries)
+    rows = rows.select(*ORIGIN, F.posexplode_outer(good).alias("pos", "e"))
+    return rows.where("failure IS NOT NULL OR pos IS NOT NULL").select(*ORIGIN, "pos", "e.*")
+
+
+def _readable(rows: DataFrame, *required: str) -> DataFrame:
+    """Failed payloads, and entries that have what every entry needs."""
+    needed = " AND ".join(f"{c} <> ''" for c in required)
+    return rows.where(f"failure IS NOT NULL OR ({needed})")
+
+
+def _entries_only(rows: DataFrame) -> DataFrame:
+    return rows.where("failure IS NULL").drop("fetched_at", "status", "failure", "detail")
+
+
+def _feed(payloads: DataFrame, schema: str, entries: str) -> DataFrame:
+    parsed = F.from_xml("body", f"{schema}, {_CORRUPT} STRING", _XML)
+    return _opened(payloads, parsed, F.col(f"_x.{_CORRUPT}").isNotNull(), F.col(f"_x.{entries}"))
+
+
+def rss_rows(payloads: DataFrame) -> DataFrame:
+    """Entries of RSS payloads in feed order with their origin, and failed payloads; a missing date falls back to the fetch time."""
+    rows = _feed(payloads, _RSS, "channel.item")
+    rows = once(rows, {
+        "title": _text("title"), "url": _text("link"), "guid": _text("guid"),
+        "summary": markup_to_text(F.coalesce("summary", "description", F.lit(""))), "body": markup_to_text(F.coalesce("encoded", F.lit(""))),
+        "published_at": F.coalesce(_first_time("pubDate", "updated", "date"), "fetched_at"),
+    })
+    guid = F.col("guid")
+    return _readable(rows, "title", "url").select(
+        *ORIGIN, "pos", "title", "url", "published_at", "summary",
         F.when(F.col("body") != "", F.col("body")).otherwise(F.col("summary")).alias("content"), F.when(guid != "", guid).otherwise(F.col("url")).alias("external_id"),
         F.create_map(F.lit("content_source"), F.lit("rss_feed")).alias("metadata"),
     )
 
 
+def rss_entries(payloads: DataFrame) -> DataFrame:
+    """Entries of the readable RSS payloads."""
+    return _entries_only(rss_rows(payloads))
+
+
 def _alternate() -> Column:
     plain = F.filter("link", lambda v: F.coalesce(v["_rel"], F.lit("alternate")) == "alternate")
     return F.coalesce(F.get(plain, F.lit(0))["_href"], F.get("link", F.lit(0))["_href"], F.lit(""))
 
 
-def atom_entries(payloads: DataFrame) -> DataFrame:
-    """Entries of Atom payloads in feed order."""
-    rows = _atom_rows(payloads).withColumn("text", markup_to_text(F.coalesce("content", F.lit(""))))
-    return rows.where("title <> '' AND url <> ''").select(
-        "source_name", "source_url", "pos", "title", "url", "published_at", "summary", F.when(F.col("text") != "", F.col("text")).otherwise(F.col("summary")).alias("content"),
+def atom_rows(payloads: DataFrame) -> DataFrame:
+    """Entries of Atom payloads in feed order with their origin, and failed payloads."""
+    rows = _readable(_atom_rows(payloads), "title", "url")
+    return rows.select(
+        *ORIGIN, "pos", "title", "url", "published_at", "summary", F.when(F.col("text") != "", F.col("text")).otherwise(F.col("summary")).alias("content"),
         F.when(F.col("external_id") != "", F.col("external_id")).otherwise(F.col("url")).alias("external_id"), F.create_map(F.lit("content_source"), F.lit("rss_feed")).alias("metadata"),
     )
 
 
+def atom_entries(payloads: DataFrame) -> DataFrame:
+    """Entries of the readable Atom payloads."""
+    return _entries_only(atom_rows(payloads))
+
+
 def _atom_rows(payloads: DataFrame) -> DataFrame:
-    parsed = payloads.select("source_name", "source_url", "fetched_at", F.from_xml("body", _ATOM, _XML).alias("x"))
-    rows = parsed.select("source_name", "source_url", "fetched_at", F.posexplode("x.entry").alias("pos", "e")).select("source_name", "source_url", "fetched_at", "pos", "e.*")
-    return rows.withColumns(
-        {"title": _text("title"), "url": _text(_alternate()), "external_id": _text("id"), "published_at": F.coalesce(_first_time("published", "updated", "created"), "fetched_at"), "summary": markup_to_text(F.coalesce("summary", F.lit("")))}
-    )
+    rows = _feed(payloads, _ATOM, "entry")
+    return once(rows, {
+        "title": _text("title"), "url": _text(_alternate()), "external_id": _text("id"),
+        "published_at": F.coalesce(_first_time("published", "updated", "created"), "fetched_at"), "summary": markup_to_text(F.coalesce("summary", F.lit(""))),
+        "text": markup_to_text(F.coalesce("content", F.lit(""))),
+    })
+
+
+def is_atom() -> Column:
+    """Whether a body's root element is that of Atom."""
+    return F.coalesce(F.col("body"), F.lit("")).rlike(r"(?s)^\s*(<\?xml.*?\?>)?\s*(<!--.*?-->\s*)*<([A-Za-z]+:)?feed[\s>]")
+
+
+def feed_rows(payloads: DataFrame) -> DataFrame:
+    """RSS and Atom payloads together, told apart by their root element, and those that cannot be read."""
+    return rss_rows(payloads.where(~is_atom())).unionByName(atom_rows(payloads.where(is_atom())))
 
 
 def feed_entries(payloads: DataFrame) -> DataFrame:
-    """RSS and Atom payloads together, told apart by their root element."""
-    is_atom = F.col("body").rlike(r"(?s)^\s*(<\?xml.*?\?>)?\s*(<!--.*?-->\s*)*<([A-Za-z]+:)?feed[\s>]")
-    return rss_entries(payloads.where(~is_atom)).unionByName(atom_entries(payloads.where(is_atom)))
+    """Entries of the readable RSS and Atom payloads."""
+    return _entries_only(feed_rows(payloads))
 
 
 def paper_entries(payloads: DataFrame) -> DataFrame:
     """Paper listings: authors, distinct categories, primary category and PDF link of each entry."""
-    rows = _atom_rows(payloads).withColumn("url", F.when(F.col("url") != "", F.col("url")).otherwise(F.col("external_id")))
+    rows = _atom_rows(payloads).where("failure IS NULL")
+    rows = rows.withColumn("url", F.when(F.col("url") != "", F.col("url")).otherwise(F.col("external_id")))
     filled = lambda values: F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda v: strip(v) != "")
     terms = F.array_distinct(filled(F.transform("category", lambda c: strip(c["_term"]))))
     lower = lambda c: F.lower(strip(c))
@@ -106,29 +173,32 @@ def paper_entries(payloads: DataFrame) -> DataFrame:
 _RELEASES = "ARRAY<STRUCT<id: STRING, name: STRING, tag_name: STRING, html_url: STRING, published_at: STRING, body: STRING>>"
 
 
-def release_outcomes(payloads: DataFrame) -> DataFrame:
-    """Parsed release lists with an outcome per repository: ok, rate_limited or repo_error."""
-    parsed = payloads.withColumn("releases", F.when(F.ltrim("body").startswith("["), F.from_json("body", _RELEASES)))
-    limited = F.col("status").isin(403, 429)
-    outcome = F.when(limited, "rate_limited").when((F.col("status") >= 400) | F.col("releases").isNull(), "repo_error").otherwise("ok")
-    return parsed.withColumn("outcome", outcome)
-
-
-def release_entries(payloads: DataFrame) -> DataFrame:
-    """Releases of every readable repository (``source_name`` is the repository)."""
-    ok = release_outcomes(payloads).where("outcome = 'ok'")
-    rows = ok.select("source_name", "source_url", "fetched_at", F.posexplode("releases").alias("pos", "r")).select("source_name", "source_url", "fetched_at", "pos", "r.*")
+def release_rows(payloads: DataFrame) -> DataFrame:
+    """Releases of every readable repository (``source_name`` is the repository) with their origin, and failed payloads."""
+    parsed = F.when(F.ltrim("body").startswith("["), F.from_json("body", _RELEASES))
+    rows = _opened(payloads, F.struct(parsed.alias("list")), F.col("_x.list").isNull(), F.col("_x.list"))
     name = F.when(_text("name") != "", _text("name")).otherwise(_text("tag_name"))
-    rows = rows.withColumns({"label": name, "url": _text("html_url"), "text": markup_to_text(F.coalesce("body", F.lit("")))}).where("label <> '' AND url <> ''")
-    return rows.select(
-        "source_name", "source_url", "pos", F.concat_ws(" ", "source_name", "label").alias("title"), "url", F.coalesce(feed_timestamp(F.col("published_at")), "fetched_at").alias("published_at"),
+    rows = once(rows, {
+        "label": name, "url": _text("html_url"), "text": markup_to_text(F.coalesce("body", F.lit(""))),
+        "published_at": F.coalesce(feed_timestamp(F.col("published_at")), "fetched_at"),
+    })
+    return _readable(rows, "label", "url").select(
+        *ORIGIN, "pos", F.concat_ws(" ", "source_name", "label").alias("title"), "url", "published_at",
         F.substring("text", 1, 500).alias("summary"), F.col("text").alias("content"), F.when(_text("id") != "", _text("id")).otherwise(F.concat_ws(":", "source_name", "label")).alias("external_id"),
         F.create_map(F.lit("repo"), F.col("source_name"), F.lit("tag_name"), _text("tag_name"), F.lit("content_source"), F.lit("github_release_body"), F.lit("content_chars"), F.length("text").cast("string")).alias("metadata"),
     )
 
 
+def release_entries(payloads: DataFrame) -> DataFrame:
+    """Releases of every readable repository."""
+    return _entries_only(release_rows(payloads))
+
+
 def release_errors(payloads: DataFrame) -> DataFrame:
-    return release_outcomes(payloads).where("outcome <> 'ok'").select("source_name", F.col("outcome").alias("category"), "status")
+    """Repositories that were not read, as ``rate_limited`` (also by 403) or ``repo_error``."""
+    limited = F.col("status").isin(403, 429)
+    failed = release_rows(payloads).where("failure IS NOT NULL")
+    return failed.select("source_name", F.when(limited, "rate_limited").otherwise("repo_error").alias("category"), "status")
 
 
 _STORY = "id BIGINT, type STRING, title STRING, text STRING, url STRING, time BIGINT, score BIGINT, descendants BIGINT"
@@ -170,12 +240,3 @@ def story_entries(lists: DataFrame, stories: DataFrame, max_items: int, keywords
         F.col("story_id").cast("string").alias("external_id"), "kind", "is_external",
         F.create_map(F.lit("hn_story_kind"), F.col("kind"), F.lit("is_external_link"), F.col("is_external").cast("string"), F.lit("content_source"), F.lit("hackernews_summary")).alias("metadata"),
     )
-
-
-def payload_errors(payloads: DataFrame) -> DataFrame:
-    """Payloads that cannot be read, with a reason; they never stop the others."""
-    reason = F.when(F.col("status") == 429, "rate_limited").when(F.col("status") >= 400, "http_error").when(F.col("body").isNull() | (strip(F.col("body")) == ""), "empty_body")
-    return payloads.withColumn("category", reason).where("category IS NOT NULL").select("source_name", "source_url", "status", "category")
-
-
-__all__ = ["atom_entries", "feed_entries", "paper_entries", "payload_errors", "read_item_arrays", "read_payloads", "release_entries", "release_errors", "release_outcomes", "rss_entries", "story_entries", "top_per_group"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from dayline import lexicon
 from dayline.functions import text, urls, values
-from dayline.functions.arrow import html_blocks, match_text
+from dayline.functions.arrow import match_text
 from dayline.operators import clean, memory, relevance, runlog, similarity, trends
 from dayline.operators.components import connected_components, first_fit
 from dayline.operators.groups import lookup, number_rows
@@ -58,11 +58,8 @@ def test_dates_and_cost(spark):
     assert one(spark, values.token_cost(F.lit(1000), F.lit(-5), F.lit(0.5), F.lit(1.0), F.lit(1000))) == 0.5
 
 
-def test_quote_form_and_blocks(spark):
+def test_quote_form(spark):
     assert one(spark, match_text(F.lit("“Straße”  Ｘ"))) == '"strasse" x'
-    page = "<nav><p>skip me please now</p></nav><div class='story'><p>one two three four five.</p></div><p>out side text</p>"
-    got = one(spark, html_blocks(F.lit(page)))
-    assert [(b["in_container"], b["block"]) for b in got] == [(True, "one two three four five."), (False, "out side text")]
 
 
 def test_duplicates_by_url_and_title(spark):
