@@ -260,9 +260,9 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def remove_phrases(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = PHRASE_BYTES) -> DataFrame:
-    """``docs(text)`` with all its columns; hit spans are cut out of ``text``, and ``n_chars`` follows where there is one.
+    """``docs(text)`` with all its columns; hit spans are cut out of ``text``.
 
-    Rows keep their place and number; those without a hit, null texts among them, stay as they are.
+    ``n_chars`` follows where there is one of whole numbers or of text; of another type it stays.  Rows keep their place and number; those without a hit, null texts among them, stay as they are.
     """
     sent = _sent(docs, benchmark, window, most)
     names = docs.columns
@@ -274,9 +274,10 @@ def remove_phrases(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             clean = [without_spans(t, r) if r else t for t, r in zip(texts, spans)]
             columns = list(batch.columns)
             columns[names.index("text")] = pa.array(clean, columns[names.index("text")].type)
-            if "n_chars" in names:
-                at = names.index("n_chars")
-                counted = [len(t) if r else n for t, r, n in zip(clean, spans, columns[at].to_pylist())]
+            at = names.index("n_chars") if "n_chars" in names else None
+            written = None if at is None else int if pa.types.is_integer(columns[at].type) else str if pa.types.is_string(columns[at].type) else None
+            if written:
+                counted = [written(len(t)) if r else n for t, r, n in zip(clean, spans, columns[at].to_pylist())]
                 columns[at] = pa.array(counted, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names)
 

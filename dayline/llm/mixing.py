@@ -90,15 +90,19 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS,
     )
 
 
-OWN = ("mix_size", "mix_target", "mix_taken")
+OWN = ("mix_size", "mix_target", "mix_whole", "mix_extra", "mix_taken")
 
 
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
-    """``docs`` with ``mix_size``, ``mix_target`` and ``mix_taken``; documents that the mix takes no word of are left out.
+    """``docs`` with the plan of each; documents that the mix takes no word of are left out.
 
-    Columns of those names are replaced.  A ``doc_id`` names one document: rows that share one share its plan.
+    A reader takes a document ``mix_whole`` times whole and then its first ``mix_extra`` words, which makes
+    ``mix_taken`` of its ``mix_size`` words; ``mix_target`` is what its source is to have.  Columns of those names are
+    replaced.  A ``doc_id`` names one document: rows that share one share its plan.
     """
-    plan = mix(docs, **parameters).groupBy("doc_id").agg(*[F.max(c[4:]).alias(c) for c in OWN]).where("mix_taken > 0")
-    plan = plan.withColumnRenamed("doc_id", "_id")
+    made = mix(docs, **parameters).withColumn("extra", F.col("taken") - F.col("whole") * F.col("size"))
+    plan = made.groupBy("doc_id").agg(*[F.max(c[4:]).alias(c) for c in OWN]).where("mix_taken > 0")
     rows = docs.drop(*OWN)
-    return rows.join(plan, rows["doc_id"].eqNullSafe(plan["_id"])).select(*rows.columns, *OWN)
+    key = "_planned" + "_" * max(map(len, rows.columns))  # longer than any column's name
+    plan = plan.withColumnRenamed("doc_id", key)
+    return rows.join(plan, rows["doc_id"].eqNullSafe(plan[key])).drop(key)

@@ -128,7 +128,7 @@ OP7_SQL = f"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 w AS (SELECT doc_id, p, substr(h, 2 * p + 1, {2 * suffix_dedup.LENGTH}) AS s
   FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - {suffix_dedup.LENGTH - 1})) AS p FROM d)),
-f AS (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS n FROM w),
+f AS (SELECT doc_id, p, dense_rank() OVER (PARTITION BY s ORDER BY doc_id, p) AS n FROM w),
 g AS (SELECT doc_id, p, CASE WHEN p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {suffix_dedup.LENGTH} THEN 1 ELSE 0 END AS cut FROM f WHERE n > 1),
 r AS (SELECT doc_id, p, sum(cut) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g),
 spans AS (SELECT doc_id, min(p) AS a, max(p) + {suffix_dedup.LENGTH} AS b FROM r GROUP BY doc_id, run),

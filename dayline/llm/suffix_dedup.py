@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from dayline.llm.blocks import in_blocks
 from dayline.llm.common import shared as shared_table
@@ -253,7 +254,9 @@ def _pieces(blocks: Iterator[tuple], shared: np.ndarray, hot: np.ndarray, length
             for s, e, key in spans:
                 piece, at = data[s : e + length - 1], (ids[doc], s - base)
                 earlier = seen.get(piece)
-                if earlier is not None and earlier <= at:
+                if earlier == at:  # a row that repeats is the same place
+                    continue
+                if earlier is not None and earlier < at:
                     rows.append((xxhash.xxh64_intdigest(str(at)), ids[doc], s - base, e - base, None))
                     continue
                 seen[piece] = at
@@ -298,6 +301,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     texts = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
+    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     spark = docs.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,7 +324,6 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for rows in _pieces(_blocks(batches), shared.value, hot.value, length):
             columns = list(zip(*rows)) or [[]] * 5
             keys = np.array(columns[0], np.uint64).view(np.int64)
-            id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys), *(pa.array(list(c), id_type if n == "doc_id" else t) for c, n, t in zip(columns[1:], names[1:], types[1:]))], names
             )
@@ -372,7 +375,7 @@ def _repeats_of(table: pa.Table, length: int) -> pa.RecordBatch:
         first = known.get(piece)
         if first is None:
             known[piece] = (doc, start)
-        else:  # equal bytes: all of the later one repeats the earlier one
+        elif first != (doc, start):  # equal bytes: all of the later one repeats the earlier one
             (a, b) = sorted((first, (doc, start)))
             known[piece] = a
             out.append((b[0], b[1], len(piece), a[0], a[1]))
@@ -407,7 +410,7 @@ def removed(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     A byte goes when a passage of ``length`` bytes over it also starts earlier: in a document of
     smaller ``doc_id``, or before it in the same.  Null and empty texts have no bytes; a text
     shorter than ``length`` keeps all.  A ``doc_id`` names one document: rows that share one
-    are one place, and what is removed from either goes from both.  Rows with a null ``doc_id`` neither lose
+    are one place, of which nothing goes because it is there twice.  Rows with a null ``doc_id`` neither lose
     nor cause anything.
     """
     spans = repeats(docs, length).select("doc_id", F.struct("start", (F.col("start") + F.col("length")).alias("end")).alias("span"))

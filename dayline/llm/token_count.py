@@ -10,6 +10,7 @@ compiled when first met, for all new ones of a batch together, and kept in a bou
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import unicodedata
@@ -30,6 +31,8 @@ BETWEEN, LETTERS, SIGNS, AFTER_QUOTE, AFTER_R, AFTER_V, AFTER_L = range(7)
 HERE, BEFORE = 1, 2
 #: Code points of a chunk, of a piece of a long text, and pre-tokens whose weight is kept.
 CHUNK, PIECE, KEPT_WEIGHTS = 512, 1 << 20, 1 << 20
+#: Bytes of a word from which its pairs are kept in a heap.
+LONG_WORD = 512
 
 
 def transducer() -> tuple[np.ndarray, np.ndarray]:
@@ -147,9 +150,13 @@ def merge_counts(words: list[bytes], tables: dict) -> np.ndarray:
     """Tokens that the merges leave of each word: lowest rank first, of equals the leftmost."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     counts = np.zeros(len(words), np.int64)
+    long = np.flatnonzero(lengths > LONG_WORD)
+    if len(long):
+        ranks = dict(zip(tables["keys"].tolist(), tables["ranks"].tolist()))
+        counts[long] = [_merge_long(words[i], ranks, tables) for i in long.tolist()]
     width = 8
     low = 0
-    while low < max(lengths.max(initial=0), 1):
+    while low < min(max(lengths.max(initial=0), 1), LONG_WORD):
         chosen = np.flatnonzero((lengths > low) & (lengths <= width))
         for part in np.array_split(chosen, max(1, len(chosen) * width // 4_000_000)):
             if len(part):
@@ -158,6 +165,41 @@ def merge_counts(words: list[bytes], tables: dict) -> np.ndarray:
     return counts
 
 
+def _merge_long(word: bytes, ranks: dict[int, int], tables: dict) -> int:
+    """Tokens of one long word: pairs wait in a heap by rank and place, and merged neighbours are linked."""
+    letters = np.frombuffer(word, np.uint8)
+    ids = tables["inner"][letters].astype(np.int64)
+    ids[-1] = tables["last"][letters[-1]]
+    size, made = tables["size"], tables["made"].tolist()
+    known = (ids[:-1] >= 0) & (ids[1:] >= 0)
+    keys = (ids[:-1] * size + ids[1:]).tolist()
+    heap = [(rank, i) for i, (key, ok) in enumerate(zip(keys, known.tolist())) if ok and (rank := ranks.get(key)) is not None]
+    heapq.heapify(heap)
+    ids = ids.tolist()
+    n = left = len(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+
+    def rank_at(i: int) -> int | None:
+        j = after[i]
+        return ranks.get(ids[i] * size + ids[j]) if j < n and ids[i] >= 0 and ids[j] >= 0 else None
+
+    gone = bytearray(n)
+    while heap:
+        rank, i = heapq.heappop(heap)
+        if gone[i] or rank_at(i) != rank:
+            continue
+        j = after[i]
+        ids[i], gone[j], after[i] = made[rank], 1, after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        left -= 1
+        for k in (before[i], i):
+            more = rank_at(k) if k >= 0 else None
+            if more is not None:
+                heapq.heappush(heap, (more, k))
+    return left
+
+
 def _merge_block(words: list[bytes], lengths: np.ndarray, width: int, tables: dict) -> np.ndarray:
     never = np.int64(1 << 40)
     letters = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(-1, width)
