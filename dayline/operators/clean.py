@@ -47,35 +47,45 @@ def identity(items: DataFrame) -> DataFrame:
     return keyed.withColumn("content_hash", F.sha2("title_fingerprint", 256))
 
 
-def duplicate_groups(items: DataFrame, scope: tuple[str, ...] = ("report_date",), merge_empty_titles: bool = False) -> DataFrame:
-    """Group of each item, without its texts: items are one group when linked by canonical
-    URL or title fingerprint, transitively, inside their ``scope``.
+def group_nodes(items: DataFrame, scope: tuple[str, ...] = ("report_date",), merge_empty_titles: bool = False) -> DataFrame:
+    """Items without their texts, with the nodes ``_u`` and ``_t`` of their URL and title in the graph of keys.
 
-    The graph is over keys, not items: a URL and a title are linked when an item carries
-    both.  Copies therefore collapse before anything iterates, and a pair whose URL and
-    title occur in no other pair never enters the iteration at all.
+    Nodes are 128 bits wide, which keeps the iteration narrow; the scope separates report dates.
     """
-    # 128-bit key nodes keep the iteration narrow; scope separates report dates.
     node = lambda kind, c: F.md5(F.concat_ws("\x1f", F.lit(kind), *[F.col(s).cast("string") for s in scope], c))
     title = F.col("title_fingerprint")
     title_node = node("t", title)
     if not merge_empty_titles:
         # Punctuation-only titles say nothing; by default they do not link items.
         title_node = F.when(title == "", node("u", F.col("canonical_url"))).otherwise(title_node)
-    # Everything later needs is written once, so long texts are read once.
-    keyed = durable(
-        items.select(
-            *scope, "pos", "id", "url", "source", "canonical_url", "title_fingerprint", "content_hash", quality_key().alias("quality"),
-            node("u", F.col("canonical_url")).alias("_u"), title_node.alias("_t"),
-        )
+    return items.select(
+        *scope, "pos", "id", "url", "source", "canonical_url", "title_fingerprint", "content_hash", quality_key().alias("quality"),
+        node("u", F.col("canonical_url")).alias("_u"), title_node.alias("_t"),
     )
+
+
+def grown_groups(keyed: DataFrame, roots: DataFrame) -> DataFrame:
+    """Group of each of ``group_nodes`` by components that ``extend_components`` keeps from day to day."""
+    grouped = lookup(keyed, roots.select(F.col("node").alias("_u"), "component"), ["_u"], "left")
+    return grouped.withColumn("group_key", F.coalesce("component", "_u")).drop("component", "_u", "_t")
+
+
+def duplicate_groups(items: DataFrame, scope: tuple[str, ...] = ("report_date",), merge_empty_titles: bool = False) -> DataFrame:
+    """Group of each item, without its texts: items are one group when linked by canonical
+    URL or title fingerprint, transitively, inside their ``scope``.
+
+    The graph is over keys, not items: a URL and a title are linked when an item carries
+    both.  Copies therefore collapse before anything iterates, and a pair whose URL and
+    title occur in no other pair never enters the iteration at all.  Everything later needs
+    is written once, so long texts are read once.
+    """
+    keyed = durable(group_nodes(items, scope, merge_empty_titles))
     pairs = durable(keyed.select("_u", "_t").distinct())
     per_u = pairs.groupBy("_u").agg(F.count(F.lit(1)).alias("_nu"))
     per_t = pairs.groupBy("_t").agg(F.count(F.lit(1)).alias("_nt"))
     linked = lookup(lookup(pairs, per_u, ["_u"], "inner"), per_t, ["_t"], "inner").where("_nu > 1 OR _nt > 1")
     components = connected_components(linked.select(F.col("_u").alias("a"), F.col("_t").alias("b")))
-    grouped = lookup(keyed, components.select(F.col("node").alias("_u"), "component"), ["_u"], "left")
-    return grouped.withColumn("group_key", F.coalesce("component", "_u")).drop("component", "_u", "_t")
+    return grown_groups(keyed, components)
 
 
 def origin_score() -> Column:

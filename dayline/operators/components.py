@@ -40,6 +40,34 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
 
 
+def contract(known: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """``edges(a, b)`` with the roots ``x``, ``y`` that known components give their ends, and whether they are known."""
+    met = edges.where("a <> b").select("a", "b").distinct()
+    for end, root in (("a", "x"), ("b", "y")):
+        if known is None:
+            met = met.withColumns({root: F.col(end), f"known_{end}": F.lit(False)})
+            continue
+        of = known.select(F.col("node").alias(end), F.col("component").alias("_root"))
+        met = lookup(met, of, [end], "left").withColumns({root: F.coalesce("_root", end), f"known_{end}": F.col("_root").isNotNull()}).drop("_root")
+    return met
+
+
+def extend_components(known: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """Components of all edges so far, from those of the earlier ones and the new edges alone.
+
+    ``known(node, component)`` is what an earlier call returned (None: nothing yet).  New edges are contracted
+    to the roots of their ends; only roots that differ enter the rounds, so their cost follows what a
+    day adds and not what there is.  The rows of roots that moved are then given their new one.
+    """
+    met = durable(contract(known, edges))
+    moved = durable(connected_components(met.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))))
+    ends = [F.struct(F.col(end).alias("node"), F.col(root).alias("root"), F.col(f"known_{end}").alias("known")) for end, root in (("a", "x"), ("b", "y"))]
+    new = met.select(F.explode(F.array(*ends)).alias("e")).select("e.*").where("NOT known").select("node", F.col("root").alias("component")).distinct()
+    every = new if known is None else known.select("node", "component").unionByName(new)
+    to = moved.where("node <> component").select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    return durable(lookup(every, to, ["component"], "left").select("node", F.coalesce("_to", "component").alias("component")))
+
+
 def first_fit(claims: DataFrame) -> DataFrame:
     """Positions kept when rows arrive in order and a row sharing a key with a kept row is dropped.
 

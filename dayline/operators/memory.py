@@ -12,6 +12,8 @@ from dayline.functions.text import safe_record_id, strip, truncate_marked
 from dayline.functions.topics import topic_key, topic_label
 from dayline.operators.components import first_fit
 from dayline.operators.groups import explode_keys, lookup, top_per_group
+from dayline.operators.key_index import KeyIndex
+from dayline.session import durable
 
 ENTRY_KEYS = ("id", "memory_item_id", "validated_item_id", "source_item_id", "url", "content_hash")
 
@@ -359,18 +361,27 @@ def to_payloads(items: DataFrame, sources: DataFrame, run_id: str | None = None,
     return wide.select(safe_record_id(F.col("id")).alias("memory_item_id"), F.to_json(record).alias("payload"))
 
 
+def claims(entries: DataFrame, *carry: str) -> DataFrame:
+    """``(*carry, value)``: each strong key of each entry, within its topic."""
+    keys = F.array_distinct(F.array(*[F.col(c).cast("string") for c in ENTRY_KEYS]))
+    rows = entries.select(*carry, F.explode(keys).alias("_v"), "topic_key").where("_v <> ''")
+    return rows.select(*carry, F.concat_ws("\x1f", "topic_key", "_v").alias("value"))
+
+
 def appendable(entries: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """Entries to add: no key shared, within the topic, with history or a kept earlier entry."""
-    keys = F.array_distinct(F.array(*[F.col(c).cast("string") for c in ENTRY_KEYS]))
-    claim = lambda df, *carry: df.select(*carry, F.explode(keys).alias("_v"), "topic_key").where("_v <> ''").select(
-        *carry, F.concat_ws("\x1f", "topic_key", "_v").alias("value")
-    )
-    claims = claim(entries, "pos")
+    mine = claims(entries, "pos")
     if history is not None:
-        known = claim(history).distinct()
-        clash = lookup(claims, known, ["value"], "left_semi").select("pos").distinct()
-        claims = claims.join(clash, "pos", "left_anti")
-    return entries.join(first_fit(claims), "pos", "left_semi")
+        clash = lookup(mine, claims(history).distinct(), ["value"], "left_semi").select("pos").distinct()
+        mine = mine.join(clash, "pos", "left_anti")
+    return entries.join(first_fit(mine), "pos", "left_semi")
+
+
+def appendable_by_index(entries: DataFrame, index: KeyIndex, batch_id: int | str) -> DataFrame:
+    """As ``appendable``, against an index of history's keys instead of history; a batch does not meet its own keys."""
+    mine = durable(claims(entries, "pos"))
+    clash = index.known(mine, but_of=batch_id).select("pos").distinct()
+    return entries.join(first_fit(mine.join(clash, "pos", "left_anti")), "pos", "left_semi")
 
 
 def history_before(history: DataFrame, started_at: Column) -> DataFrame:

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from dayline import lexicon
 from dayline.operators import clean, extract, relevance
+from dayline.operators.components import extend_components
 from dayline.operators.groups import lookup
 from dayline.plans import inputs
 from dayline.plans.inputs import CLEAN_SQL, RAW_SQL, STRUCTURED_SQL, quote, sql_list
+from dayline.session import durable
 
 
 def required(spark, sf):
@@ -31,6 +33,18 @@ def groups(spark, sf):
     return lookup(g.select("group_key", "pos"), low, ["group_key"], "inner").select("pos", "component")
 
 
+def grown(spark, sf):
+    """The same groups, by items that arrive in three parts: each part only meets the roots of what it touches."""
+    keyed = durable(clean.group_nodes(inputs.clean(spark, sf), scope=()))
+    roots = None
+    for part in range(3):
+        arrived = keyed.where(F.pmod(F.col("pos"), F.lit(3)) == part)
+        roots = extend_components(roots, arrived.select(F.col("_u").alias("a"), F.col("_t").alias("b")))
+    g = clean.grown_groups(keyed, roots)
+    low = g.groupBy("group_key").agg(F.min("pos").alias("component"))
+    return lookup(g.select("group_key", "pos"), low, ["group_key"], "inner").select("pos", "component")
+
+
 # Transitive closure by recursion over shared keys: an independent form of the components.
 _EDGES = """keyed AS (SELECT pos, 'u' || canonical_url AS k FROM clean UNION ALL SELECT pos, 't' || title_fingerprint FROM clean WHERE title_fingerprint <> ''),
 firsts AS (SELECT pos, min(pos) OVER (PARTITION BY k{scope}) AS head FROM keyed{join}),
@@ -216,6 +230,7 @@ PLANS = {
     "pf1_required_fields": (required, _REQUIRED),
     "pf2_report_date": (report_date, _REPORT_DATE),
     "dd1_duplicate_groups": (groups, _GROUPS),
+    "dd1_grown_groups": (grown, _GROUPS),
     "dd2_survivors": (survivors, _SURVIVORS),
     "dd3_duplicate_audit": (audit, _AUDIT),
     "dd3_group_summary": (group_sizes, _SIZES),

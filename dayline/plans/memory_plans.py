@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from dayline import lexicon
 from dayline.operators import memory, similarity
+from dayline.operators.key_index import KeyIndex
 from dayline.plans import inputs
 from dayline.plans.inputs import RETRIEVED_SQL, STRUCTURED_SQL, sql_list
 from dayline.session import checkpoint_folder
@@ -292,6 +293,14 @@ def append_to_history(spark, sf):
     return spark.read.parquet(path).select("pos", "topic_key", "memory_item_id")
 
 
+def append_by_index(spark, sf):
+    """The same entries, with the keys of history looked up in their index."""
+    entries = memory.to_entries(inputs.structured(spark, sf).where(F.col("report_date") >= CUT))
+    index = KeyIndex(spark, f"{checkpoint_folder(spark)}/keys-{uuid.uuid4().hex}", buckets=16)
+    index.add(memory.claims(known_history(spark, sf)), "history")
+    return memory.appendable_by_index(entries, index, "run-1").select("pos", "topic_key", "memory_item_id")
+
+
 APPEND_NEW_SQL = _append_sql(
     f"s WHERE report_date >= DATE '{CUT}' AND NOT EXISTS (SELECT 1 FROM structured k WHERE k.published_at < TIMESTAMP '{CUT}' AND k.topic = s.topic AND list_has_any([k.id, k.raw_id, k.url, k.content_hash], [s.id, s.raw_id, s.url, s.content_hash]))"
 )
@@ -363,6 +372,7 @@ PLANS = {
     "j3_source_links": (source_links, f"WITH {STRUCTURED_SQL} SELECT id AS item_id, raw_id AS source_item_id, 0 AS key_place FROM structured"),
     "an8_source_documents": (source_docs, f"WITH {STRUCTURED_SQL} SELECT s.id AS item_id, c.id AS source_item_id, c.source, c.url, md5(c.content) AS content_md5 FROM structured s JOIN clean c ON c.id = s.raw_id"),
     "mem6_append": (append, _append_sql()),
+    "mem6_key_index": (append_by_index, APPEND_NEW_SQL),
     "snk4_history_append": (append_to_history, APPEND_NEW_SQL),
     "mem7_entries": (entries, _ENTRIES),
     "mem8_snapshot_read": (snapshot_read, f"WITH {STRUCTURED_SQL} SELECT id AS memory_item_id, lower(topic) AS topic_key FROM structured WHERE published_at < TIMESTAMP '{CUT}'"),

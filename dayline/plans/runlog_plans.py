@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from dayline.functions.text import word_count
 from dayline.operators import extract, memory, runlog, scoring
+from dayline.operators.key_index import KeyIndex
 from dayline.plans import inputs, memory_plans
 from dayline.plans.inputs import STRUCTURED_SQL, squeeze_sql, table
 from dayline.session import checkpoint_folder
@@ -267,21 +268,22 @@ def publish(spark, sf):
 
 # --- streams -----------------------------------------------------------------------
 def stream_ingest(spark, sf):
-    """Clean items of the new dates as a stream; what history or the batch knows already isn't appended."""
-    source, target = _folder(spark, "landed"), _folder(spark, "stream-history")
+    """Clean items of the new dates as a stream of three batches with a restart; known entries aren't appended.
+
+    Keys of history are entered in the index once; after that no batch reads history.
+    """
+    source, target, offsets = _folder(spark, "landed"), _folder(spark, "stream-history"), _folder(spark, "offsets")
     items = inputs.clean(spark, sf).where(F.col("report_date") >= memory_plans.CUT).drop("canonical_url", "title_fingerprint", "content_hash")
-    items.write.parquet(source)
-    stream = spark.readStream.schema(items.schema).parquet(source)
+    last = items.agg(F.max("pos")).first()[0] or 0
+    parts = items.withColumn("part", F.floor(3 * F.col("pos") / (last + 1)) + 1)
+    index = KeyIndex(spark, _folder(spark, "keys"), buckets=16)
+    index.add(memory.claims(memory_plans.known_history(spark, sf)), "history")
     entries = lambda batch: memory.to_entries(extract.structure(batch)).drop("report_date")
-    keys = ["topic_key", *memory.ENTRY_KEYS]
-
-    def history(number):
-        known = memory_plans.known_history(spark, sf).select(*keys)
-        others = spark.read.parquet(target).where(F.col("batch_id") != number).select(*keys) if number else known.limit(0)
-        return known.unionByName(others)
-
-    query = ingest(stream, entries, history, target, _folder(spark, "offsets")).trigger(availableNow=True).start()
-    query.awaitTermination()
+    schema = items.schema
+    for part in (1, 2, 3):  # each starts anew from where the one before stopped
+        parts.where(F.col("part") == part).drop("part").write.parquet(f"{source}/{part}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(source)
+        ingest(stream, entries, index, target, offsets).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(target).select("pos", "topic_key", "memory_item_id")
 
 
