@@ -32,6 +32,8 @@ SEGMENT_BITS = 32
 #: Near copies by similarity: words of a shingle, Jaccard similarity, and the share of pairs just at it that
 #: fingerprints may miss.
 WIDE_SHINGLE, SIMILARITY, MISSED = 5, 0.8, 0.002
+#: Shingles below which a set counts as small.
+SMALL_SET = 16
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, words: int = 1) -> np.ndarray:
@@ -264,15 +266,26 @@ def similar_pairs(pairs: DataFrame, prints: DataFrame, docs: DataFrame, shingle:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
 
 
-def _proposed(pairs: DataFrame, prints: DataFrame, limit: float, similarity: float) -> DataFrame:
+def distance_limit(bits: int, similarity: float, small: bool = False, deviations: float = 3.5) -> int:
+    """Bits that two sets at the similarity may differ in, so many deviations beyond what is expected.
+
+    In small sets a shingle decides more bits than in large ones: at most 3 of 16, where one of five is missing.
+    """
+    p = differing_share(similarity)
+    return math.floor(bits * (max(p, 3 / 16) if small else p) + deviations * math.sqrt(bits * p * (1 - p)))
+
+
+def _proposed(pairs: DataFrame, prints: DataFrame, bits: int, similarity: float) -> DataFrame:
     """``(a, b, apart)`` of distinct ``pairs(a, b)``: complete distance within the limit, sizes that allow the similarity."""
     met = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     of = lambda c: prints.select(*[F.col(x).alias(y) for x, y in (("number", c), ("words", f"words_{c}"), ("n", f"n_{c}"))])
     both = met.join(of("a"), "a").join(of("b"), "b")
-    bits = F.zip_with("words_a", "words_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    apart = F.aggregate(bits, F.lit(0), lambda n, x: n + x)
+    differing = F.zip_with("words_a", "words_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(differing, F.lit(0), lambda n, x: n + x)
     sizes = F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9
-    return both.where(sizes & (apart <= F.lit(limit))).select("a", "b", apart.alias("apart"))
+    small = F.least("n_a", "n_b") < SMALL_SET
+    limit = F.when(small, distance_limit(bits, similarity, small=True)).otherwise(distance_limit(bits, similarity))
+    return both.where(sizes & (apart <= limit)).select("a", "b", apart.alias("apart"))
 
 
 def similar_groups(prints: DataFrame, docs: DataFrame, segment: int, shingle: int, similarity: float) -> DataFrame | None:
@@ -285,11 +298,9 @@ def similar_groups(prints: DataFrame, docs: DataFrame, segment: int, shingle: in
     written out as pairs, and no link that would join two groups is lost.
     """
     words = len(prints.select("words").first()[0])
-    bits, p = 64 * words, differing_share(similarity)
-    # Four deviations beyond what the smallest sets differ by (one of five shingles missing: 3/16).
-    out = lambda of: of * max(p, 3 / 16) + 4 * math.sqrt(of * p * (1 - p))
-    near = F.bit_count(F.col("first").bitwiseXOR(F.col("first_b"))) <= F.lit(math.floor(out(64)))
-    propose = lambda pairs: _proposed(pairs, prints, out(bits), similarity)
+    # One word tells most of what a key finds by chance apart, before any of it is written.
+    near = F.bit_count(F.col("first").bitwiseXOR(F.col("first_b"))) <= distance_limit(64, similarity, small=True, deviations=2.5)
+    propose = lambda pairs: _proposed(pairs, prints, 64 * words, similarity)
     similar = lambda pairs: shared(similar_pairs(pairs, prints, docs, shingle, similarity))
     rows = shared(prints.select("number", F.element_at("words", 1).alias("first"), _segment_keys(words, segment).alias("keys")))
     grouped = rows.withColumn("group", F.col("number"))
