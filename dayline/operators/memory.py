@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayline import schemas
+from dayline.functions.once import once
 from dayline.functions.text import safe_record_id, strip, truncate_marked
 from dayline.functions.topics import topic_key, topic_label
 from dayline.operators.components import first_fit
@@ -250,9 +251,9 @@ def validate_selection(requested: DataFrame, candidates: DataFrame, limit: int =
     )
 
 
-def fulltext(payload: Column, limit: int = 2000) -> dict[str, Column]:
-    """Text of a stored record: relevant, then clean content, then summary, then title."""
-    at = lambda path: F.get_json_object(payload, path)
+def fulltext(record: Column, limit: int = 2000) -> dict[str, Column]:
+    """Text of a stored record (a VARIANT): relevant, then clean content, then summary, then title."""
+    at = lambda path: F.try_variant_get(record, path, "string")
     options = (
         ("relevant.content", at("$.relevant.content")),
         ("clean.content", at("$.clean.content")),
@@ -279,7 +280,8 @@ def read_fulltext(selected: DataFrame, candidates: DataFrame, stored: DataFrame,
     listed = candidates.select("report_date", "memory_item_id", F.lit(True).alias("listed"), F.coalesce("memory_item_path", F.lit("")).alias("path"))
     rows = selected.select("report_date", "memory_item_id", "rank").join(listed.dropDuplicates(["report_date", "memory_item_id"]), ["report_date", "memory_item_id"], "left")
     rows = lookup(rows, stored.select("memory_item_id", F.col("payload"), F.lit(True).alias("stored")), ["memory_item_id"], "left")
-    shape = F.when(F.try_parse_json("payload").isNull(), "invalid_json").when(~F.ltrim("payload").startswith("{"), "invalid_shape")
+    rows = once(rows, {"_record": F.try_parse_json("payload")})
+    shape = F.when(F.col("_record").isNull(), "invalid_json").when(~F.ltrim("payload").startswith("{"), "invalid_shape")
     reason = (
         F.when(F.col("listed").isNull(), "not_in_catalog")
         .when(F.col("path") == "", "missing_path")
@@ -287,7 +289,7 @@ def read_fulltext(selected: DataFrame, candidates: DataFrame, stored: DataFrame,
         .otherwise(shape)
     )
     out = rows.withColumn("skip_reason", reason)
-    usable = F.when(F.col("skip_reason").isNull(), F.col("payload"))
+    usable = F.when(F.col("skip_reason").isNull(), F.col("_record"))
     parts = fulltext(usable, limit)
     return out.select("report_date", "memory_item_id", "rank", "skip_reason", *[F.when(F.col("skip_reason").isNull(), c).alias(n) for n, c in parts.items()])
 
@@ -348,17 +350,64 @@ def to_entries(items: DataFrame, sources: DataFrame | None = None, run_id: str |
     )
 
 
-def to_payloads(items: DataFrame, sources: DataFrame, run_id: str | None = None, run_date: str | None = None) -> DataFrame:
-    """Full stored record per item as JSON: structured fields, source fields, merged metadata."""
+#: Fields of the stored record: of an item as it was collected, and as it was validated.
+SOURCE_FIELDS = ("id", "title", "source", "url", "published_at", "source_type", "language", "summary", "content", "metadata", "content_hash")
+VALIDATED_FIELDS = (
+    "id", "title", "source", "url", "published_at", "source_type", "language", "topic", "entities", "event_type", "summary", "key_points",
+    "sentiment", "impact_scope", "importance_score", "importance_rationale", "risk_level", "risk_rationale", "opportunity_level",
+    "opportunity_rationale", "evidence", "evidence_sources", "content_hash",
+)
+
+
+def _fields(names: tuple[str, ...]) -> Column:
+    return F.struct(*[iso_time(F.col(n)).alias(n) if n == "published_at" else F.col(n) for n in names])
+
+
+def records(
+    items: DataFrame, sources: DataFrame, relevant: DataFrame | None = None, run_id: str | None = None, run_date: str | None = None,
+    created_at: Column | None = None, artifact_paths: dict[str, str] | None = None,
+) -> DataFrame:
+    """Full stored record per item as a VARIANT, with the keys that are looked up by as columns of their own.
+
+    A record has the item as validated, as cleaned and as relevant (null where it has none), the metadata of
+    both sources apart and merged, that of the relevant one winning, and where the run's files lie.
+    """
     links = source_of(items, sources).select(F.col("item_id").alias("id"), "source_item_id")
-    body = sources.select(F.col("id").alias("source_item_id"), F.struct("id", "title", "source", "url", "summary", "content", "metadata").alias("clean"))
-    wide = lookup(items.join(links, "id", "left"), body, ["source_item_id"], "left")
+    wide = items.join(links, "id", "left")
+    for name, rows in (("clean", sources), ("relevant", relevant)):
+        if rows is None:
+            wide = wide.withColumn(name, F.lit(None).cast(wide.schema["clean"].dataType))
+            continue
+        body = rows.select(F.col("id").alias("source_item_id"), _fields(SOURCE_FIELDS).alias(name))
+        wide = lookup(wide, body, ["source_item_id"], "left")
+    none = F.create_map().cast("map<string,string>")
+    meta = {name: F.coalesce(F.col(f"{name}.metadata"), none) for name in ("clean", "relevant")}
+    merged = F.map_concat(F.map_filter(meta["clean"], lambda k, v: ~F.map_contains_key(meta["relevant"], k)), meta["relevant"])
+    paths = F.create_map(*[F.lit(x) for pair in sorted((artifact_paths or {}).items()) for x in pair]).cast("map<string,string>")
+    key = safe_record_id(F.col("id"))
+    made = iso_time(created_at) if created_at is not None else F.lit(None).cast("string")
     record = F.struct(
-        F.lit(1).alias("schema_version"), safe_record_id(F.col("id")).alias("memory_item_id"), F.lit(run_id).alias("run_id"), F.lit(run_date).alias("run_date"),
-        "topic", F.struct("id", "title", "source", "url", iso_time(F.col("published_at")).alias("published_at"), "summary", "topic", "entities", "event_type", "importance_score").alias("validated"),
-        "clean", F.col("clean.metadata").alias("metadata"),
+        F.lit(1).alias("schema_version"), key.alias("memory_item_id"), F.lit(run_id).cast("string").alias("run_id"),
+        F.lit(run_date).cast("string").alias("run_date"), made.alias("created_at"), "topic", _fields(VALIDATED_FIELDS).alias("validated"),
+        "clean", "relevant", merged.alias("metadata"), F.struct(*[m.alias(n) for n, m in meta.items()]).alias("source_metadata"),
+        paths.alias("source_artifact_paths"),
+    )
+    return wide.select(
+        key.alias("memory_item_id"), topic_key(F.col("topic")).alias("topic_key"), F.lit(run_id).cast("string").alias("run_id"),
+        F.lit(run_date).cast("string").alias("run_date"), F.to_variant_object(record).alias("record"),
     )
-    return wide.select(safe_record_id(F.col("id")).alias("memory_item_id"), F.to_json(record).alias("payload"))
+
+
+def to_payloads(items: DataFrame, sources: DataFrame, relevant: DataFrame | None = None, **run) -> DataFrame:
+    """``records`` as JSON text."""
+    return records(items, sources, relevant, **run).select("memory_item_id", F.to_json("record").alias("payload"))
+
+
+def record_metadata(stored: DataFrame) -> DataFrame:
+    """``(memory_item_id, key, value)``: the merged metadata of each stored record, one row per entry."""
+    rows = stored.select("memory_item_id", F.variant_get("record", "$.metadata", "variant").alias("metadata"))
+    each = stored.sparkSession.tvf.variant_explode(F.col("metadata").outer())
+    return rows.lateralJoin(each).select("memory_item_id", "key", F.try_variant_get("value", "$", "string").alias("value"))
 
 
 def claims(entries: DataFrame, *carry: str) -> DataFrame:

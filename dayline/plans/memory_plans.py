@@ -250,14 +250,68 @@ x AS (SELECT *, CASE WHEN length(body) > 2000 THEN body[:1988] || chr(10) || '[t
 SELECT {DAY_SQL}, id AS memory_item_id, skip_reason, CASE WHEN ok THEN src END AS content_source, CASE WHEN ok THEN length(body) END AS content_original_chars, CASE WHEN ok THEN length(ex) END AS content_chars, CASE WHEN ok THEN length(body) > 2000 END AS truncated, CASE WHEN ok THEN md5(ex) END AS excerpt_md5 FROM x"""
 
 
+def _relevant(clean_items):
+    """A third of the cleaned items as relevant ones: half with a text of their own, all with more metadata."""
+    rows = clean_items.where(F.col("pos") % 3 == 0)
+    content = F.when(F.col("pos") % 6 == 0, F.concat(F.lit("kept "), "content")).otherwise("  ")
+    more = F.create_map(F.lit("fetched_via"), F.lit("relevance"), F.lit("score"), F.col("pos").cast("string"))
+    kept = F.map_filter("metadata", lambda k, v: k != "fetched_via")
+    return rows.withColumns({"content": content, "metadata": F.map_concat(kept, more)})
+
+
+def _records(spark, sf):
+    """Records whose texts end at each place in turn: relevant, clean, summary, title."""
+    cleaned = inputs.clean(spark, sf)
+    n = F.col("pos")
+    items = inputs.structured(spark, sf).withColumn("summary", F.when(n % 8 == 1, "").otherwise(F.col("summary")))
+    sources = cleaned.withColumn("content", F.when(n % 4 == 1, "").otherwise(F.col("content")))
+    return memory.records(items, sources, _relevant(cleaned), run_id="run-1", run_date="2024-01-31", artifact_paths={"clean": "b.json", "audit": "a.json"})
+
+
 def fulltext(spark, sf):
-    p = memory.to_payloads(inputs.structured(spark, sf), inputs.clean(spark, sf))
-    parts = memory.fulltext(F.col("payload"), 1500)
+    p = _records(spark, sf)
+    parts = memory.fulltext(F.col("record"), 1500)
     return p.select("memory_item_id", *[(F.md5(c) if n == "content_excerpt" else c).alias(n) for n, c in parts.items()])
 
 
-_FULLTEXT = f"""WITH {STRUCTURED_SQL} SELECT id AS memory_item_id, 'clean.content' AS content_source, md5(CASE WHEN length(content) > 1500 THEN content[:1488] || chr(10) || '[truncated]' ELSE content END) AS content_excerpt,
- length(content) AS content_original_chars, least(length(content), 1500) AS content_chars, length(content) > 1500 AS truncated FROM structured"""
+_FULLTEXT = f"""WITH {STRUCTURED_SQL},
+t AS (SELECT id, CASE WHEN pos % 6 = 0 THEN 'relevant.content' WHEN pos % 4 <> 1 AND content <> '' THEN 'clean.content' WHEN pos % 8 <> 1 AND summary <> '' THEN 'validated.summary' ELSE 'validated.title' END AS src,
+  CASE WHEN pos % 6 = 0 THEN trim('kept ' || content) WHEN pos % 4 <> 1 AND content <> '' THEN content WHEN pos % 8 <> 1 AND summary <> '' THEN summary ELSE title END AS body FROM structured)
+SELECT id AS memory_item_id, src AS content_source, md5(CASE WHEN length(body) > 1500 THEN body[:1488] || chr(10) || '[truncated]' ELSE body END) AS content_excerpt,
+ length(body) AS content_original_chars, least(length(body), 1500) AS content_chars, length(body) > 1500 AS truncated FROM t"""
+
+
+def full_records(spark, sf):
+    """Every field of the stored records, read back from them."""
+    of = lambda path, kind="string": F.variant_get("record", path, kind)
+    listed = lambda path: F.array_join(of(path, "array<string>"), "|")
+    fields = {
+        "run": F.concat_ws("/", of("$.run_id"), of("$.run_date"), of("$.schema_version")), "paths": F.concat_ws("/", of("$.source_artifact_paths.audit"), of("$.source_artifact_paths.clean")),
+        "topic": of("$.topic"), "v_id": of("$.validated.id"), "v_time": of("$.validated.published_at"), "v_kind": F.concat_ws("/", of("$.validated.source_type"), of("$.validated.language"), of("$.validated.event_type"), of("$.validated.sentiment"), of("$.validated.impact_scope")),
+        "v_levels": F.concat_ws("/", of("$.validated.importance_score"), of("$.validated.risk_level"), of("$.validated.opportunity_level")), "v_entities": listed("$.validated.entities"), "v_evidence": F.md5(listed("$.validated.evidence")),
+        "v_why": F.md5(F.concat_ws("|", of("$.validated.importance_rationale"), of("$.validated.risk_rationale"), of("$.validated.opportunity_rationale"))), "v_quote": F.md5(of("$.validated.evidence_sources[0].evidence_quote")), "v_hash": of("$.validated.content_hash"),
+        "clean_id": of("$.clean.id"), "clean_time": of("$.clean.published_at"), "clean_md5": F.md5(of("$.clean.content")), "relevant_id": of("$.relevant.id"), "relevant_md5": F.md5(of("$.relevant.content")),
+        "via": F.concat_ws("/", of("$.metadata.fetched_via"), of("$.source_metadata.clean.fetched_via"), of("$.source_metadata.relevant.fetched_via"), of("$.metadata.score")),
+    }
+    return _records(spark, sf).select("memory_item_id", "topic_key", *[c.alias(n) for n, c in fields.items()])
+
+
+_ISO = "strftime(published_at, '%Y-%m-%dT%H:%M:%S+00:00')"
+_RECORDS = f"""WITH {STRUCTURED_SQL} SELECT id AS memory_item_id, lower(topic) AS topic_key, 'run-1/2024-01-31/1' AS run, 'a.json/b.json' AS paths, topic, id AS v_id, {_ISO} AS v_time,
+ source_type || '/' || language || '/' || event_type || '/' || sentiment || '/' || impact_scope AS v_kind, importance_score || '/' || risk_level || '/' || opportunity_level AS v_levels,
+ array_to_string(entities, '|') AS v_entities, md5(evidence) AS v_evidence, md5(importance_rationale || '|' || risk_rationale || '|' || opportunity_rationale) AS v_why, md5(evidence) AS v_quote, content_hash AS v_hash,
+ raw_id AS clean_id, {_ISO} AS clean_time, md5(CASE WHEN pos % 4 = 1 THEN '' ELSE content END) AS clean_md5, CASE WHEN pos % 3 = 0 THEN raw_id END AS relevant_id,
+ CASE WHEN pos % 6 = 0 THEN md5('kept ' || content) WHEN pos % 3 = 0 THEN md5('  ') END AS relevant_md5,
+ CASE WHEN pos % 3 = 0 THEN 'relevance/' || fetched_via || '/relevance/' || pos ELSE fetched_via || '/' || fetched_via END AS via FROM structured"""
+
+
+def stored_metadata(spark, sf):
+    rows = memory.record_metadata(_records(spark, sf))
+    return rows.where(F.col("key").isin("fetched_via", "score", "source_family", "content_source"))
+
+
+_STORED_METADATA = f"""WITH {STRUCTURED_SQL} SELECT id AS memory_item_id, unnest(['fetched_via', 'source_family', 'content_source']) AS key, unnest([CASE WHEN pos % 3 = 0 THEN 'relevance' ELSE fetched_via END, source_family, content_source]) AS value FROM structured
+UNION ALL SELECT id, 'score', pos::VARCHAR FROM structured WHERE pos % 3 = 0"""
 
 
 # --- sources and writes ------------------------------------------------------------
@@ -375,6 +429,8 @@ PLANS = {
     "mem6_key_index": (append_by_index, APPEND_NEW_SQL),
     "snk4_history_append": (append_to_history, APPEND_NEW_SQL),
     "mem7_entries": (entries, _ENTRIES),
+    "mem7_records": (full_records, _RECORDS),
+    "mem7_record_metadata": (stored_metadata, _STORED_METADATA),
     "mem8_snapshot_read": (snapshot_read, f"WITH {STRUCTURED_SQL} SELECT id AS memory_item_id, lower(topic) AS topic_key FROM structured WHERE published_at < TIMESTAMP '{CUT}'"),
     "mem9_stage_report": (stage_report, _STAGES),
     "mem9_unadopted": (not_adopted, _NOT_ADOPTED),
