@@ -208,6 +208,27 @@ _SCORED = """SELECT doc_id::VARCHAR AS id, CASE WHEN n % 7 IN (2, 5, 6) THEN n %
  CASE n % 7 WHEN 0 THEN 'invalid_json' WHEN 1 THEN 'item_count_mismatch' WHEN 3 THEN 'schema_error' WHEN 4 THEN 'transport_error' END AS error_type FROM (SELECT doc_id, length(text) AS n FROM documents)"""
 
 
+def _grounded(answer, prompt):
+    """An answer is audited against its prompt: the score has to be that of the text's length."""
+    return answer["score"] % 5 != 0 or len(prompt) % 2 == 0
+
+
+def resumed(spark, sf):
+    """Scores with an audit, made in two goes over one folder of answers: the second finds the calls of the first."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "text", "doc_id")
+    folder = _folder(spark, "answers")
+    score = lambda rows: scoring.score_items(rows, "text", _model, ("score",), audit=_grounded, answers=folder, concurrency=4)
+    score(docs.where("doc_id % 2 = 0")).write.format("noop").mode("overwrite").save()
+    known = scoring.saved_answers(spark, folder).count()
+    made = scoring.with_fallback(score(docs), "score INT", docs.select("id", F.lit(-1).alias("score")))
+    return made.withColumn("kept_before", F.lit(known > 0))
+
+
+_RESUMED = """SELECT doc_id::VARCHAR AS id, CASE WHEN good THEN n % 101 ELSE -1 END AS score, CASE WHEN good THEN 'model' ELSE 'rule_fallback' END AS decision_source,
+ CASE WHEN good THEN NULL WHEN n % 7 = 0 THEN 'invalid_json' WHEN n % 7 = 1 THEN 'item_count_mismatch' WHEN n % 7 = 3 THEN 'schema_error' WHEN n % 7 = 4 THEN 'transport_error' ELSE 'audit_failure' END AS error_type, true AS kept_before
+ FROM (SELECT doc_id, length(text) AS n, length(text) % 7 IN (2, 5, 6) AND ((length(text) % 101) % 5 <> 0 OR length(text) % 2 = 0) AS good FROM documents)"""
+
+
 def model_calls(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
     log = scoring.call_log(scoring.score_items(docs, "text", _model, ("score",)), "run-1", "relevance")
@@ -320,6 +341,7 @@ PLANS = {
     "snk6_trace_export": (trace_export, "SELECT 'u' || user_id AS run_id, CASE WHEN event_type = 'error' THEN 'step_failed' WHEN event_id % 2 = 0 THEN 'step_started' ELSE 'step_finished' END AS event_type, count(*) AS n FROM events WHERE event_id % 10 <> 0 GROUP BY ALL"),
     "cl16_model_scoring": (scored, _SCORED),
     "cl16_call_log": (model_calls, _CALLS),
+    "cl16_resumed_scoring": (resumed, _RESUMED),
     "snk1_stage_write": (stage_write, _STAGE),
     "snk2_snapshot": (snapshots, f"WITH {STRUCTURED_SQL} SELECT 'run-1' AS run_id, id, topic FROM structured"),
     "snk3_replay": (replay, f"WITH {STRUCTURED_SQL} SELECT id, 'analyze' AS steps FROM structured"),
