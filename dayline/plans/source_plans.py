@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from dayline import schemas
 from dayline.functions.text import first_sentence, markup_to_text, plain_spacing, squeeze
+from dayline.operators.groups import SLICE_ROWS, number_rows
 from dayline.plans import inputs
 from dayline.plans.inputs import RAW_SQL, any_word, sentence_sql, squeeze_sql, table
 from dayline.session import checkpoint_folder, durable
@@ -120,9 +121,23 @@ def story_inputs(spark, sf):
     story = F.to_json(F.struct(n.alias("id"), F.when(n % 10 == 9, "job").otherwise("story").alias("type"), titles.alias("title"), url.alias("url"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("time"), F.floor("value").alias("score"), F.get_json_object("props", "$.k").cast("bigint").alias("descendants")))
     stories = e.select(story.alias("body"))
     hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)
-    lists = e.groupBy(hour.alias("list_order")).agg(F.sort_array(F.collect_list("event_id")).alias("ids"))
-    lists = lists.select("list_order", F.concat(F.lit("list"), F.col("list_order").cast("string")).alias("list_name"), F.to_json("ids").alias("body"))
-    return lists, stories
+    # Numbered in slices of the hour, so an hour of any size is many tasks and many pages.
+    placed = number_rows(e.select(hour.alias("list_order"), "event_id"), ["list_order"], [F.col("event_id")], [F.floor(F.col("event_id") / SLICE_ROWS)], "rn")
+    name = F.concat(F.lit("list"), F.col("list_order").cast("string"))
+    ranked = placed.select(name.alias("list_name"), "list_order", (F.col("rn") - 1).alias("at"), F.col("event_id").alias("story_id"))
+    return payloads.ranked_pages(ranked), stories
+
+
+def recent_stories(spark, sf):
+    """The first stories of the last days: what is too old makes room for the next, before the cap."""
+    lists, rows = story_inputs(spark, sf)
+    day = F.lit(table(spark, sf, "events").agg(F.max(F.col("ts").cast("timestamp"))).first()[0])
+    return payloads.story_entries(lists, rows, 600, as_of=day, look_back_days=2).select("source_name", "external_id", "title", "url")
+
+
+_RECENT_STORIES = """WITH s AS (SELECT *, floor(epoch(ts) / 3600)::BIGINT AS l, CASE event_id % 4 WHEN 0 THEN 'Ask HN: ' WHEN 1 THEN 'Show HN: ' ELSE 'On ' END || event_type AS title FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY l ORDER BY event_id) AS spot FROM s), m AS (SELECT * FROM o WHERE spot <= 3000 AND event_id % 10 <> 9 AND to_timestamp(floor(epoch(ts))) >= (SELECT max(ts) FROM events) - INTERVAL 2 DAY ORDER BY l, spot LIMIT 600)
+SELECT 'list' || l AS source_name, event_id::VARCHAR AS external_id, title, CASE WHEN event_id % 4 = 2 THEN 'https://x.example.com/' || event_id ELSE 'https://news.ycombinator.com/item?id=' || event_id END AS url FROM m"""
 
 
 def stories(spark, sf):
@@ -403,6 +418,7 @@ PLANS = {
     "src5_releases": (releases, _RELEASES),
     "src5_release_errors": (release_errors, _RELEASE_ERRORS),
     "src6_stories": (stories, _STORIES),
+    "src6_recent_stories": (recent_stories, _RECENT_STORIES),
     "src2_capped": (capped, _CAPPED),
     "src7_union": (union, _UNION),
     "src7_failures": (failures, _FAILURES),

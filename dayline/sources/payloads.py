@@ -206,19 +206,39 @@ STORY_LABELS = {"ask_hn": "Ask HN discussion", "show_hn": "Show HN submission",
 STORY_HOSTS = ("news.ycombinator.com", "www.news.ycombinator.com")
 
 
-def story_entries(lists: DataFrame, stories: DataFrame, max_items: int, keywords: list[str] | None = None, include_discussions: bool = True) -> DataFrame:
+#: Ids of a page of a ranked list.
+STORY_PAGE = 500
+
+
+def ranked_pages(ranked: DataFrame, size: int = STORY_PAGE) -> DataFrame:
+    """``ranked(list_name, list_order, at, story_id)`` as landed: pages of ``size`` ids, so that no value grows with its list."""
+    paged = ranked.withColumn("page", F.floor(F.col("at") / size))
+    ids = F.sort_array(F.collect_list(F.struct("at", "story_id")))
+    return paged.groupBy("list_name", "list_order", "page").agg(F.to_json(F.transform(ids, lambda e: e["story_id"])).alias("body"))
+
+
+def story_entries(
+    lists: DataFrame, stories: DataFrame, max_items: int, keywords: list[str] | None = None, include_discussions: bool = True,
+    as_of: Column | None = None, look_back_days: int | None = None, size: int = STORY_PAGE,
+) -> DataFrame:
     """Stories of ranked lists.
 
-    ``lists``: list_name, list_order, body (JSON array of ids); ``stories``: body (JSON
-    object).  The first five times ``max_items`` ids of each list are read, an id counts
-    in the first list that names it, and the first ``max_items`` matches are kept.
+    ``lists``: list_name, list_order, page, body (JSON array of ``size`` ids, fewer on the last page); ``stories``:
+    body (JSON object).  The first five times ``max_items`` ids of each list are read, an id counts
+    in the first list that names it, and of the matches the first ``max_items`` are kept.  A story older than
+    ``look_back_days`` before ``as_of`` is no match; one without a time is.
     """
-    ids = F.slice(F.from_json("body", "ARRAY<BIGINT>"), 1, max_items * 5)
-    offered = lists.select("list_name", "list_order", F.posexplode(ids).alias("at", "story_id"))
+    most = max_items * 5
+    pages = lists.where(F.col("page") * size < most)
+    offered = pages.select("list_name", "list_order", "page", F.posexplode(F.from_json("body", "ARRAY<BIGINT>")).alias("on_page", "story_id"))
+    offered = offered.withColumn("at", F.col("page") * size + F.col("on_page")).where(F.col("at") < most)
     first = offered.groupBy("story_id").agg(F.min(F.struct("list_order", "at", "list_name")).alias("p"))
     parsed = stories.select(F.from_json("body", _STORY).alias("s")).select("s.*").where("type = 'story'")
     rows = first.join(parsed, first["story_id"] == parsed["id"])
     rows = rows.withColumns({"title": _text("title"), "text": markup_to_text(F.coalesce("text", F.lit(""))), "link": _text("url")}).where("title <> ''")
+    if as_of is not None and look_back_days is not None:
+        told = epoch_timestamp(F.col("time"))
+        rows = rows.where(told.isNull() | (told >= as_of - F.make_dt_interval(F.lit(look_back_days))))
     if keywords:
         body = F.lower(F.concat_ws(" ", "title", "text"))
         rows = rows.where(F.exists(F.array(*[F.lit(k.lower()) for k in keywords]), lambda k: F.contains(body, k)))
