@@ -22,18 +22,29 @@ def topic_distribution(spark, sf):
 
 
 def summary(spark, sf):
-    return trends.executive_summary(_s(spark, sf)).drop("mean_score").withColumn("report_date", DAY())
+    return trends.executive_summary(_s(spark, sf)).withColumn("report_date", DAY())
 
 
 _SUMMARY = f"""WITH {STRUCTURED_SQL}, t AS (SELECT report_date, topic, count(*) AS n, min(pos) AS p FROM structured GROUP BY ALL),
 lead AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY report_date ORDER BY n DESC, p) AS i FROM t) WHERE i = 1)
-SELECT {DAY_SQL.replace('report_date,', 's.report_date,')}, count(*) AS item_count, count(DISTINCT s.topic) AS topic_count, min(lead.topic) AS top_topic, min(lead.n) AS top_topic_count, count_if(risk_level = 'high') AS high_risk_count
+SELECT {DAY_SQL.replace('report_date,', 's.report_date,')}, count(*) AS item_count, count(DISTINCT s.topic) AS topic_count, min(lead.topic) AS top_topic, min(lead.n) AS top_topic_count, round_even(sum(importance_score)::DOUBLE / count(*), 1) AS mean_score, count_if(risk_level = 'high') AS high_risk_count
 FROM structured s JOIN lead ON lead.report_date = s.report_date GROUP BY s.report_date"""
 
 
 def signals(spark, sf):
     t = trends.trend_signals(_s(spark, sf), inputs.retrieved(spark, sf), relationships(spark, sf))
-    return t.select(DAY(), "topic", "current_count", "current_peak", "current_event_types", "current_risk_levels", "current_opportunity_levels", "history_count", "history_peak", "history_risk_levels", "soft_relationships", "confidence_peak")
+    return t.select(DAY(), "topic", "current_count", "current_peak", "current_mean", "current_event_types", "current_risk_levels", "current_opportunity_levels", "history_count", "history_peak", "history_risk_levels", "soft_relationships", "confidence_peak")
+
+
+def matched(spark, sf):
+    """History entries behind each topic's signals, in order of appearance."""
+    rows = trends.matched_ids(relationships(spark, sf))
+    return rows.select(DAY(), "topic_key", "memory_item_id", F.col("first_seen.pos").alias("pos"), F.col("first_seen.at").alias("at_match"))
+
+
+_MATCHED = f"""WITH {SCORED_SQL}, e AS (SELECT report_date, topic, pos, unnest(ids) AS id, unnest(range(0, len(ids))) AS i FROM rel),
+f AS (SELECT report_date, topic, id, min(pos * 100 + i) AS place FROM e GROUP BY ALL)
+SELECT {DAY_SQL}, lower(topic) AS topic_key, id AS memory_item_id, place // 100 AS pos, place % 100 AS at_match FROM f"""
 
 
 def _hist(col: str, values) -> str:
@@ -45,7 +56,7 @@ _LEVELS = ("low", "medium", "high", "unknown")
 _EVENTS = ("product_launch", "funding", "policy", "research", "controversy", "partnership", "market", "security", "model_release", "other")
 _RANK = "max(CASE {c} WHEN 'high' THEN 3 WHEN 'medium' THEN 2 WHEN 'low' THEN 1 ELSE 0 END)"
 SIGNALS_SQL = f"""{SCORED_SQL},
-cur AS (SELECT report_date, topic, count(*) AS current_count, max(importance_score) AS current_peak, {_hist('event_type', _EVENTS)} AS current_event_types, {_hist('risk_level', _LEVELS)} AS current_risk_levels, {_hist('opportunity_level', _LEVELS)} AS current_opportunity_levels,
+cur AS (SELECT report_date, topic, count(*) AS current_count, max(importance_score) AS current_peak, round_even(sum(importance_score)::DOUBLE / count(*), 1) AS current_mean, {_hist('event_type', _EVENTS)} AS current_event_types, {_hist('risk_level', _LEVELS)} AS current_risk_levels, {_hist('opportunity_level', _LEVELS)} AS current_opportunity_levels,
   {_RANK.format(c='risk_level')} AS cr, {_RANK.format(c='opportunity_level')} AS co, min(pos) AS first_pos FROM structured GROUP BY report_date, topic),
 his AS (SELECT report_date, topic, count(*) AS history_count, max(importance_score) AS history_peak, {_hist('risk_level', _LEVELS)} AS history_risk_levels, {_RANK.format(c='risk_level')} AS hr, {_RANK.format(c='opportunity_level')} AS ho FROM retrieved GROUP BY report_date, topic),
 rls AS (SELECT report_date, topic, {_hist('relationship', ('new', 'related_context', 'continuing', 'likely_duplicate'))} AS soft_relationships, round(max(confidence), 3) AS confidence_peak, count(*) AS rn, count_if(relationship <> 'new') AS related FROM rel GROUP BY report_date, topic),
@@ -167,10 +178,10 @@ _CITE = f"WITH {_REF} SELECT {DAY_SQL}, topic || '#' || (pos // 500) AS claim_id
 
 
 def judgements(spark, sf):
-    return report.judgement_table(_s(spark, sf)).drop("title").withColumn("report_date", DAY())
+    return report.judgement_table(_s(spark, sf)).withColumn("report_date", DAY())
 
 
-_JUDGE = f"""WITH {_REF} SELECT {DAY_SQL}, reference_number, replace(source, '|', '\\|') AS source, topic, event_type, importance_score || '：' || importance_rationale AS importance_judgement,
+_JUDGE = f"""WITH {_REF} SELECT {DAY_SQL}, reference_number, replace(title, '|', '\\|') AS title, replace(source, '|', '\\|') AS source, topic, event_type, importance_score || '：' || importance_rationale AS importance_judgement,
  CASE risk_level WHEN 'high' THEN '高' WHEN 'medium' THEN '中' ELSE '低' END || '：' || risk_rationale AS risk_judgement, CASE opportunity_level WHEN 'high' THEN '高' WHEN 'medium' THEN '中' ELSE '低' END || '：' || opportunity_rationale AS opportunity_judgement, url FROM refs"""
 
 
@@ -269,7 +280,8 @@ JOIN sg ON sg.report_date = top.report_date AND sg.topic = top.topic WHERE rank
 PLANS = {
     "ag2_topic_distribution": (topic_distribution, f"WITH {STRUCTURED_SQL} SELECT {DAY_SQL}, topic, count(*) AS item_count FROM structured GROUP BY structured.report_date, topic"),
     "ag3_executive_summary": (summary, _SUMMARY),
-    "ag4_trend_signals": (signals, f"WITH {SIGNALS_SQL} SELECT {DAY_SQL}, topic, current_count, current_peak, current_event_types, current_risk_levels, current_opportunity_levels, history_count, history_peak, history_risk_levels, soft_relationships, confidence_peak FROM sg"),
+    "ag4_matched_ids": (matched, _MATCHED),
+    "ag4_trend_signals": (signals, f"WITH {SIGNALS_SQL} SELECT {DAY_SQL}, topic, current_count, current_peak, current_mean, current_event_types, current_risk_levels, current_opportunity_levels, history_count, history_peak, history_risk_levels, soft_relationships, confidence_peak FROM sg"),
     "ag4_topic_entities": (entities, _ENTITIES),
     "ag4_event_trends": (event_trends, _EVENT_TRENDS),
     "ag17_dominant_scope": (dominant, _DOMINANT),

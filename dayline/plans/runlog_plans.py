@@ -178,7 +178,9 @@ def trace_export(spark, sf):
     e = _trace(spark, sf)
     line = F.to_json(F.struct(F.concat(F.lit("u"), F.col("run_id").cast("string")).alias("run_id"), "event_type", "step_name"))
     lines = e.select(F.when(F.col("pos") % 10 == 0, F.substring(line, 1, 12)).otherwise(line).alias("value"))
-    return runlog.trace_of_run(lines).groupBy("run_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    one = runlog.trace_of_run(lines, "u7").groupBy("run_id", "event_type").agg(F.count(F.lit(1)).alias("n")).withColumn("asked", F.lit("u7"))
+    every = runlog.trace_of_run(lines).groupBy("run_id", "event_type").agg(F.count(F.lit(1)).alias("n")).withColumn("asked", F.lit("all"))
+    return every.unionByName(one)
 
 
 # --- model scoring -----------------------------------------------------------------
@@ -338,7 +340,7 @@ PLANS = {
     "ag11_run_health": (health, _HEALTH),
     "ag12_run_progress": (progress, _PROGRESS),
     "w8_recent_activity": (activity, _ACTIVITY),
-    "snk6_trace_export": (trace_export, "SELECT 'u' || user_id AS run_id, CASE WHEN event_type = 'error' THEN 'step_failed' WHEN event_id % 2 = 0 THEN 'step_started' ELSE 'step_finished' END AS event_type, count(*) AS n FROM events WHERE event_id % 10 <> 0 GROUP BY ALL"),
+    "snk6_trace_export": (trace_export, "WITH t AS (SELECT 'u' || user_id AS run_id, CASE WHEN event_type = 'error' THEN 'step_failed' WHEN event_id % 2 = 0 THEN 'step_started' ELSE 'step_finished' END AS event_type, count(*) AS n FROM events WHERE event_id % 10 <> 0 GROUP BY ALL) SELECT *, 'all' AS asked FROM t UNION ALL SELECT *, 'u7' FROM t WHERE run_id = 'u7'"),
     "cl16_model_scoring": (scored, _SCORED),
     "cl16_call_log": (model_calls, _CALLS),
     "cl16_resumed_scoring": (resumed, _RESUMED),

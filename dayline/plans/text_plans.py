@@ -227,14 +227,8 @@ def coercion(spark, sf):
 
 
 def list_distinct(spark, sf):
-    words = F.split(F.col("body"), " ")
-    d = _docs(spark, sf).select("doc_id", F.posexplode(words).alias("at", "word"))
-    first = d.groupBy("doc_id", F.lower("word").alias("k")).agg(F.min(F.struct("at", "word")).alias("w"))
-    from dayline.operators.groups import top_per_group
-
-    kept = top_per_group(first.where("k <> ''"), ["doc_id"], [F.col("w")], 12)
-    listed = F.sort_array(F.collect_list(F.struct("rank", F.col("w.word").alias("word"))))
-    return kept.groupBy("doc_id").agg(F.array_join(F.transform(listed, lambda e: e["word"]), " ").alias("first_words"))
+    words = text.distinct_ignore_case(F.split(F.col("body"), " "), 12)
+    return _docs(spark, sf).select("doc_id", F.array_join(words, " ").alias("first_words")).where("first_words <> ''")
 
 
 _DISTINCT_SQL = f"""WITH d AS (SELECT doc_id, string_split({squeeze_sql('text')}, ' ') AS w FROM documents), e AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM d),

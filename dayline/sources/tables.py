@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,24 +32,54 @@ def replay_input(spark: SparkSession, base: str, run_id: str, stage: str) -> tup
     return read_snapshot(spark, f"{base}/{stage}", run_id), REPLAY_STAGES[stage]
 
 
-def publish(df: DataFrame, target: str, version: str, check=None) -> None:
-    """All or nothing: write a version aside, check what was written, then point to it.
+def _pointers(spark: SparkSession, target: str) -> dict[int, str]:
+    """Versions by the number of their publish; a pointer that was never written to is none."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{target}/pointer")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        name = status.getPath().getName()
+        if name.isdigit() and status.getLen():
+            stream = fs.open(status.getPath())
+            found[int(name)] = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+    return found
 
-    The pointer is one row that is appended last, as one file; until then, and after a failing
-    query or check, readers see the version before.
-    """
-    path = f"{target}/version={version}"
-    df.write.mode("overwrite").parquet(path)
-    if check is not None:
-        check(df.sparkSession.read.parquet(path))
-    row = df.sparkSession.range(1, numPartitions=1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
-    row.write.mode("append").parquet(f"{target}/pointer")
 
+def publish(df: DataFrame, target: str, version: str, check=None) -> int:
+    """All or nothing: write a version aside, check what was written, then point to it; returns the publish's number.
 
-def published(spark: SparkSession, target: str) -> DataFrame:
-    """The version that was pointed to last."""
-    version = spark.read.parquet(f"{target}/pointer").orderBy(F.col("published_at").desc()).first()["version"]
-    return spark.read.parquet(f"{target}/version={version}")
+    Pointers are small files named by rising numbers, each created by one publish only; one that finds its number
+    taken has the next.  Until its pointer is written, and after a failing query or check, readers see
+    the version before.
+    """
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{target}/version={version}")
+    if check is not None:
+        check(spark.read.parquet(f"{target}/version={version}"))
+    number = max(_pointers(spark, target), default=0)
+    while True:
+        number += 1
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/pointer/{number:012d}")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        try:
+            stream = fs.create(path, False)
+        except Py4JJavaError:
+            if not fs.exists(path):
+                raise
+            continue
+        stream.write(version.encode())
+        stream.close()
+        return number
+
+
+def published(spark: SparkSession, target: str, number: int | None = None) -> DataFrame:
+    """The version of the last publish, or of the one with this number."""
+    versions = _pointers(spark, target)
+    if not versions or (number is not None and number not in versions):
+        raise ValueError(f"nothing was published to {target}" + ("" if number is None else f" as number {number}"))
+    return spark.read.parquet(f"{target}/version={versions[max(versions) if number is None else number]}")
 
 
 def append_history(df: DataFrame, path: str, batch_id: int | str) -> None:

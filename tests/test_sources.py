@@ -1,5 +1,6 @@
 """Article bodies against a parser of their own kind, and sources of which some fail."""
 
+import os
 import random
 import re
 import time
@@ -171,3 +172,14 @@ def test_a_write_of_nothing_fails_and_readers_keep_what_was(spark, tmp_path):
 def test_payload_files_have_the_columns_of_payloads(spark, tmp_path):
     landed(spark, ("a", 200, "x")).write.parquet(f"{tmp_path}/p")
     assert payloads.read_payloads(spark, f"{tmp_path}/p").first()["body"] == "x"
+
+
+def test_publishes_have_rising_numbers_and_old_ones_can_be_read(spark, tmp_path):
+    rows = lambda n: spark.range(n)
+    target = str(tmp_path / "t")
+    with pytest.raises(ValueError, match="nothing was published"):
+        tables.published(spark, target)
+    assert [tables.publish(rows(n), target, f"v{n}") for n in (1, 2, 3)] == [1, 2, 3]
+    os.close(os.open(f"{target}/pointer/{4:012d}", os.O_CREAT))  # of a publish that died before it wrote its version
+    assert tables.published(spark, target).count() == 3 and tables.published(spark, target, 2).count() == 2
+    assert tables.publish(rows(9), target, "v9") == 5 and tables.published(spark, target).count() == 9
