@@ -302,11 +302,15 @@ def similar_groups(prints: DataFrame, docs: DataFrame, segment: int, shingle: in
     near = F.bit_count(F.col("first").bitwiseXOR(F.col("first_b"))) <= distance_limit(64, similarity, small=True, deviations=2.5)
     propose = lambda pairs: _proposed(pairs, prints, 64 * words, similarity)
     similar = lambda pairs: shared(similar_pairs(pairs, prints, docs, shingle, similarity))
-    rows = shared(prints.select("number", F.element_at("words", 1).alias("first"), _segment_keys(words, segment).alias("keys")))
+    # The word that is held against is one that the key is not part of, or what agrees in the key would count again.
+    other = lambda at: F.when(at * segment < 64, F.element_at("words", 2)).otherwise(F.element_at("words", 1))
+    keys = F.transform(_segment_keys(words, segment), lambda key, at: F.struct(key.alias("key"), other(at).alias("first")))
+    rows = shared(prints.select("number", keys.alias("keys")))
+    entries_of = lambda df, *names: df.select(*names, F.explode("keys").alias("k")).select(*names, F.col("k.key").alias("key"), F.col("k.first").alias("first"))
     grouped = rows.withColumn("group", F.col("number"))
     links, groups = None, None
     while True:
-        entries = grouped.select(F.explode("keys").alias("key"), F.col("group").alias("group_b"), F.col("number").alias("b"), F.col("first").alias("first_b"))
+        entries = entries_of(grouped, "number", "group").withColumnsRenamed({"number": "b", "group": "group_b", "first": "first_b"})
         if links is not None:
             least = F.min(F.struct("b", "first_b")).alias("e")
             entries = entries.groupBy("key", "group_b").agg(least).select("key", "group_b", "e.b", "e.first_b")
@@ -329,9 +333,9 @@ def similar_groups(prints: DataFrame, docs: DataFrame, segment: int, shingle: in
     ball = lambda key: F.filter(
         F.array(key, *[F.when(key.bitwiseAND(1 << bit) == 0, key + F.lit(1 << bit)) for bit in range(segment)]), lambda k: k.isNotNull()
     )
-    asked = grouped.select(F.col("number").alias("a"), "first", F.col("group").alias("group_a"), F.explode("keys").alias("own"))
-    asked = asked.select("a", "first", "group_a", F.explode(ball(F.col("own"))).alias("key"))
-    held = grouped.select(F.col("number").alias("b"), F.col("first").alias("first_b"), F.col("group").alias("group_b"), F.explode("keys").alias("key"))
+    entries = entries_of(grouped, "number", "group")
+    asked = entries.select(F.col("number").alias("a"), "first", F.col("group").alias("group_a"), F.explode(ball(F.col("key"))).alias("key"))
+    held = entries.withColumnsRenamed({"number": "b", "group": "group_b", "first": "first_b"})
     apart = asked.join(held, "key").where((F.col("group_a") != F.col("group_b")) & near)
     more = similar(propose(apart).select("a", "b"))
     return groups if more.isEmpty() else connected_components(links.unionByName(more))
