@@ -84,10 +84,3 @@ def validation_summary(found: DataFrame, items: DataFrame) -> DataFrame:
 def outside_report_date(items: DataFrame, timezone: str = "UTC") -> DataFrame:
     """Items to quarantine: published on another day than their report date."""
     return items.where(report_day(F.col("published_at"), timezone) != F.col("report_date")).select("report_date", F.col("id").alias("item_id"), "published_at")
-
-
-def require_non_empty(df: DataFrame, message: str) -> DataFrame:
-    """Count guard for sinks: raise when a stage has no rows."""
-    if df.isEmpty():
-        raise ValueError(message)
-    return df

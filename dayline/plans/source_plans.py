@@ -168,7 +168,8 @@ def mixed_payloads(spark, sf):
     # Half of a list is cut inside an entry.
     half = F.substring(body, F.lit(1), F.floor(F.length(body) / 2).cast("int"))
     body = F.when((case == 5) | (n == 9), none).when(case == 3, half).when(case == 4, F.lit(" ")).otherwise(body)
-    return durable(every.withColumns({"status": status, "body": body}))
+    landed = durable(every.withColumns({"status": status, "body": body}))
+    return payloads.read_payloads(spark, landed.durable_path)
 
 
 def settings(spark, sf):

@@ -11,8 +11,6 @@ from dayline.functions.text import markup_to_text, strip
 from dayline.functions.urls import url_host
 from dayline.functions.values import epoch_timestamp, feed_timestamp
 
-ENTRY_COLUMNS = ("source_name", "source_url", "pos", "title", "url", "published_at", "summary", "content", "external_id", "metadata")
-
 _RSS = (
     "channel STRUCT<item: ARRAY<STRUCT<title: STRING, link: STRING, guid: STRING, pubDate: STRING, updated: STRING, date: STRING, "
     "description: STRING, summary: STRING, encoded: STRING>>>"
