@@ -375,20 +375,35 @@ def snapshot_read(spark, sf):
 
 
 def stage_report(spark, sf):
+    """What each step did with history on each date: deduplicate, retrieve, compare, select, adopt, write."""
     items = inputs.structured(spark, sf)
     got = retrieved(spark, sf)
-    dedupe = items.groupBy("report_date").agg(F.count(F.lit(1)).alias("input_count"))
+    counted = lambda df, name: df.groupBy("report_date").agg(F.count(F.lit(1)).alias(name))
     retrieval = got.groupBy("report_date").agg(F.count(F.lit(1)).alias("retrieved_count"), F.count_distinct("topic_key").alias("topic_count"))
     soft = similarity.relationship_counts(relationships(spark, sf)).select("report_date", "matched_item_count", "match_count")
-    return memory.memory_report(strong_dedupe=dedupe, context_retrieval=retrieval, soft_similarity=soft).withColumn("report_date", DAY())
-
-
-_STAGES = f"""WITH {SCORED_SQL}
+    outcome = lambda name: F.count_if(F.col("outcome") == name).alias(f"{name}_count")
+    chosen = memory.validate_selection(requested(spark, sf), memory.catalog(got)).groupBy("report_date").agg(
+        F.count(F.lit(1)).alias("requested_count"), outcome("selected"), outcome("invalid"), outcome("overflow")
+    )
+    adopted = counted(similarity.best_matches(scored(spark, sf), 1), "adopted_count")
+    written = counted(memory.appendable(memory.to_entries(items)), "written_count")
+    return memory.memory_report(
+        strong_dedupe=counted(items, "input_count"), context_retrieval=retrieval, soft_similarity=soft, fulltext_selection=chosen, adoption=adopted, write=written
+    ).withColumn("report_date", DAY())
+
+
+_STAGES = f"""WITH {SCORED_SQL}, {SELECTION_SQL[len(RETRIEVED_SQL) + 2:]},
+written AS (SELECT s.report_date, count(*) AS n FROM ({_append_sql()}) w JOIN structured s ON s.pos = w.pos GROUP BY s.report_date),
+so AS (SELECT report_date, outcome FROM sel)
 SELECT {DAY_SQL}, 'strong_dedupe' AS stage, 'input_count' AS metric, count(*)::DOUBLE AS value FROM structured GROUP BY structured.report_date
 UNION ALL SELECT {DAY_SQL}, 'context_retrieval', 'retrieved_count', count(*) FROM retrieved GROUP BY retrieved.report_date
 UNION ALL SELECT {DAY_SQL}, 'context_retrieval', 'topic_count', count(DISTINCT topic_key) FROM retrieved GROUP BY retrieved.report_date
 UNION ALL SELECT {DAY_SQL}, 'soft_similarity', 'matched_item_count', count_if(relationship <> 'new') FROM rel GROUP BY rel.report_date
-UNION ALL SELECT {DAY_SQL}, 'soft_similarity', 'match_count', sum(len(ids)) FROM rel GROUP BY rel.report_date"""
+UNION ALL SELECT {DAY_SQL}, 'soft_similarity', 'match_count', sum(len(ids)) FROM rel GROUP BY rel.report_date
+UNION ALL SELECT {DAY_SQL}, 'fulltext_selection', 'requested_count', count(*) FROM so GROUP BY so.report_date
+UNION ALL SELECT {DAY_SQL}, 'fulltext_selection', o.outcome || '_count', (SELECT count(*) FROM so WHERE so.report_date = d.report_date AND so.outcome = o.outcome) FROM (SELECT DISTINCT report_date FROM so) d, (SELECT unnest(['selected', 'invalid', 'overflow']) AS outcome) o
+UNION ALL SELECT {DAY_SQL}, 'adoption', 'adopted_count', count(*) FROM matched WHERE match_rank = 1 GROUP BY matched.report_date
+UNION ALL SELECT {DAY_SQL}, 'write', 'written_count', n FROM written"""
 
 
 def not_adopted(spark, sf):
