@@ -394,14 +394,16 @@ def stage_report(spark, sf):
 
 _STAGES = f"""WITH {SCORED_SQL}, {SELECTION_SQL[len(RETRIEVED_SQL) + 2:]},
 written AS (SELECT s.report_date, count(*) AS n FROM ({_append_sql()}) w JOIN structured s ON s.pos = w.pos GROUP BY s.report_date),
-so AS (SELECT report_date, outcome FROM sel)
+so AS MATERIALIZED (SELECT report_date, outcome FROM sel)
 SELECT {DAY_SQL}, 'strong_dedupe' AS stage, 'input_count' AS metric, count(*)::DOUBLE AS value FROM structured GROUP BY structured.report_date
 UNION ALL SELECT {DAY_SQL}, 'context_retrieval', 'retrieved_count', count(*) FROM retrieved GROUP BY retrieved.report_date
 UNION ALL SELECT {DAY_SQL}, 'context_retrieval', 'topic_count', count(DISTINCT topic_key) FROM retrieved GROUP BY retrieved.report_date
 UNION ALL SELECT {DAY_SQL}, 'soft_similarity', 'matched_item_count', count_if(relationship <> 'new') FROM rel GROUP BY rel.report_date
 UNION ALL SELECT {DAY_SQL}, 'soft_similarity', 'match_count', sum(len(ids)) FROM rel GROUP BY rel.report_date
 UNION ALL SELECT {DAY_SQL}, 'fulltext_selection', 'requested_count', count(*) FROM so GROUP BY so.report_date
-UNION ALL SELECT {DAY_SQL}, 'fulltext_selection', o.outcome || '_count', (SELECT count(*) FROM so WHERE so.report_date = d.report_date AND so.outcome = o.outcome) FROM (SELECT DISTINCT report_date FROM so) d, (SELECT unnest(['selected', 'invalid', 'overflow']) AS outcome) o
+UNION ALL SELECT {DAY_SQL}, 'fulltext_selection', 'selected_count', count_if(outcome = 'selected') FROM so GROUP BY so.report_date
+UNION ALL SELECT {DAY_SQL}, 'fulltext_selection', 'invalid_count', count_if(outcome = 'invalid') FROM so GROUP BY so.report_date
+UNION ALL SELECT {DAY_SQL}, 'fulltext_selection', 'overflow_count', count_if(outcome = 'overflow') FROM so GROUP BY so.report_date
 UNION ALL SELECT {DAY_SQL}, 'adoption', 'adopted_count', count(*) FROM matched WHERE match_rank = 1 GROUP BY matched.report_date
 UNION ALL SELECT {DAY_SQL}, 'write', 'written_count', n FROM written"""
 
