@@ -17,13 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayline.llm.blocks import folded, grams, in_blocks, sums
-from dayline.llm.common import shared
+from dayline.llm.common import match_rows, shared
 
 ORDER = 4
 DISCOUNT = 0.75
 ALPHABET = 64
 #: n-grams of a passage; slots of the model's table (two to that power), which bounds what is broadcast.
 PASSAGE, SLOT_BITS, SLOT_FACTOR = 100, 20, 0x5851F42D
+#: Contexts are numbered behind all n-grams where both are asked for.
+CONTEXTS = 1 << 8 * ORDER
 #: Widths of the bins that the curve is fitted on, and how many there are for each feature.
 BIN, BINS = (0.005, 0.02), (200, 200)
 
@@ -79,27 +81,64 @@ def ratios(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return by_gram, by_context
 
 
-def slot_of(value: np.ndarray) -> np.ndarray:
-    return ((value.astype(np.int64) * SLOT_FACTOR) >> 24) & ((1 << SLOT_BITS) - 1)
+def slot_of(value: np.ndarray, slots: int) -> np.ndarray:
+    return ((value.astype(np.int64) * SLOT_FACTOR) >> 24) & (slots - 1)
 
 
-def _table(rows: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and ratios by slot.  Of keys that meet in one slot the most frequent has it; the slots bound the size."""
-    slot = F.shiftright(F.col(key) * SLOT_FACTOR, 24).bitwiseAND((1 << SLOT_BITS) - 1)
-    won = rows.groupBy(slot.alias("slot")).agg(F.max(F.struct("seen", key, "ratio")).alias("w")).select("slot", f"w.{key}", "w.ratio")
+def _table(rows: DataFrame, key: str, slots: int) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], DataFrame]:
+    """Keys, ratios and whether others met there, by slot; and ``(key, ratio)`` of those others.
+
+    Of keys that meet in one slot the most frequent has it; the slots bound the size.  The others stay a table.
+    """
+    slot = F.shiftright(F.col(key) * SLOT_FACTOR, 24).bitwiseAND(slots - 1)
+    won = rows.groupBy(slot.alias("slot")).agg(F.max(F.struct("seen", key, "ratio")).alias("w"), (F.count(F.lit(1)) > 1).alias("more"))
+    won = shared(won.select("slot", f"w.{key}", "w.ratio", "more"))
     found = won.toPandas()
-    keys, values = np.full(1 << SLOT_BITS, -1, np.int64), np.zeros(1 << SLOT_BITS, np.float32)
-    keys[found["slot"]], values[found["slot"]] = found[key], found["ratio"]
-    return keys, values
-
-
-def features(value: np.ndarray, bounds: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Mean ratio of each text, and the greatest mean of any ``PASSAGE`` n-grams in a row (of all if fewer)."""
-    slot = slot_of(value)
-    known = model["grams"][0][slot] == value
-    context = value >> np.uint32(8)
-    low = slot_of(context)
-    ratio = np.where(known, model["grams"][1][slot], np.where(model["contexts"][0][low] == context, model["contexts"][1][low], 0))
+    keys, values, more = np.full(slots, -1, np.int64), np.zeros(slots, np.float32), np.zeros(slots, bool)
+    keys[found["slot"]], values[found["slot"]], more[found["slot"]] = found[key], found["ratio"], found["more"]
+    others = rows.join(won.where("more").select(key), key, "left_anti").select(F.col(key).alias("key"), F.col("ratio").cast("float").alias("ratio"))
+    return (keys, values, more), others
+
+
+def _at(keys: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Whether sorted ``table`` holds each key, and its ratio there."""
+    if not len(table[0]):
+        return np.zeros(len(keys), bool), np.zeros(len(keys), np.float32)
+    at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
+    return table[0][at] == keys, table[1][at]
+
+
+def features(
+    value: np.ndarray, bounds: np.ndarray, model: dict, rest: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Mean ratio of each text, the greatest mean of any ``PASSAGE`` n-grams in a row (of all if fewer), and what is open.
+
+    Open are keys of each text that its slots do not answer, where others met in the slot; contexts are numbered
+    behind n-grams.  ``rest`` answers them: sorted keys and their ratios.
+    """
+    keys, ratios_, more = model["grams"]
+    slot = slot_of(value, len(keys))
+    known = keys[slot] == value
+    context = (value >> np.uint32(8)).astype(np.int64)
+    low_keys, low_ratios, low_more = model["contexts"]
+    low = slot_of(context, len(low_keys))
+    held = low_keys[low] == context
+    backed = np.where(held, low_ratios[low], np.float32(0))
+    ask, ask_low = ~known & more[slot], ~known & ~held & low_more[low]
+    open_keys = [np.zeros(0, np.int64)] * (len(bounds) - 1)
+    if rest is not None:
+        there, found = _at(context + CONTEXTS, rest)
+        backed = np.where(ask_low & there, found, backed)
+    elif ask.any() or ask_low.any():
+        starts = bounds[:-1]
+        for i in np.unique(np.searchsorted(starts, np.flatnonzero(ask | ask_low), "right") - 1):
+            part = slice(bounds[i], bounds[i + 1])
+            wanted = [value[part][ask[part]].astype(np.int64), context[part][ask_low[part]] + CONTEXTS]
+            open_keys[i] = np.unique(np.concatenate(wanted))
+    ratio = np.where(known, ratios_[slot], backed)
+    if rest is not None:
+        there, found = _at(value.astype(np.int64), rest)
+        ratio = np.where(ask & there, found, ratio)
     n = np.diff(bounds)
     mean = sums(ratio, bounds) / np.maximum(n, 1)
     worst = mean.copy()
@@ -107,22 +146,47 @@ def features(value: np.ndarray, bounds: np.ndarray, model: dict) -> tuple[np.nda
     for i in np.flatnonzero(n > PASSAGE):
         a, b = bounds[i], bounds[i + 1]
         worst[i] = (total[a + PASSAGE : b + 1] - total[a : b + 1 - PASSAGE]).max() / PASSAGE
-    return mean, worst
+    return mean, worst, open_keys
 
 
 def measured(docs: DataFrame, model: dict) -> DataFrame:
-    """``(doc_id, mean, worst)`` per row of ``docs(doc_id, text)``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = "doc_id " + docs.schema["doc_id"].dataType.simpleString() + ", mean double, worst double"
+    """``(doc_id, mean, worst)`` per row of ``docs(doc_id, text)``.
+
+    All texts are read by the slots.  Those with keys that met others in a slot ask the table of the others for
+    them, text by text, and are read once more with the answers, so every ratio is that of its own n-gram.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast({k: model[k] for k in ("grams", "contexts")})
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             both = [features(*grams(*folded(texts[a:b]), ORDER), sent.value) for a, b in in_blocks(texts)]
-            columns = [np.concatenate([np.zeros(0), *(x[k] for x in both)]) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *map(pa.array, columns)], ["doc_id", "mean", "worst"])
+            columns = [pa.array(np.concatenate([np.zeros(0), *(x[k] for x in both)])) for k in (0, 1)]
+            asked = pa.array([k for x in both for k in x[2]], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["digest"], *columns, asked], ["doc_id", "digest", "mean", "worst", "asked"])
 
-    return docs.select("doc_id", "text").mapInArrow(measure, schema)
+    def measure_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = []
+            for text, told in zip(batch["text"], batch["told"]):
+                rest = told.values.field("key").to_numpy(), told.values.field("ratio").to_numpy()
+                both.append(features(*grams(*folded([text.as_py() or ""]), ORDER), sent.value, rest)[:2])
+            columns = [pa.array(np.concatenate([np.zeros(0), *(x[k] for x in both)])) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", "mean", "worst"])
+
+    texts = docs.select("doc_id", F.xxhash64("text").alias("digest"), "text")
+    first = texts.mapInArrow(measure, f"doc_id {kind}, digest long, mean double, worst double, asked array<bigint>")
+    if model["rest"] is None:
+        return first.select("doc_id", "mean", "worst")
+    first = shared(first)
+    # Texts of one digest have their answers together; an answer to another text's question changes nothing.
+    asked = first.select("digest", F.explode("asked").alias("key")).distinct()
+    answers = asked.join(model["rest"], "key").groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("key", "ratio"))).alias("told"))
+    answers = shared(answers)
+    settled = first.join(answers.select("digest"), "digest", "left_anti").select("doc_id", "mean", "worst")
+    again = match_rows(texts, answers, ["digest"]).select("doc_id", "text", "told").mapInArrow(measure_again, f"doc_id {kind}, mean double, worst double")
+    return settled.unionByName(again)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -139,9 +203,10 @@ def fit_curve(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> dict | None:
+def learn(docs: DataFrame, labels: DataFrame, slot_bits: int = SLOT_BITS) -> dict | None:
     """Model and curve from all rows of ``docs`` that ``labels(doc_id, toxic)`` mark and that are not held out.
 
+    The model has the ratios by slot, and as a table (``rest``) those that a slot has no room for; None if all have.
     Rows of folds 2 to 4 are counted, those of fold 1 fit the curve.  A document that is marked
     twice is toxic if one mark says so.  None if either fold lacks a class.
     """
@@ -151,7 +216,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict | None:
     # Texts are always shuffled to their marks, whatever the size of the labels: the plan is the same at every scale.
     counted = shared(count_grams(texts.where(fold_of() >= 2).join(marks.where("_fold >= 2").hint("merge"), "doc_id")))
     by_gram, by_context = ratios(counted)
-    model = {"grams": _table(by_gram, "gram"), "contexts": _table(by_context, "context")}
+    by_gram = shared(by_gram)
+    grams_, rest = _table(by_gram, "gram", 1 << slot_bits)
+    contexts, low = _table(shared(by_context), "context", 1 << slot_bits)
+    rest = shared(rest.unionByName(low.withColumn("key", F.col("key") + CONTEXTS)))
+    model = {"grams": grams_, "contexts": contexts, "rest": None if rest.isEmpty() else rest}
     rows = measured(texts.where(fold_of() == 1), model).join(marks.where("_fold = 1"), "doc_id")
     bins = [F.greatest(F.lit(-n), F.least(F.lit(n), F.round(F.col(c) / w))).cast("int").alias(c) for c, w, n in zip(("mean", "worst"), BIN, BINS)]
     seen = rows.select(*bins, "toxic").groupBy("mean", "worst", "toxic").agg(F.count(F.lit(1)).alias("n")).toPandas()

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_llm_operators import brute_removed, documents, prose
 
-from dayline.llm import decontamination, exact_dedup, mixing, quality, simhash, suffix_dedup, token_count
+from dayline.llm import decontamination, exact_dedup, mixing, quality, simhash, suffix_dedup, token_count, toxicity
 
 
 def test_a_row_that_repeats_is_one_place(spark):
@@ -84,3 +84,19 @@ def test_wide_fingerprints_of_pairs_at_the_similarity():
             bits = np.unpackbits((x ^ y).byteswap().view(np.uint8))
             met[n, bool((bits[: len(bits) // segment * segment].reshape(-1, segment).sum(1) <= 1).any())] += 1
     assert all(met[n, True] >= 0.99 * 400 for n in (9, 45, 180, 900))
+
+
+def test_toxicity_answers_every_gram_however_few_the_slots(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 6))) for _ in range(120)]
+    bad = ["".join(rng.choices("klmnop", k=4)) for _ in range(20)]
+    text = lambda toxic: " ".join(rng.choices(words + bad * (3 if toxic else 0), k=rng.randint(3, 90)))
+    rows = [(i, text(i % 3 == 0), int(i % 3 == 0)) for i in range(400)] + [(400, None, 0), (401, "", 1)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([r[::2] for r in rows], "doc_id long, toxic int")
+    read = []
+    for bits in (20, 6):
+        model = toxicity.learn(docs, labels, bits)
+        scored = toxicity.score(docs.unionByName(docs.where("doc_id < 3")), model)
+        read.append(sorted((r["doc_id"], round(r["score"], 6), round(r["mean"], 6), round(r["worst"], 6)) for r in scored.collect()))
+    assert model["rest"] is not None and len(model["grams"][0]) == 64
+    assert len(read[0]) == 405 and read[0] == read[1]
