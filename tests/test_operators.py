@@ -1,5 +1,6 @@
 """Small cases of single operators, stated as rows."""
 
+import itertools
 import random
 import re
 
@@ -234,3 +235,28 @@ def test_publish_that_fails_in_the_middle_keeps_the_version_before(spark, tmp_pa
     assert tables.published(spark, target).count() == 5
     tables.publish(spark.range(2).select("id"), target, "3")
     assert tables.published(spark, target).count() == 2
+
+
+def test_squeeze_is_one_blank_per_run_of_any_blanks(spark):
+    parts = ["a", "ä", "–", ".", " ", "  ", "\n", " \n", "\t ", "\x1c", "\x85", "\xa0", " ", " ", " ", " ", "　"]
+    texts = ["".join(p) for p in itertools.product(parts, repeat=3)] + ["", None, "x" + " y\n z" * 50]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select("t", text.squeeze(F.col("t")).alias("s"), text.plain_spacing(F.col("t")).alias("p"), text.first_sentence(text.squeeze(F.col("t"))).alias("a"), text.squeeze(text.first_sentence(F.col("t"))).alias("b")).collect()
+    for r in got:
+        squeezed = re.sub(text.SPACE + "+", " ", r["t"] or "").strip(" ")
+        assert r["s"] == squeezed and r["p"] == re.sub(" ([.,;:!?])", r"\1", squeezed) and r["a"] == r["b"]
+
+
+def test_what_a_row_gives_once_is_not_made_per_pair(spark):
+    """Patterns are searched per item and per entry: behind the join of pairs no text is searched."""
+    shape = "report_date date, id string, pos long, title string, summary string, topic string, entities array<string>, event_type string"
+    items = spark.createDataFrame([], shape)
+    pairs = similarity.candidate_pairs(items, items.withColumns({"memory_item_id": F.col("id"), "rank": F.lit(1)}))
+    assert {"l_specific", "r_specific", "l_follows"} <= set(pairs.columns) and not {"l_both", "r_both", "l_title"} & set(pairs.columns)
+
+
+def test_lines_of_article_blocks_are_spaced_once(spark):
+    from dayline.plans import source_plans
+
+    plan = source_plans.blocks(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("([.,;:!?])") == 1
