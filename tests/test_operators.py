@@ -260,3 +260,11 @@ def test_lines_of_article_blocks_are_spaced_once(spark):
 
     plan = source_plans.blocks(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("([.,;:!?])") == 1
+
+
+def test_counting_complete_items_squeezes_no_text(spark):
+    shape = "title string, source string, url string, summary string, content string, published_at timestamp, report_date date"
+    rows = [("t", "s", "u", "", " 　x", None, None), ("　", "s", "u", "a", "b", None, None), ("t", "s", "u", None, " \n", None, None)]
+    counts = clean.clean_counts(spark.createDataFrame(rows, shape))
+    assert counts.first()["raw_count"] == 3 and counts.first()["filtered_incomplete_count"] == 2
+    assert "regexp_replace" not in counts._jdf.queryExecution().optimizedPlan().toString().lower()
