@@ -107,3 +107,19 @@ def test_a_stream_meets_its_state_across_batches_and_restarts(spark, tmp_path):
 
     again = memory.appendable_by_index(entries(identity(require_fields(batch))), index, 2)
     assert [r["pos"] for r in again.collect()] == [8]
+
+
+def test_finished_components_leave_the_rounds(spark, monkeypatch):
+    written = []
+
+    def counted(table, keep=components.durable):
+        made = keep(table)
+        written.append(made.count())
+        return made
+
+    monkeypatch.setattr(components, "durable", counted)
+    pairs = [(f"p{i:04d}", f"q{i:04d}") for i in range(600)] + [(f"x{i:03d}", f"x{i + 1:03d}") for i in range(100)]
+    got = {r["node"]: r["component"] for r in components.connected_components(edges(spark, pairs)).collect()}
+    assert got == roots(pairs)
+    # 700 links, moves of 1,301 nodes twice and their components twice; every later round has the chain's rest alone.
+    assert sum(written) < 700 + 4 * 1301 + 700 and sum(n >= 600 for n in written) <= 5
