@@ -123,3 +123,20 @@ def test_finished_components_leave_the_rounds(spark, monkeypatch):
     assert got == roots(pairs)
     # 700 links, moves of 1,301 nodes twice and their components twice; every later round has the chain's rest alone.
     assert sum(written) < 700 + 4 * 1301 + 700 and sum(n >= 600 for n in written) <= 5
+
+
+def test_a_group_is_named_by_its_first_position(spark):
+    from dayline.operators import clean
+
+    rows = spark.createDataFrame(
+        [(7, "u1", "t1"), (9, "u1", "t2"), (4, "u2", "t2"), (5, "u3", "t3"), (2, "u4", ""), (3, "u5", ""), (6, "u5", "")],
+        "pos long, canonical_url string, title_fingerprint string",
+    ).select(
+        "*", F.concat(F.lit("raw-"), F.col("pos")).alias("id"), F.col("canonical_url").alias("url"), F.lit("s").alias("source"), F.lit("h").alias("content_hash"),
+        F.lit("c").alias("content"), F.lit("s").alias("summary"), F.create_map(F.lit("k"), F.lit("v")).alias("metadata"),
+    )
+    grouped = clean.duplicate_groups(rows, scope=())
+    assert {r["pos"]: r["group_key"] for r in grouped.collect()} == {7: 4, 9: 4, 4: 4, 5: 5, 2: 2, 3: 3, 6: 3}
+    summary = {r["group_key"]: (r["group_size"], r["reasons"]) for r in clean.duplicate_summary(grouped).collect()}
+    every = "canonical_url,title_fingerprint,content_hash"
+    assert summary == {4: (3, every), 3: (2, every)}
