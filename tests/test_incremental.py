@@ -140,3 +140,14 @@ def test_a_group_is_named_by_its_first_position(spark):
     summary = {r["group_key"]: (r["group_size"], r["reasons"]) for r in clean.duplicate_summary(grouped).collect()}
     every = "canonical_url,title_fingerprint,content_hash"
     assert summary == {4: (3, every), 3: (2, every)}
+
+
+def test_a_value_that_a_rule_names_often_is_computed_once(spark):
+    from dayline.functions.text import first_sentence, title_fingerprint
+
+    rows = spark.createDataFrame([("  One two.  Three",)], "t string")
+    # Inside a generator nothing is shared by the engine: what is written twice runs twice.
+    for made, name, wanted in ((first_sentence, "regexp_extract(", "One two."), (title_fingerprint, "lower(", "one two three")):
+        got = rows.select(made(F.col("t")).alias("v"))
+        assert got._jdf.queryExecution().analyzed().toString().count(name) == 1
+        assert got.first()["v"] == wanted
