@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayline.llm.common import match_rows, shared
@@ -34,6 +34,10 @@ SEGMENT_BITS = 32
 WIDE_SHINGLE, SIMILARITY, MISSED = 5, 0.8, 0.002
 #: Shingles below which a set counts as small.
 SMALL_SET = 16
+#: Texts that hold a key, beyond those that do so by chance, from which on it is a crowd: they are told apart by a pivot.
+CROWD = 16
+#: Shingles of a pivot's texts that come last in their order.
+COMMON = 1024
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, words: int = 1) -> np.ndarray:
@@ -235,6 +239,13 @@ def set_prints(docs: DataFrame, shingle: int, words: int) -> DataFrame:
     return texts.mapInArrow(make, f"doc_id {kind}, digest long, node binary, n long, words array<bigint>")
 
 
+def _texts(numbers: DataFrame, prints: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(number, text)`` of distinct ``numbers(number)``."""
+    ends = shared(numbers.join(prints, "number").select("doc_id", "digest", "number"))
+    told = docs.select("doc_id", F.xxhash64("text").alias("digest"), "text")
+    return shared(match_rows(told, ends, ["doc_id", "digest"]).groupBy("number").agg(F.first("text").alias("text")))
+
+
 def similar_pairs(pairs: DataFrame, prints: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Those of ``pairs(a, b)`` whose sets of shingles have at least the Jaccard similarity, by the texts of both ends.
 
@@ -242,11 +253,7 @@ def similar_pairs(pairs: DataFrame, prints: DataFrame, docs: DataFrame, shingle:
     is made once for those in a row.
     """
     pairs = shared(pairs)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("number")).distinct()
-    ends = shared(ends.join(prints, "number").select("doc_id", "digest", "number"))
-    told = docs.select("doc_id", F.xxhash64("text").alias("digest"), "text")
-    texts = match_rows(told, ends, ["doc_id", "digest"]).groupBy("number").agg(F.first("text").alias("text"))
-    texts = shared(texts)
+    texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("number")).distinct(), prints, docs)
     of = lambda c: texts.select(F.col("number").alias(c), F.col("text").alias(f"text_{c}"))
     both = match_rows(match_rows(pairs, of("b"), ["b"]), of("a"), ["a"])
 
@@ -288,12 +295,111 @@ def _proposed(pairs: DataFrame, prints: DataFrame, bits: int, similarity: float)
     return both.where(sizes & (apart <= limit)).select("a", "b", apart.alias("apart"))
 
 
+def deviations(mine: np.ndarray, pivot: np.ndarray, similarity: float, common: np.ndarray) -> tuple[bool, np.ndarray, int]:
+    """Whether a set is similar to its pivot, the first of its deviations from it, and how many of them it holds.
+
+    Deviations are the shingles that only one of set and pivot has, in one order for all sets of the pivot: own ones,
+    those that are lacking, own ones that are ``common``.  Two sets differ in what
+    only one of their deviations has, so d and e deviations of similar sets that may differ in L share (d + e - L) / 2,
+    and one among the first (d - e + L) / 2 + 1 of the one and (e - d + L) / 2 + 1 of the other.  Where d + e <= L
+    both are similar to the pivot, so of all other pairs one set is not, and has more deviations than it may have
+    from the pivot.  Against such a set the ``held`` first are enough, mostly a set's own shingles that hardly another
+    has; a set that is not similar asks with all that are returned for those that are.
+    """
+    own, lacking = np.setdiff1d(mine, pivot, assume_unique=True), np.setdiff1d(pivot, mine, assume_unique=True)
+    n, of, apart = len(mine), len(pivot), len(own) + len(lacking)
+    linked = n - len(own) >= similarity * (of + len(own)) - 1e-9
+    share = (1 - similarity) / (1 + similarity)
+    most = math.floor(n * (1 - similarity) / similarity + 1e-6) + 1  # sets that differ more aren't similar, nor are their numbers
+    held = max(0, min(most, math.ceil((apart + share * (n - of)) / 2)))
+    asked = 0 if linked else min(most, math.floor((apart + share * (n + of)) / 2 + 1e-6) + 1)
+    often = np.isin(own, common)
+    return linked, np.concatenate([own[~often], lacking, own[often]])[: max(held, asked)], held
+
+
+def _crowds(entries: DataFrame, crowded: DataFrame, segment: int) -> DataFrame:
+    """Distinct ``(number, pivot)``: texts within one bit of a key of ``crowded(key, n)``, and the text that stands for the key.
+
+    The pivot is of the group that has most of the key's texts, and of its texts the one whose own keys are the
+    most crowded, so that all keys of the same near copies mostly have one pivot.  Any pivot gives the same links.
+    """
+    around = F.array("key", *[F.col("key").bitwiseXOR(1 << bit) for bit in range(segment)])
+    crowds = crowded.select(F.col("key").alias("crowd"), "n", F.explode(around).alias("key"))
+    members = shared(entries.join(crowds, "key").select("number", "group", "crowd", F.when(F.col("key") == F.col("crowd"), F.col("n")).otherwise(0).alias("n")))
+    weights = members.groupBy("group", "number").agg(F.sum("n").alias("weight"))
+    tops = weights.groupBy("group").agg(F.max(F.struct("weight", (-F.col("number")).alias("number"))).alias("top"))
+    sizes = match_rows(members.groupBy("crowd", "group").agg(F.count(F.lit(1)).alias("size")), tops, ["group"])
+    pivots = sizes.groupBy("crowd").agg(F.max(F.struct("size", "top")).alias("e"), F.count(F.lit(1)).alias("groups"))
+    pivots = pivots.where("groups > 1").select("crowd", (-F.col("e.top.number")).alias("pivot"))
+    return match_rows(members, pivots, ["crowd"]).select("number", "pivot").distinct()
+
+
+def _deviating(crowds: DataFrame, prints: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``(number, pivot, linked, shingles, held)`` per row of ``crowds(number, pivot)``, as ``deviations`` says.
+
+    Own shingles that many texts of a pivot have are found first, and the ``COMMON`` most frequent of them come last in
+    its order: which are taken for common decides what is compared in vain, and no link.
+    """
+    numbers = crowds.select("number").unionByName(crowds.select(F.col("pivot").alias("number"))).distinct()
+    texts = _texts(numbers, prints, docs)
+    both = match_rows(crowds, texts, ["number"])
+    both = match_rows(both, texts.select(F.col("number").alias("pivot"), F.col("text").alias("pivot_text")), ["pivot"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, last, pivot = {}, None, None
+            for of, text, pivot_text in zip(batch["pivot"].to_pylist(), batch["text"], batch["pivot_text"]):
+                if of != last:
+                    last, pivot = of, shingle_set(pivot_text.as_py(), shingle)
+                own.setdefault(of, []).append(np.setdiff1d(shingle_set(text.as_py(), shingle), pivot, assume_unique=True))
+            for of, sets in own.items():
+                found, n = np.unique(np.concatenate(sets), return_counts=True)
+                found, n = found[n > 1].view(np.int64), n[n > 1].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), of, np.int64)), pa.array(found), pa.array(n)], ["pivot", "shingle", "n"])
+
+    counts = both.select("pivot", "text", "pivot_text").mapInArrow(count, "pivot long, shingle long, n long")
+    counts = counts.groupBy("pivot", "shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= CROWD)
+    first = Window.partitionBy("pivot").orderBy(F.desc("n"), "shingle")
+    often = counts.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= COMMON)
+    often = shared(often.groupBy("pivot").agg(F.collect_list("shingle").alias("common")))
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, pivot, often = None, None, None
+        for batch in batches:
+            linked, shingles, held = [], [], []
+            for of, text, pivot_text, common in zip(batch["pivot"].to_pylist(), batch["text"], batch["pivot_text"], batch["common"]):
+                if of != last:
+                    last, pivot = of, shingle_set(pivot_text.as_py(), shingle)
+                    often = np.array(common.as_py() or [], np.int64).view(np.uint64)
+                told = deviations(shingle_set(text.as_py(), shingle), pivot, similarity, often)
+                linked.append(told[0])
+                shingles.append(told[1].view(np.int64))
+                held.append(told[2])
+            columns = [batch["number"], batch["pivot"], pa.array(linked, pa.bool_()), pa.array(shingles, pa.list_(pa.int64())), pa.array(held, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["number", "pivot", "linked", "shingles", "held"])
+
+    rows = match_rows(both, often, ["pivot"], "left").select("number", "pivot", "text", "pivot_text", "common")
+    return rows.mapInArrow(tell, "number long, pivot long, linked boolean, shingles array<bigint>, held int")
+
+
+def _sharing(told: DataFrame) -> DataFrame:
+    """``(a, b)`` of ``told(number, group, pivot, linked, shingles, held)``: texts of different groups that may be similar by their deviations."""
+    each = told.select("number", "group", "pivot", "linked", "held", F.posexplode("shingles").alias("at", "shingle"))
+    names = {"number": "b", "group": "group_b", "linked": "linked_b"}
+    held = each.where("at < held").select(*[F.col(c).alias(names.get(c, c)) for c in ("number", "group", "linked", "pivot", "shingle")])
+    asked = each.where("NOT linked").select(F.col("number").alias("a"), "group", "pivot", "shingle", (F.col("at") < F.col("held")).alias("mutual"))
+    met = asked.join(held, ["pivot", "shingle"]).where("group <> group_b AND (linked_b OR mutual AND a < b)")
+    return met.select("a", "b")
+
+
 def similar_groups(prints: DataFrame, docs: DataFrame, segment: int, shingle: int, similarity: float) -> DataFrame | None:
     """``(node, component)`` of rows of ``prints(number, doc_id, digest, n, words)`` that links of the similarity join; None without links.
 
     Segments are entered in a table.  First a text meets the least text of each of its keys, and is
     compared with the one of the least distance.  Then groups meet: of a key's groups, each is compared
-    through its least text with the key's least, until that joins none.  In the end every key's ball of one
+    through its least text with the key's least, until that joins none.  Then texts of crowded keys are held
+    against a pivot each key has, and only those are compared that share what they deviate in: templates just below
+    the similarity are not compared pair by pair either.  In the end every other key's ball of one
     bit is asked for, and all texts so met whose groups differ are compared: a large group of near copies is not
     written out as pairs, and no link that would join two groups is lost.
     """
@@ -307,6 +413,12 @@ def similar_groups(prints: DataFrame, docs: DataFrame, segment: int, shingle: in
     keys = F.transform(_segment_keys(words, segment), lambda key, at: F.struct(key.alias("key"), other(at).alias("first")))
     rows = shared(prints.select("number", keys.alias("keys")))
     entries_of = lambda df, *names: df.select(*names, F.explode("keys").alias("k")).select(*names, F.col("k.key").alias("key"), F.col("k.first").alias("first"))
+
+    def regrouped(groups: DataFrame) -> DataFrame:
+        of = groups.select(F.col("node").alias("number"), F.col("component").alias("_group"))
+        grouped = match_rows(rows, of, ["number"], "left").withColumn("group", F.coalesce("_group", "number")).drop("_group")
+        return shared(grouped)
+
     grouped = rows.withColumn("group", F.col("number"))
     links, groups = None, None
     while True:
@@ -327,17 +439,26 @@ def similar_groups(prints: DataFrame, docs: DataFrame, segment: int, shingle: in
         if done:
             break
         groups = shared(connected_components(links))
-        of = groups.select(F.col("node").alias("number"), F.col("component").alias("_group"))
-        grouped = match_rows(rows, of, ["number"], "left").withColumn("group", F.coalesce("_group", "number")).drop("_group")
-        grouped = shared(grouped)
+        grouped = regrouped(groups)
+    entries = entries_of(grouped, "number", "group")
+    crowded = shared(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= CROWD + rows.count() / (1 << segment)))
+    crowds = None if crowded.isEmpty() else shared(_crowds(entries, crowded, segment))
+    if crowds is not None:
+        told = shared(_deviating(crowds, prints, docs, shingle, similarity))
+        linked = told.where("linked AND number <> pivot").select(F.col("number").alias("a"), F.col("pivot").alias("b"))
+        links = links.unionByName(linked)
+        groups = shared(connected_components(links))
+        grouped = regrouped(groups)
+        entries = entries_of(grouped, "number", "group").join(crowded, "key", "left_anti")
     ball = lambda key: F.filter(
         F.array(key, *[F.when(key.bitwiseAND(1 << bit) == 0, key + F.lit(1 << bit)) for bit in range(segment)]), lambda k: k.isNotNull()
     )
-    entries = entries_of(grouped, "number", "group")
     asked = entries.select(F.col("number").alias("a"), "first", F.col("group").alias("group_a"), F.explode(ball(F.col("key"))).alias("key"))
     held = entries.withColumnsRenamed({"number": "b", "group": "group_b", "first": "first_b"})
-    apart = asked.join(held, "key").where((F.col("group_a") != F.col("group_b")) & near)
-    more = similar(propose(apart).select("a", "b"))
+    met = asked.join(held, "key").where((F.col("group_a") != F.col("group_b")) & near).select("a", "b")
+    if crowds is not None:
+        met = met.unionByName(_sharing(match_rows(told, grouped.select("number", "group"), ["number"])))
+    more = similar(propose(met).select("a", "b"))
     return groups if more.isEmpty() else connected_components(links.unionByName(more))
 
 

@@ -100,3 +100,55 @@ def test_toxicity_answers_every_gram_however_few_the_slots(spark):
         read.append(sorted((r["doc_id"], round(r["score"], 6), round(r["mean"], 6), round(r["worst"], 6)) for r in scored.collect()))
     assert model["rest"] is not None and len(model["grams"][0]) == 64
     assert len(read[0]) == 405 and read[0] == read[1]
+
+
+def test_deviations_of_similar_sets_share_one():
+    """Of similar sets that are not both similar to the pivot, the first deviations meet, whatever counts as common."""
+    rng = np.random.default_rng(6)
+    met = 0
+    for similarity in (0.6, 0.8, 0.9):
+        for _ in range(30):
+            base, pool = (rng.integers(0, 2**63, k, dtype=np.uint64) for k in (int(rng.integers(3, 90)), 60))
+            sets = [np.unique(base)]
+            while len(sets) < 40:
+                of = sets[0] if rng.random() < 0.4 else sets[rng.integers(len(sets))]
+                gone, more = rng.integers(0, max(2, len(of) // 4), 2)
+                made = np.unique(np.concatenate([rng.permutation(of)[gone:], rng.choice(pool, more)]))
+                sets += [made] if len(made) else []
+            pivot, common = sets[rng.integers(len(sets))], pool[: rng.integers(60)]
+            told = [simhash.deviations(s, pivot, similarity, common) for s in sets]
+            for i, x in enumerate(sets):
+                for j, y in enumerate(sets[:i]):
+                    (linked, a, held), (other, b, holds) = told[i], told[j]
+                    both = len(np.intersect1d(x, y))
+                    if both >= similarity * (len(x) + len(y) - both) - 1e-9 and not (linked and other):
+                        a, b = a[:held] if linked or not other else a, b[:holds] if other or not linked else b
+                        assert len(np.intersect1d(a, b))
+                        met += 1
+    assert met > 500
+
+
+def test_a_template_below_the_similarity_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """Copies of one text with 0 to 12 words changed: links as of all pairs, but not all pairs looked at."""
+    rng = random.Random(16)
+    base, other = prose(rng, 150).split(), prose(rng, 150).split()
+    texts = []
+    for i in range(360):
+        words = list(base if i % 6 else other)
+        for at in rng.sample(range(150), i % 13):
+            words[at] = prose(rng, 1) + str(rng.randint(0, 300))
+        texts.append(" ".join(words))
+    texts += [texts[k] + " x" for k in range(12, 360, 40)] + [" ".join(texts[k].split()[1:]) for k in range(11, 360, 40)]
+    sets = [{" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, (t.lower() for t in texts))]
+    root = list(range(len(texts)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if len(x & y) >= 0.8 * len(x | y):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    monkeypatch.setattr(simhash, "CROWD", 3, raising=False)
+    compared, pairs = [], simhash.similar_pairs
+    monkeypatch.setattr(simhash, "similar_pairs", lambda found, *more: compared.append(found.count()) or pairs(found, *more))
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(documents(spark, texts)).collect()}
+    assert got == dict(enumerate(root)) and 100 < len(set(root)) < 300
+    assert sum(compared) < 10 * len(texts)
