@@ -76,6 +76,11 @@ def _readable(rows: DataFrame, *required: str) -> DataFrame:
     return rows.where(f"failure IS NOT NULL OR ({needed})")
 
 
+def _needed(untitled: bool) -> tuple[str, ...]:
+    """What every entry of a feed needs: a link and, unless ``untitled``, a title."""
+    return ("url",) if untitled else ("title", "url")
+
+
 def _entries_only(rows: DataFrame) -> DataFrame:
     return rows.where("failure IS NULL").drop("fetched_at", "status", "failure", "detail")
 
@@ -85,8 +90,11 @@ def _feed(payloads: DataFrame, schema: str, entries: str) -> DataFrame:
     return _opened(payloads, parsed, F.col(f"_x.{_CORRUPT}").isNotNull(), F.col(f"_x.{entries}"))
 
 
-def rss_rows(payloads: DataFrame) -> DataFrame:
-    """Entries of RSS payloads in feed order with their origin, and failed payloads; a missing date falls back to the fetch time."""
+def rss_rows(payloads: DataFrame, untitled: bool = False) -> DataFrame:
+    """Entries of RSS payloads in feed order with their origin, and failed payloads; a missing date falls back to the fetch time.
+
+    An entry without a title is left out, with ``untitled`` it stays.
+    """
     rows = _feed(payloads, _RSS, "channel.item")
     rows = once(rows, {
         "title": _text("title"), "url": _text("link"), "guid": _text("guid"),
@@ -94,16 +102,16 @@ def rss_rows(payloads: DataFrame) -> DataFrame:
         "published_at": F.coalesce(_first_time("pubDate", "updated", "date"), "fetched_at"),
     })
     guid = F.col("guid")
-    return _readable(rows, "title", "url").select(
+    return _readable(rows, *_needed(untitled)).select(
         *ORIGIN, "pos", "title", "url", "published_at", "summary",
         F.when(F.col("body") != "", F.col("body")).otherwise(F.col("summary")).alias("content"), F.when(guid != "", guid).otherwise(F.col("url")).alias("external_id"),
         F.create_map(F.lit("content_source"), F.lit("rss_feed")).alias("metadata"),
     )
 
 
-def rss_entries(payloads: DataFrame) -> DataFrame:
+def rss_entries(payloads: DataFrame, untitled: bool = False) -> DataFrame:
     """Entries of the readable RSS payloads."""
-    return _entries_only(rss_rows(payloads))
+    return _entries_only(rss_rows(payloads, untitled))
 
 
 def _alternate() -> Column:
@@ -149,15 +157,15 @@ def feed_entries(payloads: DataFrame) -> DataFrame:
     return _entries_only(feed_rows(payloads))
 
 
-def paper_entries(payloads: DataFrame) -> DataFrame:
-    """Paper listings: authors, distinct categories, primary category and PDF link of each entry."""
+def paper_entries(payloads: DataFrame, untitled: bool = False) -> DataFrame:
+    """Paper listings: authors, distinct categories, primary category and PDF link of each entry; without a title only if ``untitled``."""
     rows = _atom_rows(payloads).where("failure IS NULL")
     rows = rows.withColumn("url", F.when(F.col("url") != "", F.col("url")).otherwise(F.col("external_id")))
     filled = lambda values: F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda v: strip(v) != "")
     terms = F.array_distinct(filled(F.transform("category", lambda c: strip(c["_term"]))))
     lower = lambda c: F.lower(strip(c))
     pdf = F.filter("link", lambda v: (strip(v["_href"]) != "") & ((lower(v["_title"]) == "pdf") | F.contains(lower(v["_type"]), F.lit("pdf")) | F.contains(v["_href"], F.lit("/pdf/"))))
-    out = rows.where("title <> '' AND url <> ''").withColumns(
+    out = _readable(rows, *_needed(untitled)).withColumns(
         {"authors": filled(F.transform("author", lambda a: strip(a["name"]))), "categories": terms, "pdf_url": F.coalesce(F.get(pdf, F.lit(0))["_href"], F.lit(""))}
     )
     primary = F.coalesce(F.nullif(strip(F.col("primary_category._term")), F.lit("")), F.get("categories", F.lit(0)), F.lit(""))

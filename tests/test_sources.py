@@ -6,11 +6,14 @@ import re
 import time
 from html.parser import HTMLParser
 
+import duckdb
+import oracle
 import pytest
 from pyspark.sql import functions as F
 
 from dayline import lexicon, schemas
 from dayline.functions import markup
+from dayline.plans import source_plans
 from dayline.sources import articles, collect, payloads, tables
 
 
@@ -183,3 +186,32 @@ def test_publishes_have_rising_numbers_and_old_ones_can_be_read(spark, tmp_path)
     os.close(os.open(f"{target}/pointer/{4:012d}", os.O_CREAT))  # of a publish that died before it wrote its version
     assert tables.published(spark, target).count() == 3 and tables.published(spark, target, 2).count() == 2
     assert tables.publish(rows(9), target, "v9") == 5 and tables.published(spark, target).count() == 9
+
+
+# --- queries over documents without a text
+GIVEN = "/root/testdata/sf0.001"
+BLANK_TEXTS = ["set1_source_union"]
+
+
+@pytest.fixture(scope="module")
+def blank_texts(tmp_path_factory):
+    """The given tables, three of eight documents with an empty, a missing or a blank text."""
+    folder = tmp_path_factory.mktemp("blank")
+    for name in oracle.TABLES:
+        if name != "documents":
+            os.symlink(f"{GIVEN}/{name}.parquet", f"{folder}/{name}.parquet")
+    text = "CASE doc_id // 3 % 8 WHEN 0 THEN '' WHEN 3 THEN NULL WHEN 6 THEN ' ' || chr(10) || ' ' ELSE text END"
+    duckdb.sql(f"COPY (SELECT * REPLACE ({text} AS text) FROM '{GIVEN}/documents.parquet') TO '{folder}/documents.parquet' (FORMAT parquet)")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", BLANK_TEXTS)
+def test_documents_without_a_text_are_in_the_result(spark, blank_texts, name):
+    rows, message, _ = oracle.compare(spark, oracle.connect(blank_texts), blank_texts, *source_plans.PLANS[name])
+    assert message is None and rows > 0
+
+
+def test_untitled_entries_stay_if_asked_for(spark):
+    feed = landed(spark, ("a", 200, RSS.format(ITEM.format(1) + ITEM.format(2).replace("Title 2", " ") + ITEM.format(3))))
+    assert [r["pos"] for r in payloads.rss_entries(feed).orderBy("pos").collect()] == [0, 2]
+    assert [(r["pos"], r["title"]) for r in payloads.rss_entries(feed, untitled=True).orderBy("pos").collect()] == [(0, "Title 1"), (1, ""), (2, "Title 3")]
