@@ -32,7 +32,8 @@ def raw_items(
     )
     extra = F.col("metadata") if "metadata" in has else F.create_map().cast("map<string,string>")
     merged = F.map_concat(F.map_filter(base, lambda k, v: ~F.array_contains(F.map_keys(extra), k)), extra)
-    content = F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in ("content", "summary", "title")])
+    # Where all three are empty, the content stays as it is.
+    content = F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in ("content", "summary", "title")], F.col("content"))
     return entries.select(
         "source_name", "pos", stable_id(F.col("source_name"), F.coalesce("external_id", F.lit("")), F.col("url"), F.col("title")).alias("id"), "title",
         (F.col("source") if "source" in has else F.col("source_name")).alias("source"), "url", "published_at", pick("source_type", source_type).alias("source_type"),
