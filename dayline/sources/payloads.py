@@ -119,18 +119,18 @@ def _alternate() -> Column:
     return F.coalesce(F.get(plain, F.lit(0))["_href"], F.get("link", F.lit(0))["_href"], F.lit(""))
 
 
-def atom_rows(payloads: DataFrame) -> DataFrame:
-    """Entries of Atom payloads in feed order with their origin, and failed payloads."""
-    rows = _readable(_atom_rows(payloads), "title", "url")
+def atom_rows(payloads: DataFrame, untitled: bool = False) -> DataFrame:
+    """Entries of Atom payloads in feed order with their origin, and failed payloads; without a title only if ``untitled``."""
+    rows = _readable(_atom_rows(payloads), *_needed(untitled))
     return rows.select(
         *ORIGIN, "pos", "title", "url", "published_at", "summary", F.when(F.col("text") != "", F.col("text")).otherwise(F.col("summary")).alias("content"),
         F.when(F.col("external_id") != "", F.col("external_id")).otherwise(F.col("url")).alias("external_id"), F.create_map(F.lit("content_source"), F.lit("rss_feed")).alias("metadata"),
     )
 
 
-def atom_entries(payloads: DataFrame) -> DataFrame:
+def atom_entries(payloads: DataFrame, untitled: bool = False) -> DataFrame:
     """Entries of the readable Atom payloads."""
-    return _entries_only(atom_rows(payloads))
+    return _entries_only(atom_rows(payloads, untitled))
 
 
 def _atom_rows(payloads: DataFrame) -> DataFrame:
@@ -147,14 +147,14 @@ def is_atom() -> Column:
     return F.coalesce(F.col("body"), F.lit("")).rlike(r"(?s)^\s*(<\?xml.*?\?>)?\s*(<!--.*?-->\s*)*<([A-Za-z]+:)?feed[\s>]")
 
 
-def feed_rows(payloads: DataFrame) -> DataFrame:
+def feed_rows(payloads: DataFrame, untitled: bool = False) -> DataFrame:
     """RSS and Atom payloads together, told apart by their root element, and those that cannot be read."""
-    return rss_rows(payloads.where(~is_atom())).unionByName(atom_rows(payloads.where(is_atom())))
+    return rss_rows(payloads.where(~is_atom()), untitled).unionByName(atom_rows(payloads.where(is_atom()), untitled))
 
 
-def feed_entries(payloads: DataFrame) -> DataFrame:
+def feed_entries(payloads: DataFrame, untitled: bool = False) -> DataFrame:
     """Entries of the readable RSS and Atom payloads."""
-    return _entries_only(feed_rows(payloads))
+    return _entries_only(feed_rows(payloads, untitled))
 
 
 def paper_entries(payloads: DataFrame, untitled: bool = False) -> DataFrame:
