@@ -38,11 +38,12 @@ def wanted(as_of: Column) -> Column:
     return recent & ((F.size(words) == 0) | F.exists(words, lambda k: F.contains(said, k)))
 
 
-def collect(payloads: DataFrame, settings: DataFrame, as_of: Column) -> DataFrame:
+def collect(payloads: DataFrame, settings: DataFrame, as_of: Column, untitled: bool = False) -> DataFrame:
     """Items of all enabled sources and their failed payloads, told apart by ``failure``.
 
     Of each source the first ``max_items`` wanted entries are kept, in the order of fetch time, address and
-    place in the feed.  ``settings`` has a row per source; an empty one, or none enabled, is an error.
+    place in the feed.  Entries without a title are wanted only if ``untitled``.  ``settings`` has a row per source; an
+    empty one, or none enabled, is an error.
     """
     enabled = settings.where(F.coalesce("enabled", F.lit(True)))
     most = enabled.agg(F.max("max_items").alias("n"), F.count(F.lit(1)).alias("sources")).first()
@@ -51,7 +52,7 @@ def collect(payloads: DataFrame, settings: DataFrame, as_of: Column) -> DataFram
     mine = lookup(payloads, enabled.select("source_name", "adapter"), ["source_name"], "inner")
     made = None
     for adapter, (reader, via, kind) in ADAPTERS.items():
-        rows = reader(mine.where(F.col("adapter") == adapter))
+        rows = reader(mine.where(F.col("adapter") == adapter), untitled)
         items = raw_items(rows, via, kind, carry=("source_url", "fetched_at", "status", "failure", "detail"))
         items = items.withColumn("adapter", F.lit(adapter))
         made = items if made is None else made.unionByName(items)

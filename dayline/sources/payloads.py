@@ -76,9 +76,9 @@ def _readable(rows: DataFrame, *required: str) -> DataFrame:
     return rows.where(f"failure IS NOT NULL OR ({needed})")
 
 
-def _needed(untitled: bool) -> tuple[str, ...]:
-    """What every entry of a feed needs: a link and, unless ``untitled``, a title."""
-    return ("url",) if untitled else ("title", "url")
+def _needed(untitled: bool, title: str = "title") -> tuple[str, ...]:
+    """What every entry needs: a link and, unless ``untitled``, a title."""
+    return ("url",) if untitled else (title, "url")
 
 
 def _entries_only(rows: DataFrame) -> DataFrame:
@@ -179,8 +179,11 @@ def paper_entries(payloads: DataFrame, untitled: bool = False) -> DataFrame:
 _RELEASES = "ARRAY<STRUCT<id: STRING, name: STRING, tag_name: STRING, html_url: STRING, published_at: STRING, body: STRING>>"
 
 
-def release_rows(payloads: DataFrame) -> DataFrame:
-    """Releases of every readable repository (``source_name`` is the repository) with their origin, and failed payloads."""
+def release_rows(payloads: DataFrame, untitled: bool = False) -> DataFrame:
+    """Releases of every readable repository (``source_name`` is the repository) with their origin, and failed payloads.
+
+    A release without a name or tag is left out, with ``untitled`` it stays under the repository's name.
+    """
     parsed = F.when(F.ltrim("body").startswith("["), F.from_json("body", _RELEASES))
     rows = _opened(payloads, F.struct(parsed.alias("list")), F.col("_x.list").isNull(), F.col("_x.list"))
     name = F.when(_text("name") != "", _text("name")).otherwise(_text("tag_name"))
@@ -188,8 +191,8 @@ def release_rows(payloads: DataFrame) -> DataFrame:
         "label": name, "url": _text("html_url"), "text": markup_to_text(F.coalesce("body", F.lit(""))),
         "published_at": F.coalesce(feed_timestamp(F.col("published_at")), "fetched_at"),
     })
-    return _readable(rows, "label", "url").select(
-        *ORIGIN, "pos", F.concat_ws(" ", "source_name", "label").alias("title"), "url", "published_at",
+    return _readable(rows, *_needed(untitled, "label")).select(
+        *ORIGIN, "pos", F.concat_ws(" ", "source_name", F.nullif("label", F.lit(""))).alias("title"), "url", "published_at",
         F.substring("text", 1, 500).alias("summary"), F.col("text").alias("content"), F.when(_text("id") != "", _text("id")).otherwise(F.concat_ws(":", "source_name", "label")).alias("external_id"),
         F.create_map(F.lit("repo"), F.col("source_name"), F.lit("tag_name"), _text("tag_name"), F.lit("content_source"), F.lit("github_release_body"), F.lit("content_chars"), F.length("text").cast("string")).alias("metadata"),
     )

@@ -190,7 +190,7 @@ def test_publishes_have_rising_numbers_and_old_ones_can_be_read(spark, tmp_path)
 
 # --- queries over documents without a text
 GIVEN = "/root/testdata/sf0.001"
-BLANK_TEXTS = ["set1_source_union", "src12_item_ids", "src2_atom_feeds", "src2_rss_feeds", "src4_papers", "src5_releases"]
+BLANK_TEXTS = ["set1_source_union", "src12_item_ids", "src2_atom_feeds", "src2_rss_feeds", "src4_papers", "src5_releases", "src2_capped", "src7_union", "src7_failures", "ag16_adapter_counts"]
 
 
 @pytest.fixture(scope="module")
@@ -215,3 +215,9 @@ def test_untitled_entries_stay_if_asked_for(spark):
     feed = landed(spark, ("a", 200, RSS.format(ITEM.format(1) + ITEM.format(2).replace("Title 2", " ") + ITEM.format(3))))
     assert [r["pos"] for r in payloads.rss_entries(feed).orderBy("pos").collect()] == [0, 2]
     assert [(r["pos"], r["title"]) for r in payloads.rss_entries(feed, untitled=True).orderBy("pos").collect()] == [(0, "Title 1"), (1, ""), (2, "Title 3")]
+
+
+def test_releases_without_a_name_stay_if_asked_for(spark):
+    pages = landed(spark, ("r", 200, '[{"id": 1, "name": "One", "html_url": "https://a.com/1"}, {"id": 2, "name": " ", "html_url": "https://a.com/2"}, {"id": 3, "name": "None"}]'))
+    assert [r["title"] for r in payloads.release_entries(pages).collect()] == ["r One"]
+    assert [r["title"] for r in payloads.release_rows(pages, untitled=True).orderBy("pos").collect()] == ["r One", "r"]
